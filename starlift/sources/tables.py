@@ -95,7 +95,7 @@ class Lake:
             return
         name = self.name(layer, table)
         laid_out = self._laid_out(rows, layer, table).select(*self.spark.table(name).columns)
-        laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+        laid_out.write.mode("overwrite").insertInto(name)
 
     def _laid_out(self, rows: DataFrame, layer: str, table: str) -> DataFrame:
         """Rows gathered by partition value before the write.
@@ -114,7 +114,8 @@ class Lake:
         writer = self._laid_out(rows, layer, table).write.format(self.config.table_format).mode(mode)
         partition = DATED.get((layer, table), (None, None))[1]
         if partition:
-            writer = writer.partitionBy(partition)
+            # Kept with the table: a later insert that overwrites touches only its own partitions.
+            writer = writer.partitionBy(partition).option("partitionOverwriteMode", "dynamic")
         writer.saveAsTable(self.name(layer, table))
 
     def preview(self, layer: str, table: str, rows: int = 5) -> DataFrame:
