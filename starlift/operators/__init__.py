@@ -1,4 +1,4 @@
-from starlift.operators.joins import broadcast_if_small, not_in, rows_not_in
+from starlift.operators.joins import not_in, rows_not_in
 from starlift.operators.keys import dense_keys
 from starlift.operators.policies import (
     after_watermark,
@@ -14,7 +14,6 @@ from starlift.operators.together import together
 
 __all__ = [
     "after_watermark",
-    "broadcast_if_small",
     "dated_snapshot",
     "dense_keys",
     "discard",

@@ -1,8 +1,4 @@
-"""Anti joins and sized lookups.
-
-No join here trusts a hint blindly: a side is broadcast when the planner's or a
-measured size is under the limit, and shuffled otherwise.
-"""
+"""Anti joins. Whether a side is broadcast is left to the planner's size check."""
 
 from __future__ import annotations
 
@@ -13,28 +9,6 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
-def measured_bytes(rows: DataFrame) -> int:
-    """Size of the values: text as it is, 8 bytes for anything else, 16 per row."""
-    width = F.lit(16)
-    for field in rows.schema.fields:
-        if field.dataType.typeName() in ("string", "binary"):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-        else:
-            width = width + F.lit(8)
-    return rows.agg(F.sum(width.cast("long")).alias("bytes")).first()["bytes"] or 0
-
-
-def broadcast_if_small(rows: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Mark ``rows`` for broadcast when they measure under ``limit``, else leave the
-    choice to the planner (a shuffled join whose hot partitions AQE splits).
-
-    For lookups built from joins, whose estimated size is far above the true one.
-    """
-    return F.broadcast(rows) if measured_bytes(rows) <= limit else rows
-
 
 def rows_not_in(
     source: DataFrame,

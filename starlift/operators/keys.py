@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starlift.operators.staging import stage
@@ -38,14 +39,13 @@ def dense_keys(
     )
     placed = stage(placed, f"keys-{name}", folder)
 
-    # One row per range partition: at most spark.sql.shuffle.partitions rows.
-    sizes = placed.groupBy(F.shiftrightunsigned("_place", _ROW_BITS).alias("_part")).agg(F.count("*").alias("_size"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(
-        F.col("_part").alias("_shift_part"), F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_shift")
-    )
+    # One row per range partition, so at most spark.sql.shuffle.partitions of them. As a
+    # literal the shifts need no join, and readers see the true size of the staged rows.
+    part = F.shiftrightunsigned("_place", _ROW_BITS)
+    sizes = dict(placed.groupBy(part.alias("part")).count().collect())
+    before = accumulate((sizes.get(index, 0) for index in range(max(sizes, default=0))), initial=0)
+    shifts = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
     row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     base = after if isinstance(after, Column) else F.lit(after)
-    return placed.join(
-        F.broadcast(shifts), F.shiftrightunsigned("_place", _ROW_BITS) == F.col("_shift_part")
-    ).select((base + F.col("_shift") + row + 1).cast("long").alias(name), *rows.columns)
+    key = base + F.get(shifts, part.cast("int")) + row + 1
+    return placed.select(key.cast("long").alias(name), *rows.columns)

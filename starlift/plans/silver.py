@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlift.functions.expressions import full_name
-from starlift.operators.joins import broadcast_if_small
 
 # Columns of silver.order_sales, in order.
 ORDER_SALES_COLUMNS = (
@@ -44,9 +43,10 @@ def order_sales(
 
     Left joins let the two branches be built first, each at its own grain: buyers,
     staff and stores meet the orders, brands and categories meet the products. The
-    order lines, by far the most rows, then go through two joins instead of seven:
-    one shuffle by order, and for the products a broadcast if they measure small
-    enough, else one more shuffle. ``list_price`` is the order line's.
+    order lines, by far the most rows, then go through two joins instead of seven.
+    While they are shuffled by order, the product branch finishes, so AQE knows its true
+    size: it is broadcast under the threshold, and shuffled with hot products split
+    beyond it. ``list_price`` is the order line's.
     """
     order_side = (
         orders.select(
@@ -96,6 +96,6 @@ def order_sales(
     # on order_date thins the lines before the products are looked up.
     return (
         lines.join(order_side, F.col("order_id") == F.col("_order_id"), "left")
-        .join(broadcast_if_small(product_side), F.col("_product_id") == F.col("product_id"), "left")
+        .join(product_side, F.col("_product_id") == F.col("product_id"), "left")
         .select(*ORDER_SALES_COLUMNS)
     )

@@ -7,12 +7,13 @@ AS_OF = "DATE '2001-12-31'"
 DAY_BEFORE = "DATE '2001-12-30'"
 
 BRANDS = "SELECT DISTINCT CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS brand_id, p_brand AS brand_name FROM part"
-CATEGORIES = "SELECT min(p_partkey) AS category_id, p_type AS category_name FROM part GROUP BY p_type"
+CATEGORY_ID = "CAST('0x' || substr(md5(p_type), 1, 8) AS BIGINT)"
+CATEGORIES = f"SELECT DISTINCT {CATEGORY_ID} AS category_id, p_type AS category_name FROM part"
 PRODUCTS = f"""
-    SELECT p.p_partkey AS product_id, p.p_name AS product_name,
-           CAST(replace(p.p_brand, 'Brand#', '') AS BIGINT) AS brand_id,
-           k.category_id, p.p_retailprice AS list_price
-    FROM part p JOIN ({CATEGORIES}) k ON k.category_name = p.p_type"""
+    SELECT p_partkey AS product_id, p_name AS product_name,
+           CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS brand_id,
+           {CATEGORY_ID} AS category_id, p_retailprice AS list_price
+    FROM part"""
 CUSTOMERS = "SELECT c_custkey AS customer_id, c_name AS first_name, c_mktsegment AS last_name FROM customer"
 STAFFS = "SELECT s_suppkey AS staff_id, s_name AS first_name, CAST(s_nationkey AS VARCHAR) AS last_name FROM supplier"
 STORES = "SELECT CAST(n_nationkey AS BIGINT) AS store_id, n_name AS store_name FROM nation"
