@@ -125,7 +125,7 @@ def load_fact_stocks(lake: Lake, as_of: date) -> None:
     if config.rebuild_stocks or not lake.exists("gold", "fato_stocks"):
         lake.overwrite(gold.fact_stocks(snapshot, dims, dim_date, as_of), "gold", "fato_stocks")
         return
-    mark = gold.stock_watermark(lake.read("gold", "fato_stocks"), dim_date).first()["date"]
+    mark = gold.stock_watermark(lake.partition_values("gold", "fato_stocks"), dim_date).first()["date"]
     if config.snapshot_mode == "replace_day" and mark is not None:
         again = lake.read("silver", "stocks_snapshot", above=mark - timedelta(days=1))
         lake.replace_partitions(gold.fact_stocks(again, dims, dim_date, as_of), "gold", "fato_stocks")

@@ -22,6 +22,11 @@ DATED = {
     ("gold", "fato_stocks"): ("date_sk", "date_sk"),
 }
 
+# Column order of a table whose partition column is not its last one.
+COLUMN_ORDER = {
+    ("gold", "fato_stocks"): ("product_sk", "store_sk", "date_sk", "quantity", "data_criacao_registro"),
+}
+
 
 class Lake:
     """The tables of one lake in one session."""
@@ -55,30 +60,32 @@ class Lake:
             rows = rows.filter(F.col(column) > moment(above))
             if partition != column:
                 rows = rows.filter(F.col(partition) >= above.year * 100 + above.month)
-        if partition in (None, column):
-            return rows
-        return rows.drop(partition)
+        if (layer, table) in COLUMN_ORDER:
+            return rows.select(*COLUMN_ORDER[(layer, table)])
+        return rows if partition in (None, column) else rows.drop(partition)
+
+    def partition_values(self, layer: str, table: str) -> DataFrame:
+        """The values of the partition column, NULL left out: from the catalog where it
+        keeps partitions, so that no data file is opened, else from the rows."""
+        partition = DATED[(layer, table)][1]
+        stored = self.spark.table(self.name(layer, table)).select(partition)
+        if self.config.table_format not in ("parquet", "orc"):
+            return stored.distinct().dropna()
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(layer, table)}")
+        value = F.split_part(F.col("partition"), F.lit("="), F.lit(2))
+        return listed.select(value.try_cast(stored.schema[0].dataType).alias(partition)).dropna()
 
     def watermark(self, layer: str, table: str) -> date | None:
         """The latest day stored in a dated table; None when it holds no dated row.
 
-        The catalog names the newest partition, and only that one is scanned.
+        Only the newest partition is scanned.
         """
         column, partition = DATED[(layer, table)]
-        name = self.name(layer, table)
-        spec = F.split_part(F.col("partition"), F.lit("="), F.lit(2))
-        newest = (
-            self.spark.sql(f"SHOW PARTITIONS {name}")
-            .filter(~spec.startswith("__HIVE_DEFAULT_PARTITION__") & (spec != "null"))
-            .agg(F.max(spec).alias("newest"))
-            .first()["newest"]
-        )
-        if newest is None:
-            return None
-        if partition == column:
-            return date.fromisoformat(newest)
-        mark = self.spark.table(name).filter(F.col(partition) == int(newest)).agg(F.max(column).alias("mark"))
-        return mark.first()["mark"]
+        newest = self.partition_values(layer, table).agg(F.max(partition).alias("value")).first()["value"]
+        if newest is None or partition == column:
+            return newest
+        stored = self.spark.table(self.name(layer, table)).filter(F.col(partition) == newest)
+        return stored.agg(F.max(column).alias("mark")).first()["mark"]
 
     def append(self, rows: DataFrame, layer: str, table: str) -> None:
         """Add rows, creating the table when it is missing."""

@@ -1,0 +1,54 @@
+from datetime import date, datetime
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from starlift.config import CALENDAR_END, CALENDAR_START
+from starlift.functions import calendar, calendar_between, date_id, full_name, moment, month_of
+
+
+def test_full_name_is_null_when_a_part_is_null(spark):
+    names = spark.createDataFrame([("a", "b"), ("a", None), (None, "b")], "first string, last string")
+    assert rows(names.select(full_name("first", "last"))) == [("a b",), (None,), (None,)]
+    assert rows(names.select(full_name("first", "last", ""))) == [("ab",), (None,), (None,)]
+
+
+def test_date_id_equals_the_formatted_day(spark):
+    days = spark.range(4000).select(F.date_add(F.lit(date(1995, 1, 1)), F.col("id").cast("int")).alias("d"))
+    checked = days.select(
+        date_id("d").alias("by_parts"),
+        F.date_format("d", "yyyyMMdd").cast("int").alias("by_text"),
+        month_of("d").alias("month"),
+        F.date_format("d", "yyyyMM").cast("int").alias("month_text"),
+    )
+    assert checked.filter("by_parts <> by_text OR month <> month_text").count() == 0
+    assert dict(checked.dtypes)["by_parts"] == "int"
+
+
+def test_calendar_of_the_fixed_range(spark):
+    days = calendar_between(spark, CALENDAR_START, CALENDAR_END)
+    assert days.dtypes == [
+        ("date_sk", "bigint"),
+        ("date_id", "int"),
+        ("date", "timestamp_ntz"),
+        ("year", "bigint"),
+        ("month", "bigint"),
+        ("day", "bigint"),
+    ]
+    ordered = days.orderBy("date_id").collect()
+    assert len(ordered) == 7670
+    assert tuple(ordered[0]) == (1, 20100101, datetime(2010, 1, 1), 2010, 1, 1)
+    assert tuple(ordered[-1]) == (7670, 20301231, datetime(2030, 12, 31), 2030, 12, 31)
+    assert [row["date_sk"] for row in ordered] == list(range(1, 7671))
+
+
+def test_calendar_of_no_days_is_empty(spark):
+    bounds = spark.createDataFrame([(None, None)], "first_day date, last_day date")
+    assert calendar(bounds).count() == 0
+
+
+def test_moment_reaches_the_scan(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    for mark in (date(1999, 12, 31), datetime(1999, 12, 31)):
+        plan = orders.filter(F.col("o_orderdate") > moment(mark))._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThan(o_orderdate,1999-12-31T00:00)" in plan

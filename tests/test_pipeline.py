@@ -1,0 +1,223 @@
+from dataclasses import replace
+from datetime import date
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from starlift import Lake, LakeConfig
+from starlift.__main__ import main
+from starlift.operators.staging import discard, new_folder, stage, staging_root
+from starlift.plans import run_all, run_gold
+
+DAY_1, DAY_2 = date(2020, 2, 1), date(2020, 2, 2)
+
+FIRST = {
+    "brands": "brand_id,brand_name\n1,Acme\n",
+    "categories": "category_id,category_name\n1,Road\n",
+    "customers": "customer_id,first_name,last_name\n1,Ann,Lee\n3,Cy,Moe\n",
+    "products": (
+        "product_id,product_name,brand_id,category_id,model_year,list_price\n"
+        '10,"Bike 16""",1,1,2019,100.5\n20,Fork,1,1,2019,20\n'
+    ),
+    "staffs": (
+        "staff_id,first_name,last_name,email,phone,active,store_id,manager_id\n"
+        "1,Sue,Fox,s@example.org,1,1,1,NULL\n"
+    ),
+    "stores": "store_id,store_name,phone,email,street,city,state,zip_code\n1,North,1,n@example.org,a,b,c,123\n",
+    "orders": (
+        "order_id,customer_id,order_status,order_date,store_id,staff_id\n"
+        "100,1,4,2020-01-10,1,1\n101,3,4,2020-01-20,1,1\n"
+    ),
+    "order_items": (
+        "order_id,item_id,product_id,quantity,list_price,discount\n100,1,10,2,99.5,0.1\n101,1,10,1,100.5,0\n"
+    ),
+    "stocks": "store_id,product_id,quantity\n1,10,5\n1,20,7\n",
+}
+# One new customer between the known ids, a new product sold, a rename, two orders
+# after the last one and a late one before it, and new stock numbers.
+SECOND = FIRST | {
+    "customers": "customer_id,first_name,last_name\n1,Anna,Lee\n2,Bo,Kim\n3,Cy,Moe\n",
+    "orders": FIRST["orders"] + "102,2,4,2020-01-25,1,1\n103,1,4,2020-02-02,1,1\n104,3,4,2020-01-15,1,1\n",
+    "order_items": FIRST["order_items"] + "102,1,20,1,20,0\n103,1,20,3,20,0\n104,1,10,1,100.5,0\n",
+    "stocks": "store_id,product_id,quantity\n1,10,4\n1,20,9\n",
+}
+
+
+def write(folder, tables):
+    folder.mkdir()
+    for entity, text in tables.items():
+        (folder / f"{entity}.csv").write_text(text)
+    return str(folder)
+
+
+@pytest.fixture(scope="module")
+def extracts(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("extracts")
+    return write(folder / "first", FIRST), write(folder / "second", SECOND)
+
+
+@pytest.fixture(scope="module")
+def make_lake(spark, tmp_path_factory):
+    made = []
+
+    def make(label, **rules):
+        config = LakeConfig(root=str(tmp_path_factory.mktemp(label)), prefix=f"{label}_")
+        made.append(Lake(spark, replace(config, **rules)))
+        return made[-1]
+
+    yield make
+    for lake in made:
+        lake.drop()
+
+
+def orders_in(lake, layer, table):
+    return sorted(row["order_id"] for row in lake.read(layer, table).select("order_id").collect())
+
+
+def test_two_extracts_with_the_default_rules(make_lake, extracts):
+    lake = make_lake("safe")
+    first, second = extracts
+    run_all(lake, first, DAY_1)
+    assert rows(lake.read("gold", "dim_products").drop("data_criacao_registro")) == [
+        (1, 10, 'Bike 16"', "Acme", "Road")
+    ]
+    assert rows(lake.read("gold", "fact_sales")) == [
+        (1, 1, 1, 1, 3662, 1, 100, date(2020, 1, 10), 2, 99.5, 0.1, DAY_1),
+        (1, 2, 1, 1, 3672, 1, 101, date(2020, 1, 20), 1, 100.5, 0.0, DAY_1),
+    ]
+    assert rows(lake.read("gold", "fato_stocks")) == sorted(
+        [(1, 1, 3684, 5, DAY_1), (None, 1, 3684, 7, DAY_1)], key=repr
+    )
+
+    run_all(lake, second, DAY_2)
+    # Bronze keeps stored rows, takes new ones; the late order stays behind the watermark.
+    assert rows(lake.read("bronze", "customers").select("customer_id", "first_name")) == [
+        (1, "Ann"),
+        (2, "Bo"),
+        (3, "Cy"),
+    ]
+    assert orders_in(lake, "bronze", "orders") == [100, 101, 102, 103]
+    assert orders_in(lake, "bronze", "order_items") == [100, 101, 102, 103, 104]
+    assert rows(lake.read("bronze", "stocks")) == [(1, 10, 4), (1, 20, 9)]
+    assert orders_in(lake, "silver", "order_sales") == [100, 101, 102, 103]
+    assert lake.read("silver", "stocks_snapshot").count() == 4
+    # New members follow the stored keys.
+    assert rows(lake.read("gold", "dim_customers").select("customer_sk", "customer_id")) == [(1, 1), (2, 3), (3, 2)]
+    assert rows(lake.read("gold", "dim_products").select("product_sk", "product_id")) == [(1, 10), (2, 20)]
+    fact = lake.read("gold", "fact_sales")
+    assert rows(fact.select("order_id", "customer_sk", "product_sk")) == [
+        (100, 1, 1),
+        (101, 2, 1),
+        (102, 3, 2),
+        (103, 1, 2),
+    ]
+    stocks = lake.read("gold", "fato_stocks")
+    assert stocks.columns == ["product_sk", "store_sk", "date_sk", "quantity", "data_criacao_registro"]
+    by_day = {DAY_1: [4, 5, 7, 9]}
+    assert sorted(row["quantity"] for row in stocks.collect()) == by_day[DAY_1]
+
+    before = {table: lake.count(*table) for table in all_tables(lake)}
+    run_all(lake, second, DAY_2)
+    assert {table: lake.count(*table) for table in all_tables(lake)} == before
+    assert lake.preview("gold", "dim_date").count() == 5
+
+
+def all_tables(lake):
+    return [
+        (layer, table.name)
+        for layer in ("bronze", "silver", "gold")
+        for table in lake.spark.catalog.listTables(lake.config.database(layer))
+        if not table.isTemporary
+    ]
+
+
+def test_two_extracts_with_the_strict_rules(make_lake, extracts):
+    lake = make_lake("strict")
+    lake = Lake(lake.spark, lake.config.parity())
+    first, second = extracts
+    run_all(lake, first, DAY_1)
+    run_all(lake, second, DAY_2)
+    # The new customer's rank repeats a stored key, so its sale gets both customers' key.
+    assert rows(lake.read("gold", "dim_customers").select("customer_sk", "customer_id")) == [(1, 1), (2, 2), (2, 3)]
+    assert lake.count("gold", "fact_sales") == lake.count("silver", "order_sales") == 4
+    run_all(lake, second, DAY_2)
+    # The repeated day doubles its snapshot, and the rebuilt fact follows it.
+    assert lake.count("silver", "stocks_snapshot") == 6
+    assert lake.count("gold", "fato_stocks") == 6
+    assert lake.count("gold", "fact_sales") == 4
+
+
+def test_late_orders_within_the_grace_days(make_lake, extracts):
+    """The late order reaches silver and gold once its bronze row is there."""
+    lake = make_lake("late", late_days=30)
+    first, second = extracts
+    run_all(lake, first, DAY_1)
+    late = lake.read("bronze", "orders").filter("order_id = 100").withColumn("order_id", F.lit(104).cast("long"))
+    lake.append(late.withColumn("order_date", F.lit(date(2020, 1, 15))), "bronze", "orders")
+    run_all(lake, second, DAY_2)
+    assert orders_in(lake, "silver", "order_sales") == [100, 101, 102, 103, 104]
+    assert orders_in(lake, "gold", "fact_sales") == [100, 101, 102, 103, 104]
+
+
+def test_a_table_that_exists_but_is_empty(make_lake, extracts):
+    """By the strict rule it never fills; by the default it takes everything."""
+    for label, mode, expected in (("emptynone", "none", 0), ("emptyall", "all", 2)):
+        lake = make_lake(label, empty_watermark=mode)
+        run_all(lake, extracts[0], DAY_1)
+        nothing = stage(lake.read("silver", "order_sales").limit(0), "nothing")
+        lake.overwrite(nothing, "silver", "order_sales")
+        assert lake.watermark("silver", "order_sales") is None
+        run_all(lake, extracts[0], DAY_1)
+        assert lake.count("silver", "order_sales") == expected
+
+
+def test_the_load_day_must_be_in_the_calendar(make_lake):
+    with pytest.raises(ValueError, match="calendar"):
+        run_gold(make_lake("off"), date(2031, 1, 1))
+
+
+def test_increments_skip_old_partitions(make_lake, extracts):
+    lake = make_lake("pruned")
+    run_all(lake, extracts[1], DAY_2)
+    assert lake.watermark("silver", "order_sales") == DAY_2
+    plan = lake.read("silver", "order_sales", above=date(2020, 1, 31))._jdf.queryExecution().executedPlan().toString()
+    assert "order_month" in plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
+    assert "GreaterThan(order_date" in plan
+    assert rows(lake.partition_values("gold", "fato_stocks")) == [(3685,)]
+
+
+def test_a_missing_database_is_not_a_missing_table(make_lake, spark):
+    lake = make_lake("nothing")
+    assert not lake.exists("gold", "dim_date")
+    lake.create_databases()
+    assert not lake.exists("gold", "dim_date")
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        lake.read("gold", "dim_date")
+
+
+def test_rules_are_checked():
+    with pytest.raises(ValueError, match="sk_mode"):
+        LakeConfig(root="/x", sk_mode="other")
+    with pytest.raises(ValueError, match="root"):
+        LakeConfig()
+    assert not LakeConfig(root="/x", sk_mode="rank").new_sales_only
+    assert LakeConfig(root="/x").parity().null_aware
+
+
+def test_staging_uses_the_shared_folder(spark):
+    folder = new_folder(spark, "probe")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        assert staging_root(spark) == shared.rstrip("/")
+    spark.range(3).write.parquet(folder)
+    discard(spark, folder)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(folder)
+    with pytest.raises(ValueError, match="staging"):
+        discard(spark, "/somewhere/else")
+
+
+def test_command_line(spark, extracts, tmp_path):
+    main(["--source", extracts[0], "--root", str(tmp_path), "--prefix", "cli_", "--as-of", "2020-02-01"])
+    assert spark.table("cli_gold.fact_sales").count() == 2
