@@ -237,14 +237,14 @@ def _stock_dims(sales: DataFrame) -> dict[str, DataFrame]:
 
 def gold_fact_stocks(spark: SparkSession, folder: str) -> DataFrame:
     entities = Entities(spark, folder)
-    snapshot = dated_snapshot(entities.stocks, AS_OF)
+    snapshot = stage(dated_snapshot(entities.stocks, AS_OF), "snapshot")
     return gold.fact_stocks(snapshot, _stock_dims(entities.order_sales()), entities.dim_date, AS_OF)
 
 
 def gold_fact_stocks_unsold(spark: SparkSession, folder: str) -> DataFrame:
     """Stocks of products and stores that the dimensions do not know."""
     entities = Entities(spark, folder)
-    snapshot = dated_snapshot(entities.stocks, AS_OF)
+    snapshot = stage(dated_snapshot(entities.stocks, AS_OF), "snapshot")
     dims = _stock_dims(entities.earlier_sales(entities.order_sales()))
     return gold.fact_stocks(snapshot, dims, entities.dim_date, AS_OF)
 
@@ -253,12 +253,12 @@ def gold_fact_stocks_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Two snapshots, the first already in the fact: the calendar tells which is new."""
     entities = Entities(spark, folder)
     dims = _stock_dims(entities.order_sales())
-    stocks = stage(entities.stocks, "stocks")
-    first, second = dated_snapshot(stocks, DAY_BEFORE), dated_snapshot(stocks, AS_OF)
-    stored = gold.fact_stocks(first, dims, entities.dim_date, DAY_BEFORE)
+    stocks = entities.stocks
+    snapshots = stage(dated_snapshot(stocks, DAY_BEFORE).unionByName(dated_snapshot(stocks, AS_OF)), "snapshots")
+    earlier = snapshots.filter(F.col("dt_stock") <= F.lit(DAY_BEFORE))
+    stored = gold.fact_stocks(earlier, dims, entities.dim_date, DAY_BEFORE)
     mark = gold.stock_watermark(stored, entities.dim_date).scalar()
-    fresh = after_watermark(first.unionByName(second), "dt_stock", mark)
-    return gold.fact_stocks(fresh, dims, entities.dim_date, AS_OF)
+    return gold.fact_stocks(after_watermark(snapshots, "dt_stock", mark), dims, entities.dim_date, AS_OF)
 
 
 def serve_gold_table(spark: SparkSession, folder: str) -> DataFrame:

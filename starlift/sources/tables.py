@@ -115,7 +115,7 @@ class Lake:
             return rows
         if partition != column:
             rows = rows.withColumn(partition, month_of(column))
-        return rows.hint("rebalance", partition)
+        return rows.hint("rebalance", F.col(partition))
 
     def _save(self, rows: DataFrame, layer: str, table: str, mode: str) -> None:
         writer = self._laid_out(rows, layer, table).write.format(self.config.table_format).mode(mode)
