@@ -46,7 +46,7 @@ def main() -> None:
     cores = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINES
-    spark = local_session("starlift-bench", cores, spark__sql__shuffle__partitions=cores)
+    spark = local_session("starlift-bench", cores)
     queries = catalogue()
     for name in names:  # warm runs are compared: start-up is not a query's cost
         if not name.startswith("pipeline"):

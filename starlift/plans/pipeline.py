@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from starlift.functions.calendar import calendar_between
 from starlift.operators.policies import after_watermark, dated_snapshot, late_or_after
@@ -37,9 +38,17 @@ def run_bronze(lake: Lake) -> None:
 
 
 def _flat_sales(lake: Lake, above: date | None = None) -> DataFrame:
-    tables = {name: lake.read("bronze", name) for name in ENTITIES if name not in ("stocks", "orders")}
-    orders = lake.read("bronze", "orders", above)
-    return silver.order_sales(orders=orders, name_separator=lake.config.name_separator, **tables)
+    """The sales of all orders, or of those dated after ``above``.
+
+    Of the order lines only those within the id range of such orders can match. Ids
+    mostly grow with time, so the range skips the row groups of older loads.
+    """
+    tables = {name: lake.read("bronze", name) for name in ENTITIES if name != "stocks"}
+    if above is not None:
+        tables["orders"] = lake.read("bronze", "orders", above)
+        ids = tables["orders"].agg(F.min("order_id").alias("low"), F.max("order_id").alias("high")).first()
+        tables["order_items"] = tables["order_items"].filter(F.col("order_id").between(ids["low"], ids["high"]))
+    return silver.order_sales(name_separator=lake.config.name_separator, **tables)
 
 
 def load_order_sales(lake: Lake) -> None:
@@ -51,8 +60,9 @@ def load_order_sales(lake: Lake) -> None:
     if mark is None:
         rows = after_watermark(_flat_sales(lake), "order_date", None, config.empty_watermark)
     elif config.late_days:
-        recent = _flat_sales(lake, above=mark - timedelta(days=config.late_days))
-        stored = lake.read("silver", "order_sales", above=mark - timedelta(days=config.late_days))
+        floor = mark - timedelta(days=config.late_days)
+        recent = _flat_sales(lake, above=floor)
+        stored = lake.read("silver", "order_sales", above=floor)
         rows = late_or_after(recent, stored, "order_date", mark, config.late_days, LINE_KEY)
     else:
         rows = after_watermark(_flat_sales(lake, above=mark), "order_date", mark)

@@ -125,6 +125,12 @@ def bronze_order_items_new(spark: SparkSession, folder: str) -> DataFrame:
     return unseen_pairs(entities.order_items, entities.items_loaded)
 
 
+def bronze_order_items_new_by_item(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with order and item as the key: a second line of a product is not lost."""
+    entities = Entities(spark, folder)
+    return unseen_pairs(entities.order_items, entities.items_loaded, keys=LINE_KEY)
+
+
 def bronze_orders_new(spark: SparkSession, folder: str) -> DataFrame:
     entities = Entities(spark, folder)
     mark = watermark(entities.orders_loaded, "order_date").scalar()
@@ -188,6 +194,12 @@ def gold_dim(spark: SparkSession, folder: str, dimension: gold.Dimension) -> Dat
     return gold.dimension_rows(Entities(spark, folder).order_sales(), dimension, AS_OF)
 
 
+def gold_dim_customers_orphans(spark: SparkSession, folder: str) -> DataFrame:
+    """The dimension when some orders have not landed: the NULL member gets the last key."""
+    entities = Entities(spark, folder)
+    return gold.dimension_rows(entities.order_sales(orders=entities.orders_loaded), gold.DIMENSIONS[1], AS_OF)
+
+
 def gold_dim_new(spark: SparkSession, folder: str, dimension: gold.Dimension, mode: str) -> DataFrame:
     """Members that joined after the earlier load, keyed by rank or above the stored keys."""
     entities = Entities(spark, folder)
@@ -227,6 +239,15 @@ def gold_fact_sales_orphans(spark: SparkSession, folder: str) -> DataFrame:
     return gold.fact_sales(sales, dims, entities.dim_date, AS_OF)
 
 
+def gold_fact_sales_renamed(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers had other names before the cutoff: two members per id, and the fact
+    has a row for each."""
+    entities = Entities(spark, folder)
+    name = F.when(F.col("order_date") <= F.lit(CUTOFF), F.lower("customer_name")).otherwise(F.col("customer_name"))
+    sales = stage(entities.order_sales().withColumn("customer_name", name), "order_sales")
+    return gold.fact_sales(sales, gold.all_dimensions(sales, AS_OF), entities.dim_date, AS_OF)
+
+
 def _stock_dims(sales: DataFrame) -> dict[str, DataFrame]:
     wanted = [dimension for dimension in gold.DIMENSIONS if dimension.table in ("dim_products", "dim_stores")]
     built = together(
@@ -358,6 +379,7 @@ def catalogue() -> dict[str, Query]:
         queries[f"bronze_merge_{entity}"] = partial(bronze_merge, entity=entity)
     for query in (
         bronze_order_items_new,
+        bronze_order_items_new_by_item,
         bronze_orders_new,
         bronze_stocks_refresh,
         silver_order_sales_full,
@@ -373,10 +395,12 @@ def catalogue() -> dict[str, Query]:
         for mode in ("rank", "offset"):
             queries[f"gold_{dimension.table}_new_{mode}"] = partial(gold_dim_new, dimension=dimension, mode=mode)
     for query in (
+        gold_dim_customers_orphans,
         gold_dim_date,
         gold_fact_sales,
         gold_fact_sales_incremental,
         gold_fact_sales_orphans,
+        gold_fact_sales_renamed,
         gold_fact_stocks,
         gold_fact_stocks_unsold,
         gold_fact_stocks_incremental,

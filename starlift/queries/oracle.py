@@ -54,6 +54,10 @@ def _sales(separator: str = " ", orders: str = ORDERS) -> str:
 
 
 SALES = _sales()
+ORPHAN_SALES = _sales(orders=f"SELECT * FROM ({ORDERS}) WHERE order_date <= {CUTOFF}")
+RENAMED_SALES = f"""
+    SELECT * REPLACE (CASE WHEN order_date <= {CUTOFF} THEN lower(customer_name) ELSE customer_name END AS customer_name)
+    FROM ({SALES})"""
 EARLIER_SALES = f"""
     SELECT * FROM sales WHERE category_name <> 'PROMO' AND store_id NOT IN ({LATER_STORES})"""
 CALENDAR = """
@@ -82,10 +86,10 @@ def _dim(table: str, sales: str, as_of: str = AS_OF) -> str:
     FROM (SELECT DISTINCT {key}, {attributes} FROM {sales})"""
 
 
-def _with_dims(source: str, tables: tuple[str, ...] = tuple(DIMS)) -> str:
+def _with_dims(source: str, sales: str = SALES) -> str:
     """CTEs: sales, earlier_sales, the dimensions over ``source``, the calendar."""
-    dims = ", ".join(f"{table} AS ({_dim(table, source)})" for table in tables)
-    return f"WITH sales AS ({SALES}), earlier_sales AS ({EARLIER_SALES}), {dims}, dim_date AS ({CALENDAR})"
+    dims = ", ".join(f"{table} AS ({_dim(table, source)})" for table in DIMS)
+    return f"WITH sales AS ({sales}), earlier_sales AS ({EARLIER_SALES}), {dims}, dim_date AS ({CALENDAR})"
 
 
 FACT_SALES = f"""
@@ -192,6 +196,12 @@ def oracle() -> dict[str, str]:
             SELECT * FROM arrived a
             WHERE NOT EXISTS (SELECT 1 FROM stored s
                               WHERE s.order_id = a.order_id AND s.product_id IS NOT DISTINCT FROM a.product_id)""",
+        "bronze_order_items_new_by_item": f"""
+            WITH arrived AS ({ITEMS}),
+                 stored AS (SELECT {ITEM_COLUMNS} FROM lineitem WHERE l_shipdate <= {CUTOFF})
+            SELECT * FROM arrived a
+            WHERE NOT EXISTS (SELECT 1 FROM stored s
+                              WHERE s.order_id = a.order_id AND s.item_id IS NOT DISTINCT FROM a.item_id)""",
         "bronze_orders_new": f"""
             WITH arrived AS ({ORDERS})
             SELECT * FROM arrived
@@ -211,15 +221,15 @@ def oracle() -> dict[str, str]:
             WHERE order_date > {CUTOFF} - INTERVAL 90 DAY
               AND (order_date > {CUTOFF}
                    OR NOT EXISTS (SELECT 1 FROM stored WHERE l_orderkey = order_id AND l_linenumber = item_id))""",
-        "silver_order_sales_orphans": _sales(
-            orders=f"SELECT * FROM ({ORDERS}) WHERE order_date <= {CUTOFF}"
-        ),
+        "silver_order_sales_orphans": ORPHAN_SALES,
         "silver_stocks_snapshot": snapshot,
         "gold_dim_date": CALENDAR,
         "gold_fact_sales": f"{_with_dims('sales')} {FACT_SALES}",
         "gold_fact_sales_incremental": f"""{_with_dims('sales')} {FACT_SALES}
             WHERE order_date > (SELECT max(order_date) FROM sales WHERE order_date <= {CUTOFF})""",
         "gold_fact_sales_orphans": f"{_with_dims('earlier_sales')} {FACT_SALES}",
+        "gold_fact_sales_renamed": f"{_with_dims('sales', RENAMED_SALES)} {FACT_SALES}",
+        "gold_dim_customers_orphans": f"WITH sales AS ({ORPHAN_SALES}) {_dim('dim_customers', 'sales')}",
         "gold_fact_stocks": f"{_with_dims('sales')} {_fact_stocks(snapshot)}",
         "gold_fact_stocks_unsold": f"{_with_dims('earlier_sales')} {_fact_stocks(snapshot)}",
         "gold_fact_stocks_incremental": f"""

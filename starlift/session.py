@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# What the jobs here rely on, at cluster scale. AQE splits hot join partitions
-# and coalesces small ones, so the partition count is set for the largest shuffle.
+# What the jobs here rely on, at cluster scale. AQE splits hot join partitions and
+# coalesces small ones, so the partition count is set for the largest shuffle; it also
+# skips the sort of a join whose build partitions turn out small enough to hash.
 CLUSTER_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.shuffle.partitions": "40000",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
@@ -20,19 +23,22 @@ CLUSTER_SETTINGS = {
 }
 
 
+# The same on one machine: smaller partitions, so that all cores share a hot key.
+LOCAL_SETTINGS = CLUSTER_SETTINGS | {
+    "spark.ui.enabled": "false",
+    "spark.driver.memory": "8g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "16m",
+    "spark.sql.files.maxPartitionBytes": "128m",
+}
+
+
 def local_session(app: str = "starlift", cores: int | str = 8, **settings: str) -> SparkSession:
-    """A session on this machine, sized for the small test tables."""
-    builder = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    )
-    for name, value in settings.items():
-        builder = builder.config(name.replace("__", "."), value)
-    session = builder.getOrCreate()
+    """A session on this machine; ``settings`` are named with ``__`` for each dot."""
+    chosen = LOCAL_SETTINGS | {"spark.sql.shuffle.partitions": str(cores)}
+    chosen |= {name.replace("__", "."): value for name, value in settings.items()}
+    builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    session = builder.config(map=chosen).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session

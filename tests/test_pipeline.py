@@ -75,8 +75,9 @@ def orders_in(lake, layer, table):
     return sorted(row["order_id"] for row in lake.read(layer, table).select("order_id").collect())
 
 
-def test_two_extracts_with_the_default_rules(make_lake, extracts):
-    lake = make_lake("safe")
+@pytest.mark.parametrize("table_format", ["parquet", "orc"])
+def test_two_extracts_with_the_default_rules(make_lake, extracts, table_format):
+    lake = make_lake(f"safe_{table_format}", table_format=table_format)
     first, second = extracts
     run_all(lake, first, DAY_1)
     assert rows(lake.read("gold", "dim_products").drop("data_criacao_registro")) == [
