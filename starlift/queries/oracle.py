@@ -252,7 +252,7 @@ def oracle() -> dict[str, str]:
             WHERE customer_id NOT IN (SELECT customer_id FROM ({SALES})
                                       WHERE order_date < {CUTOFF} - INTERVAL 54 MONTH)""",
         "table_exists_and_count": """
-            SELECT 'false' AS existed, 'true' AS exists_now, count(*) AS n_rows, 5 AS n_preview, 'true' AS up_to_date
+            SELECT 'false' AS existed, 'true' AS exists_now, count(*) AS n_rows, CAST(5 AS BIGINT) AS n_preview, 'true' AS up_to_date
             FROM orders""",
         "pipeline_two_runs": _two_runs_counts(snapshots=2),
         "pipeline_two_runs_parity": _two_runs_counts(snapshots=3),

@@ -18,6 +18,16 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def plain(value):
     """Dates and midnight timestamps alike, numbers by value."""
     if isinstance(value, datetime.datetime):
@@ -41,6 +51,10 @@ def compare(result, connection, sql: str) -> str | None:
     columns = [part[0] for part in answer.description]
     if sorted(columns) != sorted(result.columns):
         return f"columns {sorted(result.columns)} != {sorted(columns)}"
+    types = {part[0]: str(part[1]) for part in answer.description}
+    for name, kind in result.dtypes:
+        if types[name] != TYPES[kind]:
+            return f"{name}: {kind} != {types[name]}"
     expected = sorted_rows(columns, answer.fetchall())
     actual = sorted_rows(result.columns, [tuple(row) for row in result.collect()])
     if len(actual) != len(expected):
