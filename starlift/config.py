@@ -27,7 +27,9 @@ class LakeConfig:
     empty_watermark 'all': an empty target takes everything; 'none': it takes nothing
     late_days       also take unseen rows up to this many days behind the watermark
     new_sales_only  look for new members only in sales the facts do not hold yet
+    item_key        columns that tell a stored order line from a new one
     null_marker     text that stands for NULL in the landing CSV; None = keep it as text
+    multiline       the CSV files have line breaks inside quotes (they cannot be split then)
     """
 
     root: str | None = None
@@ -44,7 +46,9 @@ class LakeConfig:
     empty_watermark: str = "all"
     late_days: int = 0
     new_sales_only: bool = True
+    item_key: tuple[str, ...] = ("order_id", "product_id")
     null_marker: str | None = None
+    multiline: bool = False
 
     def __post_init__(self):
         allowed = {

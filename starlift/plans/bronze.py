@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from starlift.operators.policies import after_watermark, insert_only, unseen_pairs
+from datetime import timedelta
+
+from starlift.operators.policies import after_watermark, insert_only, late_or_after, unseen_pairs
 from starlift.sources.landing import read_landing
 from starlift.sources.schemas import KEYS
 from starlift.sources.tables import Lake
@@ -15,7 +17,9 @@ def load_entity(lake: Lake, entity: str) -> None:
     count would run the whole comparison twice.
     """
     config = lake.config
-    source = read_landing(lake.spark, config.landing_dir, entity, null_marker=config.null_marker)
+    source = read_landing(
+        lake.spark, config.landing_dir, entity, null_marker=config.null_marker, multiline=config.multiline
+    )
     if entity == "stocks":
         lake.overwrite(source, "bronze", entity)
     elif not lake.exists("bronze", entity):
@@ -23,9 +27,14 @@ def load_entity(lake: Lake, entity: str) -> None:
     elif entity in KEYS:
         lake.append(insert_only(source, lake.read("bronze", entity), KEYS[entity]), "bronze", entity)
     elif entity == "order_items":
-        lake.append(unseen_pairs(source, lake.read("bronze", entity)), "bronze", entity)
+        lake.append(unseen_pairs(source, lake.read("bronze", entity), config.item_key), "bronze", entity)
     elif entity == "orders":
         mark = lake.watermark("bronze", entity)
-        lake.append(after_watermark(source, "order_date", mark, config.empty_watermark), "bronze", entity)
+        if mark is not None and config.late_days:
+            stored = lake.read("bronze", entity, above=mark - timedelta(days=config.late_days))
+            rows = late_or_after(source, stored, "order_date", mark, config.late_days, ["order_id"])
+        else:
+            rows = after_watermark(source, "order_date", mark, config.empty_watermark)
+        lake.append(rows, "bronze", entity)
     else:
         raise ValueError(f"no load rule for {entity}")

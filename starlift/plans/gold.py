@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,7 +59,7 @@ def all_dimensions(order_sales: DataFrame, as_of: date, folder: str | None = Non
     """The four dimensions by table name, built side by side."""
     built = together(
         order_sales.sparkSession,
-        *[lambda dimension=dimension: dimension_rows(order_sales, dimension, as_of, folder) for dimension in DIMENSIONS],
+        *[partial(dimension_rows, order_sales, dimension, as_of, folder) for dimension in DIMENSIONS],
     )
     return {dimension.table: rows for dimension, rows in zip(DIMENSIONS, built)}
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,19 +23,18 @@ LINE_KEY = ("order_id", "item_id")
 
 def run_landing(lake: Lake, source: str) -> None:
     """Publish every CSV extract of ``source`` as it is, replacing the earlier one."""
+    config = lake.config
     found = discover_csv(lake.spark, source)
-    together(
-        lake.spark,
-        *[
-            lambda entity=entity, path=path: copy_csv(lake.spark, path, lake.config.landing_dir, entity)
-            for entity, path in found.items()
-        ],
-    )
+    copies = [
+        partial(copy_csv, lake.spark, path, config.landing_dir, entity, config.multiline)
+        for entity, path in found.items()
+    ]
+    together(lake.spark, *copies)
 
 
 def run_bronze(lake: Lake) -> None:
     lake.create_databases()
-    together(lake.spark, *[lambda entity=entity: bronze.load_entity(lake, entity) for entity in ENTITIES])
+    together(lake.spark, *[partial(bronze.load_entity, lake, entity) for entity in ENTITIES])
 
 
 def _flat_sales(lake: Lake, above: date | None = None) -> DataFrame:
@@ -79,7 +79,7 @@ def load_stocks_snapshot(lake: Lake, as_of: date) -> None:
 
 def run_silver(lake: Lake, as_of: date) -> None:
     lake.create_databases()
-    together(lake.spark, lambda: load_order_sales(lake), lambda: load_stocks_snapshot(lake, as_of))
+    together(lake.spark, partial(load_order_sales, lake), partial(load_stocks_snapshot, lake, as_of))
 
 
 def load_dimension(
@@ -159,15 +159,12 @@ def run_gold(lake: Lake, as_of: date) -> None:
     try:
         together(
             lake.spark,
-            lambda: load_calendar(lake),
-            *[
-                lambda dimension=dimension: load_dimension(lake, dimension, as_of, known_until, folder)
-                for dimension in gold.DIMENSIONS
-            ],
+            partial(load_calendar, lake),
+            *[partial(load_dimension, lake, dimension, as_of, known_until, folder) for dimension in gold.DIMENSIONS],
         )
     finally:
         discard(lake.spark, folder)
-    together(lake.spark, lambda: load_fact_sales(lake, as_of), lambda: load_fact_stocks(lake, as_of))
+    together(lake.spark, partial(load_fact_sales, lake, as_of), partial(load_fact_stocks, lake, as_of))
 
 
 def run_all(lake: Lake, source: str, as_of: date) -> None:

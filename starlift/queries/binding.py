@@ -1,7 +1,8 @@
 """The nine entities over the given parquet tables, and earlier load states of them.
 
 An order's staff and store are derived from its customer, a product's category id
-from the digest of its type, and a store's stock of a product is the quantity sold there. Nothing is sampled or cut: every entity covers its whole tables.
+from the digest of its type, and a store's stock of a product is the quantity sold
+there. Nothing is sampled or cut: every entity covers its whole tables.
 """
 
 from __future__ import annotations

@@ -56,7 +56,8 @@ def _sales(separator: str = " ", orders: str = ORDERS) -> str:
 SALES = _sales()
 ORPHAN_SALES = _sales(orders=f"SELECT * FROM ({ORDERS}) WHERE order_date <= {CUTOFF}")
 RENAMED_SALES = f"""
-    SELECT * REPLACE (CASE WHEN order_date <= {CUTOFF} THEN lower(customer_name) ELSE customer_name END AS customer_name)
+    SELECT * REPLACE (
+        CASE WHEN order_date <= {CUTOFF} THEN lower(customer_name) ELSE customer_name END AS customer_name)
     FROM ({SALES})"""
 EARLIER_SALES = f"""
     SELECT * FROM sales WHERE category_name <> 'PROMO' AND store_id NOT IN ({LATER_STORES})"""
@@ -252,7 +253,8 @@ def oracle() -> dict[str, str]:
             WHERE customer_id NOT IN (SELECT customer_id FROM ({SALES})
                                       WHERE order_date < {CUTOFF} - INTERVAL 54 MONTH)""",
         "table_exists_and_count": """
-            SELECT 'false' AS existed, 'true' AS exists_now, count(*) AS n_rows, CAST(5 AS BIGINT) AS n_preview, 'true' AS up_to_date
+            SELECT 'false' AS existed, 'true' AS exists_now, count(*) AS n_rows,
+                   CAST(5 AS BIGINT) AS n_preview, 'true' AS up_to_date
             FROM orders""",
         "pipeline_two_runs": _two_runs_counts(snapshots=2),
         "pipeline_two_runs_parity": _two_runs_counts(snapshots=3),

@@ -20,8 +20,8 @@ def test_null_ids_come_last(spark):
 
 def test_same_keys_as_a_global_window_over_many_partitions(spark, settings, sf_dir):
     settings(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="13")
-    parts = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_partkey", "l_orderkey", "l_linenumber").distinct()
     order = ["l_partkey", "l_orderkey", "l_linenumber"]
+    parts = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*order).distinct()
     keyed = dense_keys(parts, "sk", order)
     assert keyed.select(F.spark_partition_id()).distinct().count() > 1
     expected = by_window(parts, order)
@@ -59,7 +59,10 @@ def test_no_single_task_sort(spark, sf_dir):
     assert "Window" not in plan and "SinglePartition" not in plan and "Join" not in plan
 
 
-@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 50)), st.text("ab", max_size=3)), max_size=40, unique=True))
+member = st.tuples(st.one_of(st.none(), st.integers(0, 50)), st.text("ab", max_size=3))
+
+
+@given(st.lists(member, max_size=40, unique=True))
 @hypothesis_settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 def test_any_members(spark, members):
     frame = spark.createDataFrame(members, "id long, name string").repartition(5)
