@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starlift import Lake, LakeConfig
 from starlift.__main__ import main
 from starlift.operators.staging import discard, new_folder, stage, staging_root
-from starlift.plans import run_all, run_gold
+from starlift.plans import pipeline, run_all, run_gold
 
 DAY_1, DAY_2 = date(2020, 2, 1), date(2020, 2, 2)
 
@@ -149,6 +149,28 @@ def test_two_extracts_with_the_strict_rules(make_lake, extracts):
     assert lake.count("gold", "fact_sales") == 4
 
 
+@pytest.mark.parametrize("step", ["load_order_sales", "load_dimension", "load_fact_sales", "load_fact_stocks"])
+def test_a_run_that_broke_off_is_made_good_by_the_next(make_lake, extracts, monkeypatch, step):
+    lakes = [make_lake(f"{kind}_{step}") for kind in ("whole", "broken")]
+    for lake in lakes:
+        run_all(lake, extracts[0], DAY_1)
+    with monkeypatch.context() as patched:
+        done = getattr(pipeline, step)
+
+        def dies(lake, *given):
+            if step != "load_dimension" or given[0].table == "dim_customers":
+                raise RuntimeError("lost")
+            done(lake, *given)
+
+        patched.setattr(pipeline, step, dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_all(lakes[1], extracts[1], DAY_2)
+    for lake in lakes:
+        run_all(lake, extracts[1], DAY_2)
+    for layer, table in all_tables(lakes[0]):
+        assert rows(lakes[0].read(layer, table)) == rows(lakes[1].read(layer, table)), table
+
+
 def test_late_orders_within_the_grace_days(make_lake, extracts):
     """The late order, five days behind the watermark, reaches all layers, and only once."""
     lake = make_lake("late", late_days=30)
