@@ -94,7 +94,9 @@ def load_dimension(
     sales = lake.read("silver", "order_sales", known_until if config.new_sales_only else None)
     existing = lake.read("gold", dimension.table)
     rows = gold.new_dimension_rows(sales, existing, dimension, as_of, config.sk_mode, config.null_aware, folder)
-    lake.append(rows, "gold", dimension.table)
+    # The rows are staged already, so looking for a first one costs next to nothing.
+    if not rows.isEmpty():
+        lake.append(rows, "gold", dimension.table)
 
 
 def load_calendar(lake: Lake) -> None:

@@ -66,6 +66,18 @@ def csv_roundtrip_products(spark: SparkSession, folder: str) -> DataFrame:
     return read_landing(spark, landing, "products")
 
 
+def csv_null_marker_staffs(spark: SparkSession, folder: str) -> DataFrame:
+    """Staffs whose manager is written as NULL: kept as text, or read as a true NULL."""
+    entities = Entities(spark, folder)
+    top = F.col("last_name") == "0"
+    staffs = entities.staffs.withColumn("manager_id", F.when(top, F.lit("NULL")).otherwise(F.col("last_name")))
+    landing = new_folder(spark, "landing")
+    publish_csv(staffs, landing, "staffs")
+    as_text = read_landing(spark, landing, "staffs")
+    as_null = read_landing(spark, landing, "staffs", null_marker="NULL")
+    return as_text.join(as_null.select("staff_id", F.col("manager_id").alias("marked_id")), "staff_id")
+
+
 def _bronze_lake(spark: SparkSession, folder: str) -> Lake:
     lake = _lake(spark, "bronze_full")
     _publish(Entities(spark, folder), lake.config.landing_dir)
@@ -372,6 +384,7 @@ def pipeline_two_runs_parity(spark: SparkSession, folder: str) -> DataFrame:
 def catalogue() -> dict[str, Query]:
     queries: dict[str, Query] = {
         "csv_roundtrip_products": csv_roundtrip_products,
+        "csv_null_marker_staffs": csv_null_marker_staffs,
         "bronze_full_load": bronze_full_load,
         "bronze_full_load_counts": bronze_full_load_counts,
     }

@@ -163,6 +163,10 @@ def oracle() -> dict[str, str]:
             SELECT p.product_id, p.product_name || ', "' || part.p_size || '"' AS product_name,
                    p.brand_id, p.category_id, p.list_price
             FROM ({PRODUCTS}) p JOIN part ON p_partkey = product_id""",
+        "csv_null_marker_staffs": f"""
+            SELECT *, CASE WHEN last_name = '0' THEN 'NULL' ELSE last_name END AS manager_id,
+                   nullif(last_name, '0') AS marked_id
+            FROM ({STAFFS})""",
         "bronze_full_load": ITEMS,
         "bronze_full_load_counts": _bronze_counts(),
         "bronze_merge_brands": _merge(

@@ -3,7 +3,6 @@ from datetime import date
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from starlift import Lake, LakeConfig
 from starlift.__main__ import main
