@@ -13,7 +13,7 @@ from starlift.sources.tables import Lake
 def load_entity(lake: Lake, entity: str) -> None:
     """First load when the table is missing, else the entity's own rule.
 
-    Nothing is counted before a write: an empty increment appends no rows, and a
+    Nothing is counted before these writes: an empty increment appends no rows, and a
     count would run the whole comparison twice.
     """
     config = lake.config

@@ -39,7 +39,7 @@ def _lake(spark: SparkSession, label: str) -> Lake:
     return Lake(spark, config)
 
 
-def _publish(entities: Entities, folder: str, **changed: DataFrame) -> None:
+def publish_all(entities: Entities, folder: str, **changed: DataFrame) -> None:
     """All nine extracts as CSV in ``folder``."""
 
     def one(entity: str) -> None:
@@ -80,7 +80,7 @@ def csv_null_marker_staffs(spark: SparkSession, folder: str) -> DataFrame:
 
 def _bronze_lake(spark: SparkSession, folder: str) -> Lake:
     lake = _lake(spark, "bronze_full")
-    _publish(Entities(spark, folder), lake.config.landing_dir)
+    publish_all(Entities(spark, folder), lake.config.landing_dir)
     run_bronze(lake)
     return lake
 
@@ -361,8 +361,8 @@ def _two_runs(spark: SparkSession, folder: str, parity: bool) -> DataFrame:
     early = entities.orders_loaded
     early_items = entities.order_items.join(early.select("order_id"), "order_id", "left_semi")
     first, second = new_folder(spark, "extract"), new_folder(spark, "extract")
-    _publish(entities, first, orders=early, order_items=early_items)
-    _publish(entities, second)
+    publish_all(entities, first, orders=early, order_items=early_items)
+    publish_all(entities, second)
     run_all(lake, first, DAY_BEFORE)
     run_all(lake, second, AS_OF)
     run_all(lake, second, AS_OF)

@@ -6,7 +6,8 @@ from pyspark.sql import SparkSession
 
 # What the jobs here rely on, at cluster scale. AQE splits hot join partitions and
 # coalesces small ones, so the partition count is set for the largest shuffle; it also
-# skips the sort of a join whose build partitions turn out small enough to hash.
+# skips the sort of a join whose build partitions turn out small enough to hash. A task
+# with a few months to write keeps their files open side by side instead of sorting.
 CLUSTER_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -19,6 +20,7 @@ CLUSTER_SETTINGS = {
     "spark.sql.shuffle.partitions": "40000",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64m",
 }
 
