@@ -61,7 +61,7 @@ def late_or_after(
 
     Only the target's rows of those days take part in the comparison.
     """
-    floor = F.date_sub(F.lit(mark).cast("date"), days)
+    floor = F.date_sub(moment(mark).cast("date"), days)
     recent = source.filter(F.col(column) > floor)
     return rows_not_in(recent, target.filter(F.col(column) > floor), null_safe=keys)
 
