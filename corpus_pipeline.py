@@ -6,8 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlift.llm import decontaminate, simhash
-from starlift.llm.common import keep_keys, stage, table
+from starlift.llm import decontaminate, mixing, pii, quality, simhash
+from starlift.llm.common import fresh, keep_keys, stage, table
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below 1/2 go."""
+    labels = table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.filter(quality.remainder() != 1))
+    return docs.filter(quality.score(docs, model) >= 0.5)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,9 +32,32 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return keep_keys(docs, found.filter("n_hit > 0"), "left_anti")
 
 
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every span of personal data becomes a mark such as [EMAIL]; n_chars follows."""
+    found, columns = fresh(docs, "_spans"), docs.columns
+    marked = docs.withColumn(found, pii.spans(F.col("text")))
+    changed = F.size(found) > 0
+    marked = marked.withColumn("text", pii.redacted(F.col("text"), F.col(found)))
+    if "n_chars" in columns:
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        marked = marked.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
+    return marked.select(*columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents drawn for the target mix, with the number to count each one by."""
+    drawn, cell = mixing.mixed(docs)
+    weight = fresh(docs, "mix_weight")
+    drawn = drawn.filter(F.col(cell)["sampled"])
+    return drawn.select(*docs.columns, (1 / F.col(cell)["probability"]).alias(weight))
+
+
 STAGES = [
+    ("quality classifier", good_quality),
     ("simhash near-dedup", near_duplicates),
     ("benchmark decontamination", decontaminated),
+    ("personal data", without_personal_data),
+    ("mixing to target weights", mixed),
 ]
 
 #: The classifier, the fingerprints and the raking can't be expressed in SQL.

@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlift.llm import decontaminate, sentences, simhash, url_filter, warc
+from starlift.llm import decontaminate, fingerprints, mixing, pii, quality, sentences, simhash, url_filter, warc
 from starlift.llm.common import stage, table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored; labels of the held-out third are not learned from."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.filter(quality.remainder() != 1))
+    scored = docs.select("doc_id", (quality.remainder() == 1).alias("held_out"), quality.score(docs, model).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record, and read back from the archives."""
     archives = stage(warc.write_archives(table(spark, sf_dir, "pages")), "archives")
@@ -22,6 +30,28 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's sketch, and its likeness to the edited and the next document."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: counts and places of the base kinds, and all spans."""
+    found = table(spark, sf_dir, "documents").select("doc_id", pii.spans(F.col("text")).alias("found"))
+    kinds = [kind.name for kind in pii.KINDS if kind.base]
+    counts = [pii.count_of(F.col("found"), kind).alias(f"n_{kind}") for kind in kinds]
+    base = F.sha2(pii.listed(pii.base_only(F.col("found"))), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, pii.listed(F.col("found")).alias("spans"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its cell, its weight for each token and whether it is drawn."""
+    docs, cell = mixing.mixed(table(spark, sf_dir, "documents"))
+    names = ("n_tokens", "weight", "probability", "sampled")
+    keys = [mixing.shown(F.col(cell)[name]).alias(name) for name in mixing.DIMENSIONS]
+    return docs.select("doc_id", *keys, *(F.col(cell)[name].alias(name) for name in names))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and component of near-duplicates."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
@@ -43,5 +73,5 @@ def op10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict:
-    found = (op2_warc, op3_url_filter, op8_simhash, op9_decontaminate, op10_sentences)
+    found = (op1_quality, op2_warc, op3_url_filter, op4_fingerprints, op5_pii, op7_mixing, op8_simhash, op9_decontaminate, op10_sentences)
     return {query.__name__: query for query in found}
