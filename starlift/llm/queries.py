@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlift.llm import decontaminate, fingerprints, mixing, pii, quality, sentences, simhash, url_filter, warc
+from starlift.llm import decontaminate, fingerprints, mixing, pii, quality, sentences, simhash, substrings, url_filter, warc
 from starlift.llm.common import stage, table
 
 
@@ -44,6 +44,12 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, pii.listed(F.col("found")).alias("spans"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 200-byte strings."""
+    found = substrings.without_substrings(table(spark, sf_dir, "documents"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its cell, its weight for each token and whether it is drawn."""
     docs, cell = mixing.mixed(table(spark, sf_dir, "documents"))
@@ -73,5 +79,5 @@ def op10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict:
-    found = (op1_quality, op2_warc, op3_url_filter, op4_fingerprints, op5_pii, op7_mixing, op8_simhash, op9_decontaminate, op10_sentences)
+    found = (op1_quality, op2_warc, op3_url_filter, op4_fingerprints, op5_pii, op6_substrings, op7_mixing, op8_simhash, op9_decontaminate, op10_sentences)
     return {query.__name__: query for query in found}
