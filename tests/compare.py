@@ -23,6 +23,7 @@ TYPES = {
     "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }
