@@ -105,6 +105,13 @@ def _described(docs: DataFrame, topic: str | None) -> tuple[DataFrame, str]:
     return rows.withColumn(cell, F.struct(*parts, F.col(measured)["n_tokens"].alias("n_tokens"))).drop(measured), cell
 
 
+def _total(weight: Column | str) -> Column:
+    """A sum of weights that doesn't depend on the order of the rows: weights are at most
+    about 1, and whole multiples of 1e-17 add up exactly."""
+    weight = F.col(weight) if isinstance(weight, str) else weight
+    return F.sum((weight * 1e17).cast("long")) / 1e17
+
+
 def _targets(cells: DataFrame, dimension: str, given: DataFrame | None, mix: Mix) -> DataFrame:
     """Shares (value, target) of a dimension that add up to 1 over the values with tokens."""
     found = cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens")).filter("tokens > 0")
@@ -114,8 +121,8 @@ def _targets(cells: DataFrame, dimension: str, given: DataFrame | None, mix: Mix
         wanted = given.select(_value("value").alias(dimension), F.col("target").cast("double").alias("target"))
         shares = wanted.filter("target > 0").join(found.select(dimension), dimension, "left_semi")
     shares = stage(shares, "shares")
-    total = shares.agg(F.sum("target")).first()[0] or 1.0
-    return shares.withColumn("target", F.col("target") / total)
+    total = shares.agg(F.sum(F.col("target").cast("decimal(30,8)"))).first()[0] or 1
+    return shares.withColumn("target", F.col("target") / float(total))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], mix: Mix = Mix()) -> DataFrame:
@@ -126,7 +133,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], mix: Mix = Mix()) -> D
     for _ in range(mix.rounds):
         off = F.lit(0.0)
         for dimension, target in targets.items():
-            margin = weighed.groupBy(dimension).agg(F.sum("weight").alias("margin"))
+            margin = weighed.groupBy(dimension).agg(_total("weight").alias("margin"))
             scaled = margin.join(target, dimension, "left").select(
                 dimension, F.coalesce(F.when(F.col("margin") > 0, F.col("target") / F.col("margin")), F.lit(0.0)).alias("factor")
             )
@@ -146,13 +153,13 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], mix: Mix = Mix()) -> D
 def calibrate(raked: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """``raked`` with ``probability``: in proportion to the weight for each token, at most 1,
     and with ``share`` of all tokens expected (or all that have a weight, if they are fewer)."""
-    ratio = F.col("weight") / F.col("tokens")
+    ratio = F.col("weight") / F.nullif("tokens", F.lit(0))
     wanted = mix.share * (raked.agg(F.sum("tokens")).first()[0] or 0)
     factor, full = None, 0.0
     while True:  # cells that reach 1 stay there, so each pass ends or fixes more of them
         open_ = F.col("tokens") > 0 if factor is None else (F.col("tokens") > 0) & (ratio * factor < 1)
         row = raked.agg(
-            F.sum(F.when(open_, F.col("weight"))).alias("open"),
+            _total(F.when(open_, F.col("weight"))).alias("open"),
             F.sum(F.when((F.col("weight") > 0) & ~open_, F.col("tokens"))).alias("full"),
         ).first()
         if not row["open"] or (factor is not None and (row["full"] or 0) == full):

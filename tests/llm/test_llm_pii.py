@@ -1,0 +1,105 @@
+import hashlib
+import re
+
+import pytest
+from cases import TEXTS, docs, result, sample
+from pyspark.sql import functions as F
+
+from starlift.llm import pii, queries
+
+AWKWARD = [
+    "mail a.b@c.de and x@y, a@b.c_x@d.e a@b.com.@c.org @a.b a@.b a@b..c %+-@-.-",
+    "ips 1.2.3.4 256.1.1.1 001.02.3.0255 1.2.3.4.5.6.7.8 1.2.3 9.9.9.9. 999999.1.1.1",
+    "cards 4111 1111 1111 1111, 4111-1111-1111-1111 4111111111111112 4111  1111 0000-0000-0000 1 2 3 4 5 6 7 8 9 0 1 2 3",
+    "phones +49 (30) 1234-567 8 +1 +12 3 +1.2.3.4.5.6.7.8.9.0.1.2.3.4.5.6.7 ++49301234567 +4930123456 )(",
+    "iban DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432 not DE89370400440532013001",
+    'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" and 24be64439e3e49cf46b2d7c90f3602a3d0b907ff',
+    "日本 é@ü.com user@exämple.com ünï a@b.cé 日1.2.3.4日 +49 301234567日",
+    "a" * 3000 + "@" + "b" * 3000, "1" * 5000, "1." * 3000, "+1" * 2000, "4111 1111 1111 1111 " * 300, "a@b.c " * 300,
+]
+BASE = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    ("card", r"[0-9]([\x20-]?[0-9])+"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+)
+
+
+def luhn(value):
+    digits = [int(c) for c in re.sub("[^0-9]", "", value)][::-1]
+    return 12 <= len(digits) <= 19 and sum(d if k % 2 == 0 else d * 2 - 9 * (d > 4) for k, d in enumerate(digits)) % 10 == 0
+
+
+CONFIRMS = {
+    "email": lambda v: True,
+    "ip": lambda v: all(int(part) <= 255 for part in v.split(".")),
+    "card": luhn,
+    "phone": lambda v: 9 <= len(re.sub("[^0-9]", "", v)) <= 15,
+}
+
+
+def brute(rows):
+    out = []
+    for doc_id, text in rows:
+        found = [(m.start(), k, m.end(), kind) for k, (kind, pattern) in enumerate(BASE) for m in re.finditer(pattern, text or "") if CONFIRMS[kind](m[0])]
+        listed = ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(found))
+        counts = [sum(kind == name for *_, kind in found) for name, _ in BASE]
+        out.append((doc_id, *counts, hashlib.sha256(listed.encode()).hexdigest(), listed))
+    return sorted(out, key=repr)
+
+
+def base_rows(frame):
+    found = frame.select("doc_id", pii.spans(F.col("text")).alias("all_spans"))
+    base = pii.listed(pii.base_only(F.col("all_spans")))
+    return result(found.select("doc_id", *(pii.count_of(F.col("all_spans"), name) for name, _ in BASE), F.sha2(base, 256), base))
+
+
+def test_awkward_rows(spark):
+    rows = TEXTS + list(enumerate(AWKWARD, 100))
+    assert base_rows(docs(spark, rows)) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert base_rows(docs(spark, [])) == []
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    found = queries.op5_pii(spark, sf_dir)
+    want = brute(sample(spark, sf_dir))
+    assert result(found.drop("spans")) == [row[:-1] for row in want]
+    listed = {row["doc_id"]: row["spans"] for row in found.collect()}
+    for doc_id, *_, base in want:
+        assert [s for s in listed[doc_id].split(",") if s.split(":")[0] in CONFIRMS] == (base.split(",") if base else [])
+
+
+def spans_of(spark, text):
+    [(listed,)] = result(spark.createDataFrame([(text,)], "text string").select(pii.listed(pii.spans(F.col("text")))))
+    return listed
+
+
+def test_checksums_and_context_of_the_added_kinds(spark):
+    assert spans_of(spark, AWKWARD[4]) == "iban:5:32,iban:37:59" or spans_of(spark, AWKWARD[4]).count("iban") == 2
+    assert spans_of(spark, AWKWARD[5]) == "secret:9:49"
+    assert "iban" not in spans_of(spark, "DE88370400440532013000")
+
+
+def test_context_raises_the_score(spark):
+    rows = [("call +49 301234567",), ("then +49 301234567",)]
+    scores = [s[0]["score"] for (s,) in spark.createDataFrame(rows, "text string").select(pii.spans(F.col("text"))).collect()]
+    assert scores == [pytest.approx(0.9), pytest.approx(0.6)]
+
+
+def test_redaction_leaves_nothing_to_find(spark):
+    rows = TEXTS + list(enumerate(AWKWARD, 100))
+    frame = docs(spark, rows).select("text", pii.spans(F.col("text")).alias("s"))
+    marked = frame.select("text", "s", pii.redacted(F.col("text"), F.col("s")).alias("marked"))
+    for text, found, after in marked.collect():
+        if not found:
+            assert after == text
+            continue
+        out, end = "", 0
+        for span in sorted(found, key=lambda s: (s["start"], s["order"])):
+            if span["start"] >= end:
+                out += text[end : span["start"]] + f"[{span['kind'].upper()}]"
+            end = max(end, span["end"])
+        assert after == out + text[end:]

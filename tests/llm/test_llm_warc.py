@@ -1,0 +1,116 @@
+import hashlib
+
+import pytest
+import zstandard
+from cases import changed, result
+from compare import compare
+
+from starlift.llm import oracle, queries, warc
+
+LONG, OTHER = "<p>" + "copied é " * 200, "<p>" + "other " * 300
+PAGES = [
+    (1, "http://a.example/1", LONG),
+    (2, "http://a.example/2", "short"),
+    (3, None, LONG),
+    (4, "http://a.example/line\r\nbreak", LONG),
+    (5, "http://a.example/5", None),
+    (6, "http://a.example/6", ""),
+    (None, "http://a.example/none", OTHER),
+    (7, "", "short"),
+    (8, "http://a.example/8", "x" * 300_000),
+    (4, "http://a.example/4", LONG),  # a repeated id
+    (None, "http://b.example", "<p>" + "only without ids " * 100),
+    (None, "http://b.example", "<p>" + "only without ids " * 100),
+    (9, "http://ünï.example/ö", OTHER),
+]
+
+
+def pages(spark, rows=PAGES):
+    return spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as payload", "2 as digest", "3 as content", "4 as refers_to")
+
+
+def brute(rows):
+    originals = {}
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        if len(data) >= 1000 and page_id is not None:
+            originals[data] = max(originals.get(data, page_id), page_id)
+    out = []
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        original = originals.get(data)
+        revisit = original is not None and page_id != original
+        out.append((page_id, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", original if revisit else None))
+    return sorted(out, key=repr)
+
+
+def as_rows(frame):
+    return result(frame.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+@pytest.mark.parametrize("sizes", [{}, {"ARCHIVE": 300, "SAMPLE": 2000}, {"READ": 11}])
+def test_round_trip(spark, sizes):
+    with changed(warc, **sizes):
+        archives = warc.write_archives(pages(spark).coalesce(1))
+        found = warc.read_archives(archives, payloads=True).collect()
+        assert as_rows(warc.read_archives(archives)) == brute(PAGES)
+    texts = {row["page_id"]: row["payload"] for row in found if row["record_type"] == "response"}
+    assert texts[4] == LONG.encode() and texts[8] == b"x" * 300_000 and texts[5] == b""
+    assert {row["url"] for row in found if row["page_id"] == 4} == {"http://a.example/line%0D%0Abreak", "http://a.example/4"}
+    assert [row["url"] for row in found if row["page_id"] == 3] == [None]
+
+
+def test_empty_table(spark):
+    assert as_rows(warc.read_archives(warc.write_archives(pages(spark, [])))) == []
+
+
+def test_query_equals_sql(spark, sf_dir, tables):
+    assert compare(queries.op2_warc(spark, sf_dir), tables, oracle.oracle()["op2_warc"]) is None
+
+
+def archive(many=400, compressed=False):
+    records = [warc.record(k, f"http://a/{k}", f"<p>page {k} {k * k}</p>".encode() * 20, None) for k in range(many)]
+    dictionary = zstandard.train_dictionary(4096, records)
+    raw = zstandard.ZstdCompressor().compress(dictionary.as_bytes()) if compressed else dictionary.as_bytes()
+    compressor = zstandard.ZstdCompressor(dict_data=dictionary)
+    return warc.SKIPPABLE + len(raw).to_bytes(4, "little") + raw + b"".join(map(compressor.compress, records)), records
+
+
+@pytest.mark.parametrize("compressed", [False, True])
+def test_dictionary_is_loaded_from_the_leading_frame(compressed):
+    content, records = archive(compressed=compressed)
+    assert list(warc.frames(content)) == records
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        at = 8 + int.from_bytes(content[4:8], "little")
+        list(warc.frames(content[at:]))  # without its dictionary
+
+
+def test_files_are_read_by_the_binary_file_source(spark, tmp_path):
+    content, records = archive()
+    (tmp_path / "a.warc.zst").write_bytes(content)
+    found = warc.read_archives(spark.read.format("binaryFile").load(str(tmp_path)))
+    assert found.count() == len(records)
+
+
+@pytest.mark.parametrize(
+    "old, new",
+    [
+        (b"WARC/1.1", b"WARC/9.9"), (b"Content-Length: 1", b"Content-Length: 2"), (b"WARC-Date", b"WARC-Data"), (b"page 1 ", b"page 2 "),
+        (b"WARC-Type: response", b"WARC-Type: revisit"), (b": sha1", b" sha1"), (b"urn:page:1", b"urn:pige:1"),
+    ],
+)
+def test_damaged_records_are_refused(old, new):
+    data = warc.record(1, "http://a/1", b"<p>page 1 1</p>", None)
+    assert warc.parse(data)["page_id"] == 1 and old in data
+    with pytest.raises(ValueError):
+        warc.parse(data.replace(old, new))
+
+
+def test_short_archives_are_refused(spark):
+    content, _ = archive()
+    for cut in (content[:-3], content[:30], content + b"rest"):
+        with pytest.raises((ValueError, zstandard.ZstdError)):
+            list(warc.frames(cut))
+    broken = spark.createDataFrame([("broken.warc.zst", content[:-3])], "path string, content binary")
+    with pytest.raises(Exception, match="broken.warc.zst, record 398"):
+        warc.read_archives(broken).collect()
