@@ -19,7 +19,8 @@ def rows_not_in(
     """Source rows whose key has no equal in ``target``.
 
     ``equal`` columns match with ``=`` (a NULL never matches), ``null_safe`` ones with
-    ``<=>``. Target keys are cast to the source's types, so 1 and 1.0 are one key.
+    ``<=>``. Keys of different types are compared in the type that holds both, so 1 and
+    1.0 are one key, and 1 and 1.5 are two.
 
     Only the distinct keys of the target are shuffled, so a key that fills a third of
     the target is reduced to one row per task first. The key hash in the condition
@@ -27,12 +28,12 @@ def rows_not_in(
     partitions AQE can split (the distinct alone would leave its own behind).
     """
     keys = [*equal, *null_safe]
-    known = target.select(
-        *[F.col(key).cast(source.schema[key].dataType).alias(f"_known_{key}") for key in keys]
-    ).distinct()
-    matches = [F.col(key) == F.col(f"_known_{key}") for key in equal]
-    matches += [F.col(key).eqNullSafe(F.col(f"_known_{key}")) for key in null_safe]
-    matches.append(F.xxhash64(*keys) == F.xxhash64(*[f"_known_{key}" for key in keys]))
+    common = source.select(*keys).limit(0).unionByName(target.select(*keys).limit(0)).schema
+    own = {key: F.col(key).cast(common[key].dataType) for key in keys}
+    known = target.select(*[own[key].alias(f"_known_{key}") for key in keys]).distinct()
+    matches = [own[key] == F.col(f"_known_{key}") for key in equal]
+    matches += [own[key].eqNullSafe(F.col(f"_known_{key}")) for key in null_safe]
+    matches.append(F.xxhash64(*own.values()) == F.xxhash64(*[f"_known_{key}" for key in keys]))
     return source.join(known, reduce(and_, matches), "left_anti")
 
 

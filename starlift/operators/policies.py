@@ -66,6 +66,20 @@ def late_or_after(
     return rows_not_in(recent, target.filter(F.col(column) > floor), null_safe=keys)
 
 
+def dated_or_unseen(source: DataFrame, target: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
+    """Rows for a target whose rows have no date yet, so that it has no watermark: all
+    dated ones, and of the undated ones those whose key the target lacks."""
+    undated = source.filter(F.col(column).isNull())
+    return source.filter(F.col(column).isNotNull()).unionByName(rows_not_in(undated, target, null_safe=keys))
+
+
+def within_range(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The target's rows whose key lies between the lowest and the highest of the source:
+    no others can match. Where files are in the order of the key, the rest is not read."""
+    ends = source.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    return target.filter(F.col(key).between(ends["low"], ends["high"]))
+
+
 def dated_snapshot(rows: DataFrame, day: date, column: str = "dt_stock") -> DataFrame:
     """All rows, stamped with the load day."""
     return rows.withColumn(column, F.lit(day))

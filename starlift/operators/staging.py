@@ -23,7 +23,9 @@ def staging_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="starlift-"))
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="starlift-")
+    return _local_roots[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from starlift.operators.policies import after_watermark, insert_only, late_or_after, unseen_pairs
+from starlift.operators.policies import (
+    after_watermark,
+    dated_or_unseen,
+    insert_only,
+    late_or_after,
+    unseen_pairs,
+    within_range,
+)
 from starlift.sources.landing import read_landing
 from starlift.sources.schemas import KEYS
 from starlift.sources.tables import Lake
@@ -13,8 +20,7 @@ from starlift.sources.tables import Lake
 def load_entity(lake: Lake, entity: str) -> None:
     """First load when the table is missing, else the entity's own rule.
 
-    Nothing is counted before these writes: an empty increment appends no rows, and a
-    count would run the whole comparison twice.
+    Order lines are compared with the stored ones of their own range of ids only.
     """
     config = lake.config
     source = read_landing(
@@ -25,16 +31,19 @@ def load_entity(lake: Lake, entity: str) -> None:
     elif not lake.exists("bronze", entity):
         lake.append(source, "bronze", entity)
     elif entity in KEYS:
-        lake.append(insert_only(source, lake.read("bronze", entity), KEYS[entity]), "bronze", entity)
+        lake.append_new(insert_only(source, lake.read("bronze", entity), KEYS[entity]), "bronze", entity)
     elif entity == "order_items":
-        lake.append(unseen_pairs(source, lake.read("bronze", entity), config.item_key), "bronze", entity)
+        stored = within_range(lake.read("bronze", entity), source, config.item_key[0])
+        lake.append_new(unseen_pairs(source, stored, config.item_key), "bronze", entity)
     elif entity == "orders":
         mark = lake.watermark("bronze", entity)
         if mark is not None and config.late_days:
             stored = lake.read("bronze", entity, above=mark - timedelta(days=config.late_days))
             rows = late_or_after(source, stored, "order_date", mark, config.late_days, ["order_id"])
+        elif mark is None and config.empty_watermark == "all" and not lake.is_empty("bronze", entity):
+            rows = dated_or_unseen(source, lake.read("bronze", entity), "order_date", ["order_id"])
         else:
             rows = after_watermark(source, "order_date", mark, config.empty_watermark)
-        lake.append(rows, "bronze", entity)
+        lake.append_new(rows, "bronze", entity)
     else:
         raise ValueError(f"no load rule for {entity}")

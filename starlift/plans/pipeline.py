@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlift.functions.calendar import calendar_between
-from starlift.operators.policies import after_watermark, dated_snapshot, late_or_after
+from starlift.operators.policies import after_watermark, dated_or_unseen, dated_snapshot, late_or_after
 from starlift.operators.staging import discard, new_folder
 from starlift.operators.together import together
 from starlift.plans import bronze, gold, silver
@@ -51,6 +51,13 @@ def _flat_sales(lake: Lake, above: date | None = None) -> DataFrame:
     return silver.order_sales(name_separator=lake.config.name_separator, **tables)
 
 
+def _without_mark(lake: Lake, rows: DataFrame, layer: str, table: str) -> DataFrame:
+    """What a target without any dated row still needs of ``rows``."""
+    if lake.config.empty_watermark == "all" and not lake.is_empty(layer, table):
+        return dated_or_unseen(rows, lake.read(layer, table), "order_date", LINE_KEY)
+    return after_watermark(rows, "order_date", None, lake.config.empty_watermark)
+
+
 def load_order_sales(lake: Lake) -> None:
     if not lake.exists("silver", "order_sales"):
         lake.append(_flat_sales(lake), "silver", "order_sales")
@@ -58,7 +65,7 @@ def load_order_sales(lake: Lake) -> None:
     config = lake.config
     mark = lake.watermark("silver", "order_sales")
     if mark is None:
-        rows = after_watermark(_flat_sales(lake), "order_date", None, config.empty_watermark)
+        rows = _without_mark(lake, _flat_sales(lake), "silver", "order_sales")
     elif config.late_days:
         floor = mark - timedelta(days=config.late_days)
         recent = _flat_sales(lake, above=floor)
@@ -66,7 +73,7 @@ def load_order_sales(lake: Lake) -> None:
         rows = late_or_after(recent, stored, "order_date", mark, config.late_days, LINE_KEY)
     else:
         rows = after_watermark(_flat_sales(lake, above=mark), "order_date", mark)
-    lake.append(rows, "silver", "order_sales")
+    lake.append_new(rows, "silver", "order_sales")
 
 
 def load_stocks_snapshot(lake: Lake, as_of: date) -> None:
@@ -117,7 +124,7 @@ def load_fact_sales(lake: Lake, as_of: date) -> None:
         return
     mark = lake.watermark("gold", "fact_sales")
     if mark is None:
-        sales = after_watermark(lake.read("silver", "order_sales"), "order_date", None, config.empty_watermark)
+        sales = _without_mark(lake, lake.read("silver", "order_sales"), "gold", "fact_sales")
     elif config.late_days:
         floor = mark - timedelta(days=config.late_days)
         recent = lake.read("silver", "order_sales", above=floor)
@@ -125,7 +132,7 @@ def load_fact_sales(lake: Lake, as_of: date) -> None:
         sales = late_or_after(recent, stored, "order_date", mark, config.late_days, LINE_KEY)
     else:
         sales = lake.read("silver", "order_sales", above=mark)
-    lake.append(gold.fact_sales(sales, dims, dim_date, as_of), "gold", "fact_sales")
+    lake.append_new(gold.fact_sales(sales, dims, dim_date, as_of), "gold", "fact_sales")
 
 
 def load_fact_stocks(lake: Lake, as_of: date) -> None:
@@ -143,7 +150,7 @@ def load_fact_stocks(lake: Lake, as_of: date) -> None:
         lake.replace_partitions(gold.fact_stocks(again, dims, dim_date, as_of), "gold", "fato_stocks")
     else:
         rows = after_watermark(snapshot, "dt_stock", mark, config.empty_watermark)
-        lake.append(gold.fact_stocks(rows, dims, dim_date, as_of), "gold", "fato_stocks")
+        lake.append_new(gold.fact_stocks(rows, dims, dim_date, as_of), "gold", "fato_stocks")
 
 
 def run_gold(lake: Lake, as_of: date) -> None:

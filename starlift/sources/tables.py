@@ -1,4 +1,8 @@
-"""Layer tables: reading, probing and writing them through the session catalog."""
+"""Layer tables: reading, probing and writing them through the session catalog.
+
+Under a root folder the files are what lasts: a table that an earlier process wrote is
+registered in the catalog of this one when it is first asked for.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from pyspark.sql import functions as F
 
 from starlift.config import LakeConfig
 from starlift.functions.expressions import moment, month_of
+from starlift.operators.staging import discard, new_folder, stage
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -22,6 +27,13 @@ DATED = {
     ("gold", "fato_stocks"): ("date_sk", "date_sk"),
 }
 
+# Types of the partition columns, which files do not tell.
+PARTITION_TYPES = {"order_month": "int", "dt_stock": "date", "date_sk": "bigint"}
+
+# Tables that increments are compared with by a range of ids; their files
+# are written in the order of the id, so that most row groups lie outside the range.
+ORDERED = {("bronze", "order_items"): "order_id"}
+
 # Column order of a table whose partition column is not its last one.
 COLUMN_ORDER = {
     ("gold", "fato_stocks"): ("product_sk", "store_sk", "date_sk", "quantity", "data_criacao_registro"),
@@ -44,9 +56,51 @@ class Lake:
     def name(self, layer: str, table: str) -> str:
         return f"{self.config.database(layer)}.{table}"
 
+    def place(self, layer: str, table: str) -> str | None:
+        """The table's folder; None where the session's warehouse decides."""
+        return f"{self.config.root.rstrip('/')}/{layer}/{table}" if self.config.root else None
+
     def exists(self, layer: str, table: str) -> bool:
-        """Whether the catalog has the table. Any other failure is raised, not read as 'no'."""
-        return self.spark.catalog.tableExists(self.name(layer, table))
+        """Whether the table is there: in the catalog, or in its folder, where an earlier
+        process left it. Any failure is raised, not read as 'no'."""
+        if self.spark.catalog.tableExists(self.name(layer, table)):
+            return True
+        place = self.place(layer, table)
+        return place is not None and self._register(layer, table, place)
+
+    def _register(self, layer: str, table: str, place: str) -> bool:
+        """Put the finished table of a folder into the catalog; False if there is none."""
+        path, files = self._folder(place)
+        if not files.exists(path):
+            return False
+        names = [status.getPath().getName() for status in files.listStatus(path)]
+        if not [name for name in names if not name.startswith(("_", "."))]:
+            return False  # a write that broke off, or that had no rows
+        hadoop = self.config.table_format in ("parquet", "orc")
+        if hadoop and "_SUCCESS" not in names:
+            raise RuntimeError(f"{place} holds files, but no write of a table was finished there")
+        self.create_databases()
+        partition = DATED.get((layer, table), (None, None))[1] if hadoop else None
+        stored = self.spark.read.format(self.config.table_format).load(place).schema
+        columns = [f"`{field.name}` {field.dataType.simpleString()}" for field in stored if field.name != partition]
+        layout = f"({', '.join(columns)})" if hadoop else ""
+        options = ""
+        if partition:
+            layout = f"({', '.join([*columns, f'`{partition}` {PARTITION_TYPES[partition]}'])})"
+            options = f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (`{partition}`)"
+        name = self.name(layer, table)
+        self.spark.sql(f"CREATE TABLE {name} {layout} USING {self.config.table_format} {options} LOCATION '{place}'")
+        if partition:
+            self.spark.catalog.recoverPartitions(name)
+        return True
+
+    def _folder(self, place: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _table(self, layer: str, table: str) -> DataFrame:
+        self.exists(layer, table)  # registers it; reading a missing one raises below
+        return self.spark.table(self.name(layer, table))
 
     def read(self, layer: str, table: str, above: date | None = None) -> DataFrame:
         """The table's own columns; with ``above`` only rows dated after that day.
@@ -54,7 +108,7 @@ class Lake:
         The month condition repeats the day condition in terms of the partition
         column, so whole partitions are skipped before any file is opened.
         """
-        rows = self.spark.table(self.name(layer, table))
+        rows = self._table(layer, table)
         column, partition = DATED.get((layer, table), (None, None))
         if above is not None:
             rows = rows.filter(F.col(column) > moment(above))
@@ -68,7 +122,7 @@ class Lake:
         """The values of the partition column, NULL left out: from the catalog where it
         keeps partitions, so that no data file is opened, else from the rows."""
         partition = DATED[(layer, table)][1]
-        stored = self.spark.table(self.name(layer, table)).select(partition)
+        stored = self._table(layer, table).select(partition)
         if self.config.table_format not in ("parquet", "orc"):
             return stored.distinct().dropna()
         listed = self.spark.sql(f"SHOW PARTITIONS {self.name(layer, table)}")
@@ -76,7 +130,8 @@ class Lake:
         return listed.select(value.try_cast(stored.schema[0].dataType).alias(partition)).dropna()
 
     def watermark(self, layer: str, table: str) -> date | None:
-        """The latest day stored in a dated table; None when it holds no dated row.
+        """The latest day stored in a dated table; None when it holds no dated row, which
+        is not the same as no row: see ``is_empty``.
 
         Only the newest partition is scanned.
         """
@@ -84,16 +139,50 @@ class Lake:
         newest = self.partition_values(layer, table).agg(F.max(partition).alias("value")).first()["value"]
         if newest is None or partition == column:
             return newest
-        stored = self.spark.table(self.name(layer, table)).filter(F.col(partition) == newest)
+        stored = self._table(layer, table).filter(F.col(partition) == newest)
         return stored.agg(F.max(column).alias("mark")).first()["mark"]
 
+    def is_empty(self, layer: str, table: str) -> bool:
+        return self._table(layer, table).isEmpty()
+
     def append(self, rows: DataFrame, layer: str, table: str) -> None:
         """Add rows, creating the table when it is missing."""
-        self._save(rows, layer, table, "append")
+        writer = self._laid_out(rows, layer, table).write.format(self.config.table_format).mode("append")
+        partition = DATED.get((layer, table), (None, None))[1]
+        if partition:
+            # Kept with the table: a later insert that overwrites touches only its own partitions.
+            writer = writer.partitionBy(partition).option("partitionOverwriteMode", "dynamic")
+        place = self.place(layer, table)
+        if place:
+            writer = writer.option("path", place)
+        writer.saveAsTable(self.name(layer, table))
+
+    def append_new(self, rows: DataFrame, layer: str, table: str) -> None:
+        """Add an increment: no file if it has no rows, few files if it has few.
+
+        It is staged first, gathered into full partitions, so that neither the look
+        for a first row nor the order of the files runs the comparison a second time.
+        """
+        folder = new_folder(self.spark, f"new-{table}")
+        try:
+            staged = stage(rows.hint("rebalance"), table, folder)
+            if staged.isEmpty():
+                return
+            if (layer, table) in ORDERED:
+                column = ORDERED[(layer, table)]
+                staged = staged.repartitionByRange(column).sortWithinPartitions(column)
+            self.append(staged, layer, table)
+        finally:
+            discard(self.spark, folder)
 
     def overwrite(self, rows: DataFrame, layer: str, table: str) -> None:
         """Replace the whole table. ``rows`` must not read the table itself."""
-        self._save(rows, layer, table, "overwrite")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+        place = self.place(layer, table)
+        if place:
+            path, files = self._folder(place)
+            files.delete(path, True)
+        self.append(rows, layer, table)
 
     def replace_partitions(self, rows: DataFrame, layer: str, table: str) -> None:
         """Replace just the partitions that ``rows`` has, creating the table when missing."""
@@ -105,25 +194,19 @@ class Lake:
         laid_out.write.mode("overwrite").insertInto(name)
 
     def _laid_out(self, rows: DataFrame, layer: str, table: str) -> DataFrame:
-        """Rows gathered by partition value before the write.
+        """Rows gathered by partition value before the write, in order of their day.
 
         Without this every task would write a file per month. ``rebalance`` lets AQE
-        split a month that holds much of the table and merge the small ones.
+        split a month that holds much of the table and merge the small ones. The order
+        keeps each day in few row groups of its month.
         """
         column, partition = DATED.get((layer, table), (None, None))
         if partition is None:
             return rows
-        if partition != column:
-            rows = rows.withColumn(partition, month_of(column))
-        return rows.hint("rebalance", F.col(partition))
-
-    def _save(self, rows: DataFrame, layer: str, table: str, mode: str) -> None:
-        writer = self._laid_out(rows, layer, table).write.format(self.config.table_format).mode(mode)
-        partition = DATED.get((layer, table), (None, None))[1]
-        if partition:
-            # Kept with the table: a later insert that overwrites touches only its own partitions.
-            writer = writer.partitionBy(partition).option("partitionOverwriteMode", "dynamic")
-        writer.saveAsTable(self.name(layer, table))
+        if partition == column:
+            return rows.hint("rebalance", F.col(partition))
+        rows = rows.withColumn(partition, month_of(column)).hint("rebalance", F.col(partition))
+        return rows.sortWithinPartitions(partition, column)
 
     def preview(self, layer: str, table: str, rows: int = 5) -> DataFrame:
         return self.read(layer, table).limit(rows)
