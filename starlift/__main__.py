@@ -9,20 +9,47 @@ from pyspark.sql import SparkSession
 
 from starlift.config import LakeConfig
 from starlift.plans import run_all
+from starlift.session import apply_settings
 from starlift.sources.tables import Lake
 
 
-def main(arguments: list[str] | None = None) -> None:
+def parse(arguments: list[str] | None) -> argparse.Namespace:
+    default = LakeConfig(root="-")
     parser = argparse.ArgumentParser(prog="starlift", description="CSV extracts to a star schema")
     parser.add_argument("--source", required=True, help="folder with the *.csv extracts")
     parser.add_argument("--root", required=True, help="shared folder of the lake")
+    parser.add_argument("--landing", default=None, help="folder of the landing files, ROOT/landing if left out")
     parser.add_argument("--prefix", default="", help="put before each database name")
-    parser.add_argument("--format", default="parquet", help="table format")
+    parser.add_argument("--format", default=default.table_format, help="table format")
     parser.add_argument("--as-of", type=date.fromisoformat, default=None, help="load day, today if left out")
     parser.add_argument("--parity", action="store_true", help="strict rules instead of the re-runnable ones")
-    given = parser.parse_args(arguments)
-    config = LakeConfig(root=given.root, prefix=given.prefix, table_format=given.format)
+    parser.add_argument("--late-days", type=int, default=0, help="also take unseen rows up to so many days late")
+    parser.add_argument("--multiline", action="store_true", help="the extracts have line breaks inside quotes")
+    parser.add_argument("--null-marker", default=None, help="text that stands for NULL in the extracts")
+    parser.add_argument("--calendar-start", type=date.fromisoformat, default=default.calendar_start)
+    parser.add_argument("--calendar-end", type=date.fromisoformat, default=default.calendar_end)
+    parser.add_argument("--item-key", default=",".join(default.item_key), help="columns that identify an order line")
+    parser.add_argument("--name-separator", default=default.name_separator, help="between first and last name")
+    return parser.parse_args(arguments)
+
+
+def main(arguments: list[str] | None = None) -> None:
+    given = parse(arguments)
+    config = LakeConfig(
+        root=given.root,
+        landing=given.landing,
+        prefix=given.prefix,
+        table_format=given.format,
+        late_days=given.late_days,
+        multiline=given.multiline,
+        null_marker=given.null_marker,
+        calendar_start=given.calendar_start,
+        calendar_end=given.calendar_end,
+        item_key=tuple(given.item_key.split(",")),
+        name_separator=given.name_separator,
+    )
     spark = SparkSession.builder.appName("starlift").getOrCreate()
+    apply_settings(spark)
     as_of = given.as_of or spark.sql("SELECT current_date() AS today").first()["today"]
     run_all(Lake(spark, config.parity() if given.parity else config), given.source, as_of)
 

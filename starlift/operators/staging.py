@@ -6,6 +6,8 @@ pruning, and gives the planner true sizes for its broadcast decisions.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,6 +27,7 @@ def staging_root(spark: SparkSession) -> str:
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
     if context.applicationId not in _local_roots:
         _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="starlift-")
+        atexit.register(shutil.rmtree, _local_roots[context.applicationId], ignore_errors=True)
     return _local_roots[context.applicationId]
 
 

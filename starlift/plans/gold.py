@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from starlift.functions.expressions import date_id
 from starlift.operators.joins import not_in
 from starlift.operators.keys import dense_keys
+from starlift.operators.staging import stage
 from starlift.operators.together import together
 
 CREATED = "data_criacao_registro"
@@ -50,8 +51,10 @@ def dimension_rows(order_sales: DataFrame, dimension: Dimension, as_of: date, fo
     """The whole dimension, keyed 1, 2, ... in order of the natural id.
 
     The attributes break ties, so ids with several names get the same keys every time.
+    The members are staged first: the keys take two passes, over them and not the sales.
     """
-    keyed = dense_keys(members(order_sales, dimension), dimension.sk, dimension.columns, folder=folder)
+    found = stage(members(order_sales, dimension), f"members-{dimension.table}", folder)
+    keyed = dense_keys(found, dimension.sk, dimension.columns, folder=folder)
     return keyed.withColumn(CREATED, F.lit(as_of))
 
 
@@ -82,6 +85,7 @@ def new_dimension_rows(
         ranked = dimension_rows(order_sales, dimension, as_of, folder)
         return not_in(ranked, existing, dimension.key, null_aware)
     fresh = not_in(members(order_sales, dimension), existing, dimension.key, null_aware)
+    fresh = stage(fresh, f"members-{dimension.table}", folder)
     highest = existing.agg(F.coalesce(F.max(dimension.sk), F.lit(0))).scalar()
     keyed = dense_keys(fresh, dimension.sk, dimension.columns, after=highest, folder=folder)
     return keyed.withColumn(CREATED, F.lit(as_of))

@@ -173,7 +173,9 @@ class Entities:
 
     @staticmethod
     def _category_id():
-        return F.conv(F.substring(F.md5("p_type"), 1, 8), 16, 10).cast("long")
+        """The whole digest of the type, its halves folded into 63 bits."""
+        halves = [F.conv(F.substring(F.md5("p_type"), at, 16), 16, -10).cast("long") for at in (1, 17)]
+        return halves[0].bitwiseXOR(halves[1]).bitwiseAND(F.lit((1 << 63) - 1))
 
     @staticmethod
     def _items(lineitem: DataFrame) -> DataFrame:

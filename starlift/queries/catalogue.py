@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from starlift.config import LakeConfig
 from starlift.operators import (
     after_watermark,
+    dated_or_unseen,
     dated_snapshot,
     late_or_after,
     merged,
@@ -195,6 +196,14 @@ def silver_order_sales_orphans(spark: SparkSession, folder: str) -> DataFrame:
     return entities.order_sales(orders=entities.orders_loaded)
 
 
+def silver_undated_target(spark: SparkSession, folder: str) -> DataFrame:
+    """What a target still needs that holds only undated lines: those shipped by the
+    cutoff, from before any order had landed. Now the earlier orders have."""
+    entities = Entities(spark, folder)
+    now = entities.order_sales(orders=entities.orders_loaded)
+    return dated_or_unseen(now, entities.items_loaded.select("order_id", "item_id"), "order_date", LINE_KEY)
+
+
 def silver_stocks_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return dated_snapshot(Entities(spark, folder).stocks, AS_OF)
 
@@ -215,7 +224,9 @@ def gold_dim_customers_orphans(spark: SparkSession, folder: str) -> DataFrame:
 def gold_dim_new(spark: SparkSession, folder: str, dimension: gold.Dimension, mode: str) -> DataFrame:
     """Members that joined after the earlier load, keyed by rank or above the stored keys."""
     entities = Entities(spark, folder)
-    sales = entities.order_sales()
+    # Staged once, for the stored members and for those of now: what either looks at.
+    columns = dict.fromkeys([*dimension.columns, "category_name", "store_id"])
+    sales = stage(entities.order_sales().select(*columns).distinct(), "order_sales")
     existing = gold.dimension_rows(entities.earlier_sales(sales), dimension, DAY_BEFORE)
     return gold.new_dimension_rows(sales, existing, dimension, AS_OF, mode, null_aware=mode == "rank")
 
@@ -262,6 +273,8 @@ def gold_fact_sales_renamed(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stock_dims(sales: DataFrame) -> dict[str, DataFrame]:
     wanted = [dimension for dimension in gold.DIMENSIONS if dimension.table in ("dim_products", "dim_stores")]
+    columns = [column for dimension in wanted for column in dimension.columns]
+    sales = stage(sales.select(*columns).distinct(), "order_sales")
     built = together(
         sales.sparkSession, *[partial(gold.dimension_rows, sales, dimension, AS_OF) for dimension in wanted]
     )
@@ -286,8 +299,8 @@ def gold_fact_stocks_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Two snapshots, the first already in the fact: the calendar tells which is new."""
     entities = Entities(spark, folder)
     dims = _stock_dims(entities.order_sales())
-    stocks = entities.stocks
-    snapshots = stage(dated_snapshot(stocks, DAY_BEFORE).unionByName(dated_snapshot(stocks, AS_OF)), "snapshots")
+    days = F.array(F.lit(DAY_BEFORE), F.lit(AS_OF))
+    snapshots = stage(entities.stocks.withColumn("dt_stock", F.explode(days)), "snapshots")
     earlier = snapshots.filter(F.col("dt_stock") <= F.lit(DAY_BEFORE))
     stored = gold.fact_stocks(earlier, dims, entities.dim_date, DAY_BEFORE)
     mark = gold.stock_watermark(stored, entities.dim_date).scalar()
@@ -350,7 +363,7 @@ def table_exists_and_count(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _two_runs(spark: SparkSession, folder: str, parity: bool) -> DataFrame:
+def _two_runs(spark: SparkSession, folder: str, parity: bool) -> Lake:
     """The whole pipeline on the earlier extract, then on the full one, then once more
     on the same day. The calendar is that of the orders."""
     entities = Entities(spark, folder)
@@ -366,6 +379,10 @@ def _two_runs(spark: SparkSession, folder: str, parity: bool) -> DataFrame:
     run_all(lake, first, DAY_BEFORE)
     run_all(lake, second, AS_OF)
     run_all(lake, second, AS_OF)
+    return lake
+
+
+def _run_counts(lake: Lake) -> DataFrame:
     tables = [("bronze", entity) for entity in ENTITIES]
     tables += [("silver", "order_sales"), ("silver", "stocks_snapshot")]
     tables += [("gold", dimension.table) for dimension in gold.DIMENSIONS]
@@ -373,12 +390,37 @@ def _two_runs(spark: SparkSession, folder: str, parity: bool) -> DataFrame:
     return _counts(lake, tables)
 
 
+# Tables whose content after the runs is a query.
+STORED = (
+    ("bronze", "orders"),
+    ("silver", "order_sales"),
+    ("silver", "stocks_snapshot"),
+    *(("gold", dimension.table) for dimension in gold.DIMENSIONS),
+    ("gold", "fact_sales"),
+    ("gold", "fato_stocks"),
+)
+
+# The lake of the default rules, one for each session and folder: several queries read it.
+_run_lakes: dict[tuple[str, str], Lake] = {}
+
+
 def pipeline_two_runs(spark: SparkSession, folder: str) -> DataFrame:
-    return _two_runs(spark, folder, parity=False)
+    """Rows of every table after the runs."""
+    lake = _two_runs(spark, folder, parity=False)
+    _run_lakes[(spark.sparkContext.applicationId, folder)] = lake
+    return _run_counts(lake)
 
 
 def pipeline_two_runs_parity(spark: SparkSession, folder: str) -> DataFrame:
-    return _two_runs(spark, folder, parity=True)
+    return _run_counts(_two_runs(spark, folder, parity=True))
+
+
+def pipeline_table(spark: SparkSession, folder: str, layer: str, table: str) -> DataFrame:
+    """A table as a reader gets it after the runs, through a lake opened anew."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _run_lakes:
+        _run_lakes[key] = _two_runs(spark, folder, parity=False)
+    return Lake(spark, _run_lakes[key].config).read(layer, table)
 
 
 def catalogue() -> dict[str, Query]:
@@ -390,6 +432,8 @@ def catalogue() -> dict[str, Query]:
     }
     for entity in KEYS:
         queries[f"bronze_merge_{entity}"] = partial(bronze_merge, entity=entity)
+    for layer, table in STORED:
+        queries[f"stored_{table}"] = partial(pipeline_table, layer=layer, table=table)
     for query in (
         bronze_order_items_new,
         bronze_order_items_new_by_item,
@@ -400,6 +444,7 @@ def catalogue() -> dict[str, Query]:
         silver_order_sales_incremental,
         silver_order_sales_late,
         silver_order_sales_orphans,
+        silver_undated_target,
         silver_stocks_snapshot,
     ):
         queries[query.__name__] = query

@@ -7,7 +7,10 @@ AS_OF = "DATE '2001-12-31'"
 DAY_BEFORE = "DATE '2001-12-30'"
 
 BRANDS = "SELECT DISTINCT CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS brand_id, p_brand AS brand_name FROM part"
-CATEGORY_ID = "CAST('0x' || substr(md5(p_type), 1, 8) AS BIGINT)"
+CATEGORY_ID = (
+    "CAST(xor(CAST('0x' || substr(md5(p_type), 1, 16) AS UBIGINT), CAST('0x' || substr(md5(p_type), 17, 16) AS UBIGINT)) "
+    "& 9223372036854775807 AS BIGINT)"
+)
 CATEGORIES = f"SELECT DISTINCT {CATEGORY_ID} AS category_id, p_type AS category_name FROM part"
 PRODUCTS = f"""
     SELECT p_partkey AS product_id, p_name AS product_name,
@@ -156,6 +159,36 @@ def _bronze_counts() -> str:
     )
 
 
+def _stored() -> dict[str, str]:
+    """The tables after two extracts and a repeated day: members of the second extract
+    follow the stored keys, and every row has the day that loaded it."""
+    ctes = [
+        f"sales AS (SELECT * REPLACE (CAST(order_date AS DATE) AS order_date) FROM ({SALES}))",
+        f"early AS (SELECT * FROM sales WHERE order_date <= {CUTOFF})",
+        f"dim_date AS ({CALENDAR})",
+    ]
+    for table, (sk, key, attributes) in DIMS.items():
+        ctes.append(f"first_{table} AS ({_dim(table, 'early', DAY_BEFORE)})")
+        ctes.append(f"""{table} AS (
+            SELECT * FROM first_{table}
+            UNION ALL
+            SELECT (SELECT max({sk}) FROM first_{table}) + row_number() OVER (ORDER BY {key}, {attributes}) AS {sk},
+                   {key}, {attributes}, {AS_OF} AS data_criacao_registro
+            FROM (SELECT DISTINCT {key}, {attributes} FROM sales)
+            WHERE {key} NOT IN (SELECT {key} FROM first_{table}))""")
+    begin = "WITH " + ", ".join(ctes)
+    loaded = f"CASE WHEN order_date <= {CUTOFF} THEN {DAY_BEFORE} ELSE {AS_OF} END"
+    days = f"SELECT *, {DAY_BEFORE} AS dt_stock FROM ({STOCKS}) UNION ALL SELECT *, {AS_OF} AS dt_stock FROM ({STOCKS})"
+    sql = {f"stored_{table}": f"{begin} SELECT * FROM {table}" for table in DIMS}
+    return sql | {
+        "stored_orders": f"SELECT * REPLACE (CAST(order_date AS DATE) AS order_date) FROM ({ORDERS})",
+        "stored_order_sales": f"{begin} SELECT * FROM sales",
+        "stored_stocks_snapshot": days,
+        "stored_fact_sales": f"{begin} SELECT * REPLACE ({loaded} AS data_criacao_registro) FROM ({FACT_SALES})",
+        "stored_fato_stocks": f"{begin} {_fact_stocks(days)}",
+    }
+
+
 def oracle() -> dict[str, str]:
     snapshot = f"SELECT *, {AS_OF} AS dt_stock FROM ({STOCKS})"
     sql = {
@@ -227,6 +260,12 @@ def oracle() -> dict[str, str]:
               AND (order_date > {CUTOFF}
                    OR NOT EXISTS (SELECT 1 FROM stored WHERE l_orderkey = order_id AND l_linenumber = item_id))""",
         "silver_order_sales_orphans": ORPHAN_SALES,
+        "silver_undated_target": f"""
+            WITH sales AS ({ORPHAN_SALES})
+            SELECT * FROM sales
+            WHERE order_date IS NOT NULL
+               OR (order_id, item_id) NOT IN (SELECT (l_orderkey, CAST(l_linenumber AS BIGINT)) FROM lineitem
+                                              WHERE l_shipdate <= {CUTOFF})""",
         "silver_stocks_snapshot": snapshot,
         "gold_dim_date": CALENDAR,
         "gold_fact_sales": f"{_with_dims('sales')} {FACT_SALES}",
@@ -263,6 +302,7 @@ def oracle() -> dict[str, str]:
         "pipeline_two_runs": _two_runs_counts(snapshots=2),
         "pipeline_two_runs_parity": _two_runs_counts(snapshots=3),
     }
+    sql |= _stored()
     for table, (sk, key, attributes) in DIMS.items():
         columns = f"{key}, {attributes}"
         ctes = f"""

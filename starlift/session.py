@@ -36,6 +36,19 @@ LOCAL_SETTINGS = CLUSTER_SETTINGS | {
 }
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """Put the settings in force that the session's user has not set. On a local master
+    those for one machine, with a shuffle partition per core."""
+    context = spark.sparkContext
+    chosen = CLUSTER_SETTINGS
+    if context.master.startswith("local"):
+        chosen = LOCAL_SETTINGS | {"spark.sql.shuffle.partitions": str(context.defaultParallelism)}
+    given = {name for name, _ in context.getConf().getAll()}
+    for name, value in chosen.items():
+        if name.startswith("spark.sql.") and name not in given:
+            spark.conf.set(name, value)
+
+
 def local_session(app: str = "starlift", cores: int | str = 8, **settings: str) -> SparkSession:
     """A session on this machine; ``settings`` are named with ``__`` for each dot."""
     chosen = LOCAL_SETTINGS | {"spark.sql.shuffle.partitions": str(cores)}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starlift.sources.schemas import schema_for
 
@@ -31,10 +33,30 @@ def publish_csv(rows: DataFrame, folder: str, entity: str) -> None:
     rows.write.mode("overwrite").options(**DIALECT).csv(f"{folder.rstrip('/')}/{entity}.csv")
 
 
+def refuse_broken_lines(spark: SparkSession, path: str) -> None:
+    """Raise if a quoted value goes over the end of a line. Read line by line, such a row
+    would become two, without any error."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    broken = spark.read.text(path).filter(quotes % 2 == 1).select(F.substring("value", 1, 80)).first()
+    if broken is not None:
+        raise ValueError(f"{path}: a quoted line break at {broken[0]!r}; set multiline to read it")
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    return spark.read.options(**DIALECT).csv(path).columns
+
+
 def copy_csv(spark: SparkSession, path: str, folder: str, entity: str, multiline: bool = False) -> None:
-    """Publish a CSV file as it is: every value stays the text it was."""
-    text = spark.read.options(**DIALECT).option("multiLine", multiline).csv(path)
-    publish_csv(text, folder, entity)
+    """Publish a CSV file, or a folder of parts, with every value as the text it was.
+
+    Rows with more or fewer values than the header has are refused, and so are parts
+    whose header is another one: their columns would get into each other's place.
+    """
+    if not multiline:
+        refuse_broken_lines(spark, path)
+    schema = T.StructType([T.StructField(column, T.StringType()) for column in _header(spark, path)])
+    reader = spark.read.schema(schema).options(**DIALECT).option("multiLine", multiline)
+    publish_csv(reader.option("mode", "FAILFAST").option("enforceSchema", False).csv(path), folder, entity)
 
 
 def read_landing(
@@ -50,11 +72,13 @@ def read_landing(
 
     Only the header line is read to learn the columns; there is no inference pass.
     ``multiline`` allows line breaks inside quotes but makes a file unsplittable, so
-    it is off unless the extract needs it.
+    it is off unless the extract needs it; a file that needs it is refused without.
     """
     path = f"{folder.rstrip('/')}/{entity}.csv"
-    header = spark.read.options(**DIALECT).csv(path).columns
-    reader = spark.read.schema(schema_for(entity, header, types)).options(**DIALECT)
+    if not multiline:
+        refuse_broken_lines(spark, path)
+    schema = schema_for(entity, _header(spark, path), types)
+    reader = spark.read.schema(schema).options(**DIALECT)
     reader = reader.option("mode", mode).option("multiLine", multiline).option("enforceSchema", False)
     if null_marker is not None:
         reader = reader.option("nullValue", null_marker)

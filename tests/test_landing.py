@@ -6,9 +6,9 @@ from starlift.sources.schemas import schema_for
 
 PRODUCTS = (
     "product_id,product_name,brand_id,category_id,model_year,list_price\n"
-    '76,"Girl\'s Cruiser 1 16"" - 2017",1,3,2017,299.99\n'
-    '77," two, parts ",1,3,2017,1549\n'
-    "78,,1,3,2017,12\n"
+    '501,"Lamp ""Nord"", 40 cm",12,30,2031,18.75\n'
+    '502," two, parts ",12,31,2031,7\n'
+    "503,,12,30,2031,12\n"
 )
 STAFFS = (
     "staff_id,first_name,last_name,email,phone,active,store_id,manager_id\n"
@@ -35,7 +35,7 @@ def test_only_csv_files_are_found(spark, extract):
 def test_quotes_commas_and_blanks(spark, extract):
     products = read_landing(spark, extract, "products")
     names = [row["product_name"] for row in products.orderBy("product_id").collect()]
-    assert names == ["Girl's Cruiser 1 16\" - 2017", " two, parts ", None]
+    assert names == ['Lamp "Nord", 40 cm', " two, parts ", None]
     assert dict(products.dtypes) == {
         "product_id": "bigint",
         "product_name": "string",
@@ -58,7 +58,7 @@ def test_publishing_again_replaces(spark, extract, tmp_path):
     landing = str(tmp_path / "landing")
     products = read_landing(spark, extract, "products")
     publish_csv(products, landing, "products")
-    publish_csv(products.filter("product_id = 76"), landing, "products")
+    publish_csv(products.filter("product_id = 501"), landing, "products")
     assert read_landing(spark, landing, "products").count() == 1
 
 
@@ -93,3 +93,27 @@ def test_a_bad_value_is_not_read_as_null(spark, tmp_path):
 def test_line_breaks_in_quotes(spark, tmp_path):
     (tmp_path / "brands.csv").write_text('brand_id,brand_name\n1,"two\nlines"\n')
     assert rows(read_landing(spark, str(tmp_path), "brands", multiline=True)) == [(1, "two\nlines")]
+    for read in (
+        lambda: read_landing(spark, str(tmp_path), "brands"),
+        lambda: copy_csv(spark, f"{tmp_path}/brands.csv", str(tmp_path / "landing"), "brands"),
+    ):
+        with pytest.raises(ValueError, match="quoted line break"):
+            read()
+    copy_csv(spark, f"{tmp_path}/brands.csv", str(tmp_path / "landing"), "brands", multiline=True)
+    assert rows(read_landing(spark, str(tmp_path / "landing"), "brands", multiline=True)) == [(1, "two\nlines")]
+
+
+@pytest.mark.parametrize("row", ["1,Acme, Inc", "1"])
+def test_rows_that_do_not_fit_the_header_are_refused(spark, tmp_path, row):
+    (tmp_path / "brands.csv").write_text(f"brand_id,brand_name\n{row}\n2,Other\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        copy_csv(spark, f"{tmp_path}/brands.csv", str(tmp_path / "landing"), "brands")
+
+
+def test_parts_with_another_header_are_refused(spark, tmp_path):
+    folder = tmp_path / "customers.csv"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("customer_id,first_name,last_name\n1,Ann,Lee\n")
+    (folder / "part-1.csv").write_text("customer_id,last_name,first_name\n2,Lee,Ann\n")
+    with pytest.raises(Exception, match="header"):
+        copy_csv(spark, str(folder), str(tmp_path / "landing"), "customers")
