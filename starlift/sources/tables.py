@@ -77,10 +77,11 @@ class Lake:
         if not [name for name in names if not name.startswith(("_", "."))]:
             return False  # a write that broke off, or that had no rows
         hadoop = self.config.table_format in ("parquet", "orc")
-        if hadoop and "_SUCCESS" not in names:
+        partition = DATED.get((layer, table), (None, None))[1] if hadoop else None
+        # Folders of partitions only get their names when the write is finished.
+        if hadoop and "_SUCCESS" not in names and partition is None:
             raise RuntimeError(f"{place} holds files, but no write of a table was finished there")
         self.create_databases()
-        partition = DATED.get((layer, table), (None, None))[1] if hadoop else None
         stored = self.spark.read.format(self.config.table_format).load(place).schema
         columns = [f"`{field.name}` {field.dataType.simpleString()}" for field in stored if field.name != partition]
         layout = f"({', '.join(columns)})" if hadoop else ""

@@ -122,3 +122,10 @@ def test_the_target_is_reduced_before_its_shuffle(spark, shuffled_joins):
     target = plan[plan.rindex("HashAggregate") :]
     assert "Exchange" not in target.split("Range")[0]  # partial distinct sits right on the scan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_keys_of_other_types_are_compared_in_the_wider_one(spark):
+    source = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    target = spark.createDataFrame([(1.5,), (2.0,)], "id double")
+    assert rows(rows_not_in(source, target, equal=["id"])) == [(1,), (3,)]
+    assert rows_not_in(source, target, null_safe=["id"]).schema == source.schema

@@ -1,11 +1,15 @@
+import os
+import subprocess
+import sys
 from dataclasses import replace
 from datetime import date
 
 import pytest
-from conftest import rows
+from conftest import ROOT, rows
 
 from starlift import Lake, LakeConfig
 from starlift.__main__ import main
+from starlift.operators.policies import within_range
 from starlift.operators.staging import discard, new_folder, stage, staging_root
 from starlift.plans import gold, pipeline, run_all, run_gold
 from starlift.queries.binding import Entities
@@ -247,6 +251,79 @@ def test_command_line(spark, extracts, tmp_path):
     assert spark.table("cli_gold.fact_sales").count() == 2
 
 
+def test_a_second_process_goes_on_where_the_first_ended(spark, extracts, make_lake, tmp_path):
+    """Each run in a process of its own, with the default catalog."""
+    root = str(tmp_path / "lake")
+    for source, day in zip(extracts, ("2020-02-01", "2020-02-02")):
+        command = [sys.executable, "-m", "starlift", "--source", source, "--root", root, "--as-of", day]
+        environment = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false pyspark-shell"}
+        done = subprocess.run(command, cwd=ROOT, env=environment, capture_output=True, text=True, timeout=300)
+        assert done.returncode == 0, done.stderr[-2000:]
+    once = make_lake("oneprocess")
+    for source, day in zip(extracts, (DAY_1, DAY_2)):
+        run_all(once, source, day)
+    again = Lake(spark, LakeConfig(root=root, prefix="again_"))
+    for layer, table in all_tables(once):
+        assert rows(again.read(layer, table)) == rows(once.read(layer, table)), table
+        assert again.read(layer, table).schema == once.read(layer, table).schema, table
+    assert again.watermark("gold", "fact_sales") == DAY_2
+
+
+def test_a_folder_that_no_write_finished_is_refused(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/bronze/brands")
+    os.remove(f"{tmp_path}/bronze/brands/_SUCCESS")
+    lake = Lake(spark, LakeConfig(root=str(tmp_path), prefix="unfinished_"))
+    with pytest.raises(RuntimeError, match="brands"):
+        lake.exists("bronze", "brands")
+    assert not lake.exists("bronze", "stores")
+
+
+def test_undated_rows_come_once_and_dated_ones_later(make_lake, tmp_path):
+    """Lines without their orders, loaded three times; then the orders land."""
+    header = FIRST["orders"].split("\n")[0] + "\n"
+    without = write(tmp_path / "without", FIRST | {"orders": header})
+    more = write(tmp_path / "more", SECOND | {"orders": header})
+    lake = make_lake("undated")
+    for _ in range(3):
+        run_all(lake, without, DAY_1)
+        assert lake.count("silver", "order_sales") == lake.count("gold", "fact_sales") == 2
+    run_all(lake, more, DAY_1)
+    assert lake.count("silver", "order_sales") == lake.count("gold", "fact_sales") == 5
+    run_all(lake, write(tmp_path / "landed", SECOND), DAY_2)
+    dated = lake.read("gold", "fact_sales").filter("order_date is not null")
+    assert rows(dated.select("order_id")) == [(100,), (101,), (102,), (103,), (104,)]
+
+
+def test_increments_write_few_files_and_empty_ones_none(spark, make_lake):
+    lake = make_lake("files")
+    lake.create_databases()
+    lines = spark.range(0, 1000, numPartitions=8).selectExpr("id as order_id", "id as item_id", "id as product_id", "timestamp'2020-01-01' as order_date")
+
+    def files(layer, table):
+        return lake.read(layer, table).inputFiles()
+
+    for layer, table in (("bronze", "order_items"), ("bronze", "brands"), ("silver", "order_sales"), ("gold", "fact_sales")):
+        lake.append(lines, layer, table)
+        before = set(files(layer, table))
+        lake.append_new(lines.filter("order_id < 0"), layer, table)
+        assert set(files(layer, table)) == before
+        lake.append_new(lines.filter("order_id % 7 = 0"), layer, table)
+        assert len(set(files(layer, table)) - before) == 1
+        assert lake.count(layer, table) == 1143
+
+
+def test_late_lines_are_compared_with_their_range_only(spark, make_lake):
+    lake = make_lake("range")
+    lake.create_databases()
+    lake.append(spark.range(1000).selectExpr("id as order_id", "id as product_id"), "bronze", "order_items")
+    narrow = spark.range(500, 510).selectExpr("id as order_id", "id + 1 as product_id")
+    stored = within_range(lake.read("bronze", "order_items"), narrow, "order_id")
+    assert stored.count() == 10
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(order_id,500)" in plan and "LessThanOrEqual(order_id,509)" in plan
+    assert within_range(lake.read("bronze", "order_items"), narrow.limit(0), "order_id").count() == 0
+
+
 def test_a_split_by_date_gives_what_one_load_gives(spark, sf_dir, make_lake, tmp_path):
     """On the whole given tables: same silver rows, same facts behind the surrogate keys."""
     entities = Entities(spark, sf_dir)
