@@ -1,10 +1,13 @@
 """Personal data: patterns propose spans, checksums confirm them, context adjusts the score.
 
-The base kinds are email, ip, card and phone; a card passes the Luhn test. The method adds two
-kinds: iban, whose letters and digits must leave 1 modulo 97, and secret, a long hexadecimal
+The base kinds are email, ip, card and phone; a card passes the Luhn test. A base pattern takes
+as much as it can, so a number that stands next to another one fails with it. The method adds
+tel and pan, telephone and card numbers in their usual grouping, for these; iban, whose letters
+and digits must leave 1 modulo 97; key, the access keys of a cloud; and secret, a hexadecimal
 string that counts only if a word like ``token`` stands just before it. Each span has a score:
 that of its kind, raised if one of the kind's context words stands within ``NEAR`` characters
-before it. Base spans stay whatever their score; added ones need ``least``.
+before it. Base spans stay whatever their score; added ones need ``least``, and to lie in no
+base span.
 
 Spark's own functions only. A pattern's matches and the pieces between them give the places:
 both come from the same left-to-right search. The patterns are written so that a failed try
@@ -83,7 +86,16 @@ KINDS = (
         "", _iban, 0.7, "iban|bank|account", False,
     ),
     Kind(
-        "secret", r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,128}(?![A-Za-z0-9])",
+        "tel", r"\+[0-9]{1,3}[\x20-]?\(?[0-9]{2,4}\)?[\x20-]?[0-9]{3,4}[\x20-][0-9]{4}(?![0-9])",
+        "+", lambda value: F.length(_digits(value)).between(9, 15), 0.6, "phone|call|tel|fax|mobile", False,
+    ),
+    Kind(
+        "pan", r"(?<![0-9])(?:[0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}[\x20-][0-9]{4}|[0-9]{13,19})(?![0-9])",
+        "", _card, 0.7, "card|visa|pay|credit", False,
+    ),
+    Kind("key", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])", "AKIA", lambda value: F.lit(True), 0.7, "key|access", False),
+    Kind(
+        "secret", r"(?<![A-Za-z0-9])[A-Fa-f0-9]{16,128}(?![A-Za-z0-9])",
         "", lambda value: F.lit(True), 0.3, "token|secret|key|password|passwd|credential", False,
     ),
 )
@@ -116,8 +128,17 @@ def _matches(text: Column, kind: Kind, order: int) -> Column:
 def spans(text: Column, least: float = 0.5) -> Column:
     """All spans of a text, by start and then in the order of ``KINDS``."""
     text = F.coalesce(text, F.lit(""))
-    every = F.array_sort(F.concat(*(_matches(text, kind, order) for order, kind in enumerate(KINDS))))
-    return F.filter(every, lambda span: span["base"] | (span["score"] >= least))
+    found = [(kind, _matches(text, kind, order)) for order, kind in enumerate(KINDS)]
+    base = F.concat(*(matches for kind, matches in found if kind.base))
+    added = F.concat(*(matches for kind, matches in found if not kind.base))
+
+    def stays(span: Column, base: Column) -> Column:
+        within = F.exists(base, lambda b: (b["start"] <= span["start"]) & (b["end"] >= span["end"]))
+        return (span["score"] >= least) & ~within
+
+    # As an element of an array, the base spans are computed once.
+    both = F.transform(F.array(base), lambda base: F.concat(base, F.filter(added, lambda span: stays(span, base))))
+    return F.array_sort(F.element_at(both, 1))
 
 
 def listed(found: Column) -> Column:
