@@ -247,11 +247,40 @@ def gold_fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     return gold.fact_sales(sales, dims, entities.dim_date, AS_OF)
 
 
+# The stored state that the increments start from, one lake for each session and folder.
+_state_lakes: dict[tuple[str, str], Lake] = {}
+
+
+def _stored_state(spark: SparkSession, folder: str) -> Lake:
+    """All sales in silver, the dimensions of all of them, two days of stock, and the first
+    of these days in the stock fact."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _state_lakes:
+        entities = Entities(spark, folder)
+        lake = _lake(spark, "state")
+        lake.create_databases()
+        lake.append(entities.order_sales(), "silver", "order_sales")
+        for name, rows in gold.all_dimensions(lake.read("silver", "order_sales"), AS_OF).items():
+            lake.overwrite(rows, "gold", name)
+        lake.overwrite(entities.dim_date.coalesce(1), "gold", "dim_date")
+        days = F.array(F.lit(DAY_BEFORE), F.lit(AS_OF))
+        lake.append(entities.stocks.withColumn("dt_stock", F.explode(days)), "silver", "stocks_snapshot")
+        earlier = lake.read("silver", "stocks_snapshot").filter(F.col("dt_stock") <= F.lit(DAY_BEFORE))
+        dims = {name: lake.read("gold", name) for name in ("dim_products", "dim_stores")}
+        lake.append(gold.fact_stocks(earlier, dims, lake.read("gold", "dim_date"), DAY_BEFORE), "gold", "fato_stocks")
+        _state_lakes[key] = lake
+    return _state_lakes[key]
+
+
 def gold_fact_sales_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    entities, sales, dims = _sales_and_dims(spark, folder)
-    stored = sales.filter(F.col("order_date") <= F.lit(CUTOFF))
-    mark = watermark(stored, "order_date").scalar()
-    return gold.fact_sales(after_watermark(sales, "order_date", mark), dims, entities.dim_date, AS_OF)
+    """The sales after the watermark, from the stored tables: what was loaded before is
+    not read again, but for the latest day among it."""
+    lake = _stored_state(spark, folder)
+    sales = lake.read("silver", "order_sales")
+    mark = watermark(sales.filter(F.col("order_date") <= F.lit(CUTOFF)), "order_date").first()["order_date"]
+    dims = {dimension.table: lake.read("gold", dimension.table) for dimension in gold.DIMENSIONS}
+    recent = lake.read("silver", "order_sales", above=mark.date())
+    return gold.fact_sales(recent, dims, lake.read("gold", "dim_date"), AS_OF)
 
 
 def gold_fact_sales_orphans(spark: SparkSession, folder: str) -> DataFrame:
@@ -296,15 +325,13 @@ def gold_fact_stocks_unsold(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gold_fact_stocks_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    """Two snapshots, the first already in the fact: the calendar tells which is new."""
-    entities = Entities(spark, folder)
-    dims = _stock_dims(entities.order_sales())
-    days = F.array(F.lit(DAY_BEFORE), F.lit(AS_OF))
-    snapshots = stage(entities.stocks.withColumn("dt_stock", F.explode(days)), "snapshots")
-    earlier = snapshots.filter(F.col("dt_stock") <= F.lit(DAY_BEFORE))
-    stored = gold.fact_stocks(earlier, dims, entities.dim_date, DAY_BEFORE)
-    mark = gold.stock_watermark(stored, entities.dim_date).scalar()
-    return gold.fact_stocks(after_watermark(snapshots, "dt_stock", mark), dims, entities.dim_date, AS_OF)
+    """Two stored snapshots, the first already in the fact: the calendar tells which is new."""
+    lake = _stored_state(spark, folder)
+    dim_date = lake.read("gold", "dim_date")
+    mark = gold.stock_watermark(lake.partition_values("gold", "fato_stocks"), dim_date).first()["date"]
+    dims = {name: lake.read("gold", name) for name in ("dim_products", "dim_stores")}
+    recent = lake.read("silver", "stocks_snapshot", above=mark)
+    return gold.fact_stocks(recent, dims, dim_date, AS_OF)
 
 
 def serve_gold_table(spark: SparkSession, folder: str) -> DataFrame:
