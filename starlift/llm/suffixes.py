@@ -5,16 +5,16 @@ predecessor is L-type is leftmost smaller (LMS). LMS substrings are sorted by on
 inducing and named; if names repeat, the string of names is sorted recursively. The order of
 the LMS suffixes then induces all others: L-type ones from the left, S-type ones from the right.
 
-The bytes' level works bucket by bucket on whole arrays; the strings of names, which have about
-as many buckets as letters, are worked through one by one.
+Inducing goes through the array in blocks: all that is filled up to the next gap is taken at
+once, as the suffixes it puts lie beyond.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Suffixes that are placed one by one rather than as an array.
-FEW = 16
+#: Suffixes looked at at a time, and how few of them are placed one by one.
+BLOCK, FEW = 4096, 16
 
 
 def _types(s: np.ndarray) -> np.ndarray:
@@ -31,117 +31,52 @@ def _leftmost(types: np.ndarray) -> np.ndarray:
     return np.flatnonzero(types[1:] & ~types[:-1]) + 1
 
 
-def _induced(s: np.ndarray, types: np.ndarray, lms: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The order of all suffixes from that of the LMS ones (``lms``, grouped by bucket)."""
-    size = len(ends)
-    starts = np.concatenate([[0], ends[:-1]])
-    order = np.full(len(s), -1, np.int64)
-    heads, tails = starts.copy(), ends.copy()
-    first = s[lms]
-    lms_ends = np.searchsorted(first, np.arange(size), side="right")
-    lms_starts = np.searchsorted(first, np.arange(size), side="left")
-
-    def put(items: np.ndarray, smaller: bool) -> None:
-        if len(items) <= FEW:  # long runs of a byte come one by one
-            for i in items.tolist():
-                if i > 0 and types[i - 1] == smaller:
-                    if smaller:
-                        tails[s[i - 1]] -= 1
-                        order[tails[s[i - 1]]] = i - 1
-                    else:
-                        order[heads[s[i - 1]]] = i - 1
-                        heads[s[i - 1]] += 1
-            return
-        before = items[items > 0] - 1
-        before = before[types[before] == smaller]
-        if not len(before):
-            return
-        letters = s[before]
-        turn = np.argsort(letters, kind="stable")
-        counts = np.bincount(letters, minlength=size)
-        rank = np.arange(len(before)) - np.repeat(np.cumsum(counts) - counts, counts)
-        letters = letters[turn]
-        if smaller:
-            order[tails[letters] - 1 - rank] = before[turn]
-            tails[:] -= counts
+def _sweep(view: np.ndarray, s: np.ndarray, types: np.ndarray, kind: bool, heads: np.ndarray, own: np.ndarray) -> None:
+    """Go through ``view`` in order and put the suffix before each one, if it is of ``kind``,
+    at its bucket's head. ``own`` marks the places of that kind, which get filled on the way:
+    all up to the next unfilled one can be taken at once, as what they put lies beyond."""
+    done = 0
+    while done < len(view):
+        block = view[done : done + BLOCK]
+        unfilled = (block < 0) & own[done : done + BLOCK]
+        ready = int(unfilled.argmax()) or (0 if unfilled[0] else len(block))
+        if not ready:
+            raise ValueError("the last symbol isn't the unique smallest one")
+        if ready <= FEW:
+            for i in block[:ready].tolist():
+                if i > 0 and types[i - 1] == kind:
+                    letter = s[i - 1]
+                    view[heads[letter]] = i - 1
+                    heads[letter] += 1
         else:
-            order[heads[letters] + rank] = before[turn]
-            heads[:] += counts
-
-    used = np.flatnonzero(ends > starts)
-    for c in used:
-        done = starts[c]
-        while done < heads[c]:  # those that follow within the bucket come in waves
-            upto = heads[c]
-            put(order[done:upto], False)
-            done = upto
-        put(lms[lms_starts[c] : lms_ends[c]], False)
-    for c in used[::-1]:
-        done = ends[c]
-        while done > tails[c]:
-            downto = tails[c]
-            put(order[downto:done][::-1], True)
-            done = downto
-        put(order[starts[c] : heads[c]][::-1], True)
-    order[0] = len(s) - 1
-    return order
+            before = block[:ready]
+            before = before[before > 0] - 1
+            before = before[types[before] == kind]
+            letters = s[before]
+            turn = np.argsort(letters, kind="stable")
+            letters = letters[turn]
+            firsts = np.flatnonzero(np.concatenate([[True], letters[1:] != letters[:-1]])) if len(letters) else turn
+            counts = np.diff(np.append(firsts, len(letters)))
+            view[heads[letters] + np.arange(len(letters)) - np.repeat(firsts, counts)] = before[turn]
+            heads[letters[firsts]] += counts
+        done += ready
 
 
-def _plain(s: list[int], size: int) -> list[int]:
-    """The suffix array of a string of names, its last one the unique smallest."""
-    n = len(s)
-    types = [True] * n
-    for i in range(n - 2, -1, -1):
-        types[i] = s[i] < s[i + 1] or (s[i] == s[i + 1] and types[i + 1])
-    lms = [i for i in range(1, n) if types[i] and not types[i - 1]]
-    counts = [0] * size
-    for c in s:
-        counts[c] += 1
-    ends, total = [], 0
-    for count in counts:
-        total += count
-        ends.append(total)
-    starts = [end - count for end, count in zip(ends, counts)]
-
-    def induced(seeds: list[int]) -> list[int]:
-        order = [-1] * n
-        tails = ends[:]
-        for i in reversed(seeds):
-            tails[s[i]] -= 1
-            order[tails[s[i]]] = i
-        heads = starts[:]
-        for at in range(n):
-            i = order[at] - 1
-            if i >= 0 and not types[i]:
-                order[heads[s[i]]] = i
-                heads[s[i]] += 1
-        tails = ends[:]
-        for at in range(n - 1, -1, -1):
-            i = order[at] - 1
-            if i >= 0 and types[i]:
-                tails[s[i]] -= 1
-                order[tails[s[i]]] = i
-        order[0] = n - 1
-        return order
-
-    if n == 1:
-        return [0]
-    following = dict(zip(lms, lms[1:] + [n - 1]))
-    names, name, last = {}, -1, None
-    for i in induced(lms):
-        if i in following:
-            part = s[i : following[i] + 1]
-            if part != last:
-                name, last = name + 1, part
-            names[i] = name
-    reduced = [names[i] for i in lms]
-    if name + 1 < len(lms):
-        ranked = [lms[i] for i in _plain(reduced, name + 1)]
-    else:
-        ranked = [0] * len(lms)
-        for i, at in zip(lms, reduced):
-            ranked[at] = i
-    return induced(ranked)
+def _induced(s: np.ndarray, types: np.ndarray, lms: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The order of all suffixes from that of the LMS ones (``lms``, grouped by bucket)."""
+    n, starts = len(s), np.concatenate([[0], ends[:-1]])
+    larger = np.arange(n) < np.repeat(ends - np.bincount(s[types], minlength=len(ends)), ends - starts)
+    order = np.full(n, -1, np.int64)
+    letters = s[lms]
+    counts = np.bincount(letters, minlength=len(ends))
+    order[(ends - np.cumsum(counts))[letters] + np.arange(len(lms))] = lms
+    _sweep(order, s, types, False, starts.copy(), larger)
+    order[~larger] = -1
+    order[0] = n - 1
+    heads = n - ends
+    heads[0] += 1
+    _sweep(order[::-1], s, types, True, heads, ~larger[::-1])
+    return order
 
 
 def _same(s: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -177,7 +112,7 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
     names[sorted_lms] = np.concatenate([[0], np.cumsum(~alike)])
     reduced = names[lms]
     if reduced.max() + 1 < len(lms):
-        ranked = lms[np.array(_plain(reduced.tolist(), int(reduced.max()) + 1), np.int64)]
+        ranked = lms[suffix_array(reduced, int(reduced.max()) + 1)]
     else:
         ranked = np.empty_like(lms)
         ranked[reduced] = lms
