@@ -226,7 +226,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3) -> DataF
         F.coalesce("root", "bits").alias("root"),
         F.when(F.col("root").isNull(), F.col("smallest")).otherwise(F.col("component_id")).alias("component_id"),
     )
-    return marked.join(classes, "bits").select("doc_id", "text_key", "bits", "root", "component_id")
+    # Written, so that the join shuffles both sides plainly and a hot fingerprint can be split.
+    return marked.join(stage(classes, "classes"), "bits").select("doc_id", "text_key", "bits", "root", "component_id")
 
 
 def as_hex(bits: str) -> Column:
