@@ -1,8 +1,7 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences, and a sentence of more than ``longest`` words after every so
-many; so a passage of more than twice that many words has three units whatever its
-punctuation. Every run of ``run`` consecutive units is hashed (128 bits of its words, white
+many; so a passage of over 50 words has four units or more whatever its punctuation. Every run of ``run`` consecutive units is hashed (128 bits of its words, white
 space evened out) and all runs are joined globally. Of equal runs the first stays, in order
 of doc_id and place; the units that any other one covers are removed from its document.
 
@@ -39,8 +38,8 @@ _SENTENCE, _WORD = re.compile(SENTENCE), re.compile(WORD)
 class Spans(NamedTuple):
     """run: units of a span. longest: words of a unit."""
 
-    run: int = 3
-    longest: int = 25
+    run: int = 4
+    longest: int = 16
 
 
 def units(text: str | None, longest: int) -> list[str]:
@@ -108,6 +107,8 @@ def without_repeats(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "at")
     firsts = placed.groupBy("high", "low").agg(F.min(order).alias("first"), F.count("*").alias("n"))
     firsts = firsts.filter("n > 1").select("high", "low", F.col("first.doc_id").alias("first_doc"), F.col("first.at").alias("first_at"))
+    # Written, so that the join shuffles both sides plainly and a hot hash can be split.
+    firsts = stage(firsts, "firsts")
     later = placed.join(firsts, ["high", "low"]).filter(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("at") == F.col("first_at"))))
     # A document's later runs: as many as it has units at most.
     removed = later.groupBy("doc_id").agg(F.collect_set("at").alias("removed")).withColumnRenamed("doc_id", "removed_doc")
