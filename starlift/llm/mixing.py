@@ -27,7 +27,6 @@ import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +37,8 @@ from starlift.llm.common import fresh, stage, word_chunks
 DIMENSIONS = ("source", "lang", "topic")
 #: Letters from which a word counts for the topic, bits of a topic, words remembered by a task.
 LONG, TOPIC_BITS, REMEMBERED = 6, 3, 1 << 20
+#: Binary digits in which the words that have a bit are counted.
+FIELD = 40
 
 
 class Mix(NamedTuple):
@@ -52,27 +53,26 @@ class Mix(NamedTuple):
     seed: int = 11
 
 
-class _Signs(dict):
-    """+1 and -1 for each bit of a word's hash; zeros for a short word."""
+class _Bits(dict):
+    """The topic bits of a word's hash, each in a field of its own, so that they add up."""
 
-    def __missing__(self, word: bytes) -> np.ndarray:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > REMEMBERED:
             self.clear()
-        found = np.array([1 if zlib.crc32(word) >> 8 + bit & 1 else -1 for bit in range(TOPIC_BITS)])
-        self[word] = found
+        code = zlib.crc32(word) >> 8
+        found = self[word] = sum((code >> bit & 1) << FIELD * bit for bit in range(TOPIC_BITS))
         return found
 
 
-def topic_of(words: set[bytes], signs: dict) -> int:
-    total = np.zeros(TOPIC_BITS, np.int64)
-    for word in words:
-        total += signs[word]
-    return int(((total > 0) << np.arange(TOPIC_BITS)).sum())
+def topic_of(words: set[bytes], bits: dict) -> int:
+    """A bit is set if more than half of the words have it."""
+    total = sum(map(bits.__getitem__, words))
+    return sum((2 * (total >> FIELD * bit & (1 << FIELD) - 1) > len(words)) << bit for bit in range(TOPIC_BITS))
 
 
 @F.pandas_udf(StructType().add("n_tokens", LongType()).add("topic", LongType()))
 def _measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    signs = _Signs()
+    bits = _Bits()
     for texts in batches:
         counts, topics = [], []
         for text in texts:
@@ -81,7 +81,7 @@ def _measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
                 count += len(some)
                 words.update(word for word in some if len(word) >= LONG)
             counts.append(count)
-            topics.append(topic_of(words, signs))
+            topics.append(topic_of(words, bits))
         yield pd.DataFrame({"n_tokens": counts, "topic": topics})
 
 
