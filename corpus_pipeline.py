@@ -18,12 +18,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays: the one with the smallest doc_id, then
-    the smallest digest of its text. Rows that repeat both are one document."""
-    found = simhash.near_duplicates(docs, words=3, distance=3)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("first")
-    kept = found.groupBy("root").agg(first).select("first.doc_id", "first.text_key")
-    return keep_keys(docs, kept, "left_semi")
+    """One row of each SimHash component stays: the one with the smallest doc_id, then the
+    smallest digest of its text, then the first of the rows that repeat both."""
+    row = fresh(docs, "_row")
+    # Written, so that a row has the same number wherever it is read.
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = simhash.near_duplicates(numbered, words=3, distance=3, row=row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "row_id")).alias("first")
+    kept = found.groupBy("root").agg(first).select(F.col("first.row_id").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

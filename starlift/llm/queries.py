@@ -74,7 +74,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the sentences of spans that stand earlier in the corpus."""
-    found = sentences.without_repeats(table(spark, sf_dir, "documents"))
+    found = sentences.without_repeats(table(spark, sf_dir, "documents"), by_row=True)
     return found.select("doc_id", "n_sentences", "n_removed", F.col("kept").alias("text"))
 
 

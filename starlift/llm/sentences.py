@@ -9,8 +9,9 @@ Counts and first places are combined before the shuffle. The join back to the pl
 row of firsts for a hash, so a hash with very many places can be split over tasks.
 
 Defined cases: a null text counts as empty; a text of fewer than ``run`` units has no run and
-stays whole. Rows of one doc_id are one document: of repeated rows none is the later one.
-A null doc_id comes after all others. White space before the first word is not kept. Columns
+stays whole. Rows of one doc_id are one document unless ``by_row``: then, as in the SQL, every
+row loses its own later runs only, and the same runs at the same place of one doc_id are all
+first. A null doc_id comes after all others. White space before the first word is not kept. Columns
 beyond doc_id and text are not read.
 """
 
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlift.llm.common import stage
+from starlift.llm.common import row_key, stage
 
 # A sentence runs to full stops, or the like, before white space, or to the end of its line.
 SPACE = " \t\n\x0b\f\r"
@@ -75,9 +76,9 @@ def _hashed(spans: Spans):
                 for run_of in zip(*(keys[k:] for k in range(spans.run))):
                     found += xxhash.xxh3_128_digest(b"\n".join(run_of))
             halves = np.frombuffer(bytes(found), np.int64).reshape(-1, 2)
-            ids = batch.column("doc_id").take(pa.array(owners, pa.int64()))
-            columns = [ids, pa.array(places, pa.int32()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "high", "low"])
+            ids, texts = (batch.column(name).take(pa.array(owners, pa.int64())) for name in ("doc_id", "text_key"))
+            columns = [ids, texts, pa.array(places, pa.int32()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "at", "high", "low"])
 
     return run
 
@@ -100,10 +101,13 @@ def _cut(spans: Spans):
     return run
 
 
-def without_repeats(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
-    """Per row: doc_id, kept (the text that stays), n_sentences and n_removed (units)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    placed = stage(texts.mapInArrow(_hashed(spans), "doc_id long, at int, high long, low long"), "spans")
+def without_repeats(docs: DataFrame, spans: Spans = Spans(), by_row: bool = False) -> DataFrame:
+    """Per row: doc_id, kept (the text that stays), n_sentences and n_removed (units). Removals
+    are grouped by doc_id, or with ``by_row`` by doc_id and digest of the text: rows that
+    repeat both lose the same units."""
+    text_key = row_key() if by_row else F.lit(0).cast("long")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key.alias("text_key"), "text")
+    placed = stage(texts.mapInArrow(_hashed(spans), "doc_id long, text_key long, at int, high long, low long"), "spans")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "at")
     firsts = placed.groupBy("high", "low").agg(F.min(order).alias("first"), F.count("*").alias("n"))
     firsts = firsts.filter("n > 1").select("high", "low", F.col("first.doc_id").alias("first_doc"), F.col("first.at").alias("first_at"))
@@ -111,6 +115,7 @@ def without_repeats(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
     firsts = stage(firsts, "firsts")
     later = placed.join(firsts, ["high", "low"]).filter(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("at") == F.col("first_at"))))
     # A document's later runs: as many as it has units at most.
-    removed = later.groupBy("doc_id").agg(F.collect_set("at").alias("removed")).withColumnRenamed("doc_id", "removed_doc")
-    joined = texts.join(removed, texts["doc_id"].eqNullSafe(removed["removed_doc"]), "left").select("doc_id", "text", "removed")
+    removed = later.groupBy(F.col("doc_id").alias("removed_doc"), F.col("text_key").alias("removed_text")).agg(F.collect_set("at").alias("removed"))
+    same = texts["doc_id"].eqNullSafe(removed["removed_doc"]) & (texts["text_key"] == removed["removed_text"])
+    joined = texts.join(removed, same, "left").select("doc_id", "text", "removed")
     return joined.mapInArrow(_cut(spans), "doc_id long, kept string, n_sentences long, n_removed long")

@@ -115,12 +115,12 @@ def anchors(half: np.ndarray, threshold: int) -> np.ndarray:
     return np.concatenate([every[:, :1], rest], axis=1)
 
 
-def _fingerprints(words: int):
+def _fingerprints(words: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = np.array([fingerprint(text.as_py(), words) for text in batch.column("text")], np.uint64)
-            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(bits.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "bits"])
+            columns = [*(batch.column(name) for name in names), pa.array(bits.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "bits"])
 
     return run
 
@@ -209,11 +209,13 @@ def links(nodes: DataFrame, distance: int = 3) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3, row: str | None = None) -> DataFrame:
     """Per row: doc_id, text_key, bits (signed), root (the fingerprint that names the
-    component, one of it) and component_id."""
-    spread = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("text_key"), "text")
-    marked = spread.mapInArrow(_fingerprints(words), "doc_id long, text_key long, bits long")
+    component, one of it) and component_id; with ``row``, a column of longs, it as row_id too."""
+    names = ["doc_id", "text_key"] + ["row_id"] * (row is not None)
+    more = [] if row is None else [F.col(row).alias("row_id")]
+    spread = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("text_key"), *more, "text")
+    marked = spread.mapInArrow(_fingerprints(words, names), ", ".join(f"{name} long" for name in [*names, "bits"]))
     marked = stage(marked, "simhash")
     nodes = marked.groupBy("bits").agg(F.min("doc_id").alias("smallest"))
     nodes = stage(nodes, "simhash-nodes")
@@ -227,7 +229,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3) -> DataF
         F.when(F.col("root").isNull(), F.col("smallest")).otherwise(F.col("component_id")).alias("component_id"),
     )
     # Written, so that the join shuffles both sides plainly and a hot fingerprint can be split.
-    return marked.join(stage(classes, "classes"), "bits").select("doc_id", "text_key", "bits", "root", "component_id")
+    return marked.join(stage(classes, "classes"), "bits").select(*names, "bits", "root", "component_id")
 
 
 def as_hex(bits: str) -> Column:

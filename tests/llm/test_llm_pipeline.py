@@ -76,3 +76,9 @@ def test_quality_keeps_prose_and_drops_junk(spark):
 
 def test_clashing_names_are_those_of_the_cases(spark):
     assert set(CLASHING) < set(docs(spark).columns) and PROSE in docs(spark).filter(F.col("doc_id") == 9).first()["text"]
+
+
+def test_near_duplicates_keep_one_row_of_repeated_ones(spark, folder):
+    rows = [(None, PROSE * 3)] * 3 + [(7, "two words")] * 2 + [(7, "quite another text")]
+    kept = corpus_pipeline.near_duplicates(spark, docs(spark, rows), folder)
+    assert result(kept.select("doc_id", "text")) == sorted(set(rows), key=repr)

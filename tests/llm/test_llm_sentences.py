@@ -2,7 +2,7 @@ import re
 
 import pytest
 from cases import PROSE, TEXTS, docs, result
-from compare import compare
+from compare import compare, connect
 
 from starlift.llm import oracle, queries, sentences
 
@@ -82,3 +82,14 @@ def test_passages_over_fifty_words_go_whatever_their_punctuation(spark):
 
 def test_query_equals_sql(spark, sf_dir, tables):
     assert compare(queries.op10_sentences(spark, sf_dir), tables, oracle.oracle()["op10_sentences"]) is None
+
+
+def test_rows_without_an_id_lose_only_their_own_units(spark, tmp_path):
+    rows = [(None, "A b. C d. E f. G h. I j."), (None, "Own k. A b. C d. E f. G h."), (None, "Clean l. Clean m. Clean n. Clean o. Clean p. Clean q.")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet/")
+    spark.read.parquet(f"{tmp_path}/documents.parquet").coalesce(1).write.parquet(f"{tmp_path}/one")
+    connection = connect("/nowhere")
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/one/*.parquet')")
+    found = queries.op10_sentences(spark, str(tmp_path))
+    assert compare(found, connection, oracle.oracle()["op10_sentences"]) is None
+    assert sorted((n, text) for _, _, n, text in result(found)) == [(0, rows[0][1]), (0, rows[2][1]), (4, "Own k. ")]
