@@ -30,9 +30,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a window of a benchmark item occurs go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return keep_keys(docs, found.filter("n_hit > 0"), "left_anti")
+    """Documents in which a window of a benchmark item occurs go, also with a word put in, left
+    out or moved by one place (proximity with slop 1)."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), decontaminate.Search(slop=1))
+    return keep_keys(docs, found.filter("n_hit > 0 or n_near > 0"), "left_anti")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

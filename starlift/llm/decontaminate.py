@@ -2,7 +2,8 @@
 
 The documents are cut into blocks of bounded text. A block's index holds, for every word in
 it, the ascending list of places where it stands (its postings); places run on through the
-block, with a gap after each document, so no phrase crosses into the next one. The index is
+block, with a gap after each document (2 * ``slop`` + 1 places: the middle one is too far from
+both), so no phrase, exact or near, crosses into the next one. The index is
 written as a table: one row for each block, words and postings as arrays.
 
 A search takes the test items' windows to every block. A window whose words all occur there
@@ -44,7 +45,7 @@ _INDEX = (
     "block long, terms array<string>, counts array<int>, places array<int>, "
     "doc_ids array<long>, text_keys array<long>, starts array<int>, lengths array<int>"
 )
-_FOUND = "block long, at int, runs array<struct<a:int,b:int>>, items array<string>, n_near long"
+_FOUND = "block long, at int, runs array<struct<a:int,b:int>>, items array<string>, n_near long, near_items array<string>"
 
 
 class Search(NamedTuple):
@@ -61,7 +62,8 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class _Block:
-    def __init__(self):
+    def __init__(self, gap: int):
+        self.gap = gap
         self.vocabulary: dict[bytes, int] = {}
         self.terms: list[np.ndarray] = []
         self.places: list[np.ndarray] = []
@@ -75,7 +77,7 @@ class _Block:
         self.terms.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
         self.places.append(np.arange(self.end, self.end + len(words), dtype=np.int32))
         self.docs.append((doc_id, text_key, self.end, len(words)))
-        self.end += len(words) + 1
+        self.end += len(words) + self.gap
         self.size += len(text or "")
 
     def row(self, block: int) -> pa.RecordBatch:
@@ -106,22 +108,26 @@ def _one(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number, block = TaskContext.get().partitionId() << 32, _Block()
-    for batch in batches:
-        for doc_id, key, text in zip(*(batch.column(name) for name in ("doc_id", "text_key", "text"))):
-            block.add(doc_id.as_py(), key.as_py(), text.as_py())
-            if block.size >= BLOCK:
-                yield block.row(number)
-                number, block = number + 1, _Block()
-    if block.docs:
-        yield block.row(number)
+def _build(gap: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, block = TaskContext.get().partitionId() << 32, _Block(gap)
+        for batch in batches:
+            for doc_id, key, text in zip(*(batch.column(name) for name in ("doc_id", "text_key", "text"))):
+                block.add(doc_id.as_py(), key.as_py(), text.as_py())
+                if block.size >= BLOCK:
+                    yield block.row(number)
+                    number, block = number + 1, _Block(gap)
+        if block.docs:
+            yield block.row(number)
+
+    return run
 
 
-def build_index(docs: DataFrame) -> DataFrame:
-    """The positional index of (doc_id, text), as a written table with a row for each block."""
+def build_index(docs: DataFrame, slop: int = 0) -> DataFrame:
+    """The positional index of (doc_id, text), as a written table with a row for each block;
+    for searches with at most this ``slop``."""
     wanted = docs.select("doc_id", row_key().alias("text_key"), "text")
-    return stage(wanted.mapInArrow(_build, _INDEX), "postings")
+    return stage(wanted.mapInArrow(_build(2 * slop + 1), _INDEX), "postings")
 
 
 class _Part:
@@ -177,7 +183,7 @@ def _search(part_of, slop: int):
         alive = np.flatnonzero((often[part.windows] > 0).all(axis=1))
         ranked = np.argsort(often[part.windows[alive]], axis=1, kind="stable")
         starts = row["starts"].values.to_numpy(zero_copy_only=False).astype(np.int64)
-        places, sizes, owners, near_at = [], [], [], []
+        places, sizes, owners, near_at, near_owners = [], [], [], [], []
         for window, offsets in zip(alive, ranked):
             size = int(part.lengths[window])
             offsets = offsets[:size]
@@ -196,13 +202,19 @@ def _search(part_of, slop: int):
                 sizes.append(np.full(len(exact), size))
                 owners.append(np.full(len(exact), part.owners[window]))
             if len(exact) < len(begin):
-                near_at.append(np.maximum(begin[off > 0], 0))
+                # By the rarest word's own place: the first one's could lie before the document.
+                near_at.append(begin[off > 0] + offsets[0])
+                near_owners.append(np.full(len(near_at[-1]), part.owners[window]))
         if not places and not near_at:
             return
         none = np.zeros(0, np.int64)
         place, size, owner = (np.concatenate(x) if x else none for x in (places, sizes, owners))
         doc = np.searchsorted(starts, place, side="right") - 1
-        near = np.bincount(np.searchsorted(starts, np.concatenate(near_at), side="right") - 1, minlength=len(starts)) if near_at else np.zeros(len(starts), np.int64)
+        near_place, near_owner = (np.concatenate(x) if x else none for x in (near_at, near_owners))
+        near_doc = np.searchsorted(starts, near_place, side="right") - 1
+        near = np.bincount(near_doc, minlength=len(starts))
+        order = np.argsort(near_doc, kind="stable")
+        near_doc, near_owner = near_doc[order], near_owner[order]
         order = np.argsort(doc, kind="stable")
         doc, place, size, owner = doc[order], place[order], size[order], owner[order]
         out = []
@@ -210,7 +222,9 @@ def _search(part_of, slop: int):
             a, b = np.searchsorted(doc, [d, d + 1])
             names = [part.items[o] for o in np.unique(owner[a:b])]
             runs = _merged(place[a:b] - starts[d], size[a:b])
-            out.append((row["block"].as_py(), int(d), runs, names, int(near[d])))
+            a, b = np.searchsorted(near_doc, [d, d + 1])
+            near_names = [part.items[o] for o in np.unique(near_owner[a:b])]
+            out.append((row["block"].as_py(), int(d), runs, names, int(near[d]), near_names))
         yield from _batches(out)
 
     return run
@@ -234,6 +248,7 @@ _FOUND_ARROW = pa.schema(
         ("runs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
         ("items", pa.list_(pa.string())),
         ("n_near", pa.int64()),
+        ("near_items", pa.list_(pa.string())),
     ]
 )
 
@@ -264,7 +279,7 @@ def _parts(benchmark: DataFrame, search: Search) -> Iterator[_Part]:
 
 def find_phrases(index: DataFrame, benchmark: DataFrame, search: Search = Search()) -> DataFrame:
     """Per document with a finding: block, at (its place in the block), runs (words a to b
-    that windows cover), items (their ids), n_near (windows found only with slop)."""
+    that windows cover), items (their ids), n_near (windows found only with slop), near_items."""
     spark = index.sparkSession
     found = []
     for part in _parts(benchmark, search):
@@ -281,12 +296,14 @@ def find_phrases(index: DataFrame, benchmark: DataFrame, search: Search = Search
         F.flatten(F.collect_list("runs")).alias("runs"),
         F.flatten(F.collect_list("items")).alias("items"),
         F.sum("n_near").alias("n_near"),
+        F.flatten(F.collect_list("near_items")).alias("near_items"),
     )
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, search: Search = Search()) -> DataFrame:
-    """Per document: doc_id, text_key, n_words, n_hit, n_items, items (sorted), n_near."""
-    index = build_index(docs)
+    """Per document: doc_id, text_key, n_words, n_hit, n_items, items (sorted), n_near,
+    near_items (sorted)."""
+    index = build_index(docs, search.slop)
     one = F.explode(F.arrays_zip("doc_ids", "text_keys", "lengths", F.sequence(F.lit(0), F.size("doc_ids") - 1).alias("at")))
     rows = index.select("block", one.alias("d")).select(
         "block", F.col("d.at").alias("at"), F.col("d.doc_ids").alias("doc_id"), "d.text_keys", F.col("d.lengths").cast("long").alias("n_words")
@@ -304,10 +321,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, search: Search = Search
         ),
         lambda state: state["hit"].cast("long"),
     )
-    items = F.array_sort(F.array_distinct(F.coalesce("items", F.array().cast("array<string>"))))
+    items, near_items = (F.array_sort(F.array_distinct(F.coalesce(name, F.array().cast("array<string>")))) for name in ("items", "near_items"))
     return joined.select(
         "doc_id", F.col("text_keys").alias("text_key"), "n_words", hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
-        items.alias("items"), F.coalesce("n_near", F.lit(0)).alias("n_near"),
+        items.alias("items"), F.coalesce("n_near", F.lit(0)).alias("n_near"), near_items.alias("near_items"),
     )
 
 

@@ -75,3 +75,22 @@ def test_proximity_matches(spark):
     items = [(1, "the quick brown fox jumps over the lazy dog near")]
     near = decontaminate.contamination(docs(spark, rows), benchmark(spark, items), decontaminate.Search(slop=2))
     assert [(row["n_hit"] > 0, row["n_near"] > 0) for row in near.orderBy("doc_id").collect()] == [(True, False), (False, True), (False, False)]
+
+
+@pytest.mark.parametrize("slop", [1, 2])
+def test_near_matches_dont_cross_documents(spark, slop):
+    # With slop 1 the gap of one place let c be found one place off, in the next document.
+    rows = [(1, "a b"), (2, "c d e"), (3, "x a b y c d e")]
+    items = [(1, "a b c d e"), (2, "a b y c d e")]
+    found = decontaminate.contamination(docs(spark, rows).coalesce(1), benchmark(spark, items), decontaminate.Search(slop=slop))
+    found = {row["doc_id"]: (row["n_hit"], row["n_near"] > 0, row["near_items"]) for row in found.collect()}
+    assert found == {1: (0, False, []), 2: (0, False, []), 3: (6, True, ["1"])}
+
+
+def test_near_match_at_the_start_is_of_its_own_document(spark):
+    # The rarest word is one place early, so the match would begin before its document.
+    rows = [(1, "b b c c d d"), (2, "rare d"), (3, "b c d")]
+    found = decontaminate.contamination(docs(spark, rows).coalesce(1), benchmark(spark, [(1, "rare b d")]), decontaminate.Search(slop=1))
+    assert {row["doc_id"]: row["n_near"] for row in found.collect()} == {1: 0, 2: 0, 3: 0}
+    found = decontaminate.contamination(docs(spark, rows).coalesce(1), benchmark(spark, [(1, "d rare")]), decontaminate.Search(slop=2))
+    assert {row["doc_id"]: row["n_near"] > 0 for row in found.collect()} == {1: False, 2: True, 3: False}

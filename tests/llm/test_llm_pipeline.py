@@ -82,3 +82,8 @@ def test_near_duplicates_keep_one_row_of_repeated_ones(spark, folder):
     rows = [(None, PROSE * 3)] * 3 + [(7, "two words")] * 2 + [(7, "quite another text")]
     kept = corpus_pipeline.near_duplicates(spark, docs(spark, rows), folder)
     assert result(kept.select("doc_id", "text")) == sorted(set(rows), key=repr)
+
+
+def test_decontamination_drops_items_with_a_word_put_in(spark, folder):
+    rows = [(1, PROSE.replace("it the garden", "it really the garden")), (2, "Nothing of the kind.")]
+    assert result(corpus_pipeline.decontaminated(spark, docs(spark, rows), folder).select("doc_id")) == [(2,)]
