@@ -39,7 +39,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span of personal data becomes a mark such as [EMAIL]; n_chars follows."""
     found, columns = fresh(docs, "_spans"), docs.columns
-    marked = docs.withColumn(found, pii.spans(F.col("text")))
+    marked = docs.withColumn(found, pii.spans(F.col("text"), through=True))
     changed = F.size(found) > 0
     marked = marked.withColumn("text", pii.redacted(F.col("text"), F.col(found)))
     if "n_chars" in columns:

@@ -6,7 +6,8 @@ tel and pan, telephone and card numbers in their usual grouping, for these; iban
 and digits must leave 1 modulo 97; key, the access keys of a cloud; and secret, a hexadecimal
 string that counts only if a word like ``token`` stands just before it. Each span has a score:
 that of its kind, raised if one of the kind's context words stands within ``NEAR`` characters
-before it. Base spans stay whatever their score; added ones need ``least``, and to lie in no
+before it: of the text with ``through``, as the query and the pipeline have it, else only of
+what follows the kind's last match. Base spans stay whatever their score; added ones need ``least``, and to lie in no
 base span.
 
 Spark's own functions only. A pattern's matches and the pieces between them give the places:
@@ -101,7 +102,7 @@ KINDS = (
 )
 
 
-def _matches(text: Column, kind: Kind, order: int) -> Column:
+def _matches(text: Column, kind: Kind, order: int, through: bool) -> Column:
     """The confirmed spans of a kind: start, order, end, kind, score, base."""
     values = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     pieces = F.split(text, kind.pattern, -1)
@@ -109,26 +110,30 @@ def _matches(text: Column, kind: Kind, order: int) -> Column:
     def further(state: Column, pair: Column) -> Column:
         start = state["end"] + F.char_length(pair["piece"])
         end = start + F.char_length(pair["value"])
-        before = F.lower(F.substring(pair["piece"], -NEAR, NEAR))
+        last = F.concat(state["last"], pair["piece"]) if through else pair["piece"]
+        before = F.lower(F.substring(last, -NEAR, NEAR))
         score = F.lit(kind.score) + F.when(before.rlike(kind.context), F.lit(RAISE)).otherwise(F.lit(0.0))
         one = F.struct(
             start.alias("start"), F.lit(order).alias("order"), end.alias("end"),
             F.lit(kind.name).alias("kind"), score.alias("score"), F.lit(kind.base).alias("base"),
         )
         some = F.when(kind.confirms(pair["value"]), F.array(one)).otherwise(nothing)
-        return F.struct(end.alias("end"), F.concat(state["spans"], some).alias("spans"))
+        more = [F.substring(F.concat(last, pair["value"]), -NEAR, NEAR).alias("last")] if through else []
+        return F.struct(end.alias("end"), F.concat(state["spans"], some).alias("spans"), *more)
 
     nothing = F.array().cast("array<struct<start:int,order:int,end:int,kind:string,score:double,base:boolean>>")
     pairs = F.transform(values, lambda value, at: F.struct(F.get(pieces, at).alias("piece"), value.alias("value")))
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("end"), nothing.alias("spans")), further, lambda state: state["spans"])
+    begin = F.struct(F.lit(0).alias("end"), nothing.alias("spans"), *([F.lit("").alias("last")] if through else []))
+    found = F.aggregate(pairs, begin, further, lambda state: state["spans"])
     possible = text.contains(kind.sign) if kind.sign else text.rlike(kind.pattern)
     return F.when(possible, found).otherwise(nothing)
 
 
-def spans(text: Column, least: float = 0.5) -> Column:
-    """All spans of a text, by start and then in the order of ``KINDS``."""
+def spans(text: Column, least: float = 0.5, through: bool = False) -> Column:
+    """All spans of a text, by start and then in the order of ``KINDS``. ``through``: context is
+    looked for through the kind's earlier matches, confirmed or not."""
     text = F.coalesce(text, F.lit(""))
-    found = [(kind, _matches(text, kind, order)) for order, kind in enumerate(KINDS)]
+    found = [(kind, _matches(text, kind, order, through)) for order, kind in enumerate(KINDS)]
     base = F.concat(*(matches for kind, matches in found if kind.base))
     added = F.concat(*(matches for kind, matches in found if not kind.base))
 

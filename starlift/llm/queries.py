@@ -37,7 +37,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's personal data: counts and places of the base kinds, and all spans."""
-    found = table(spark, sf_dir, "documents").select("doc_id", pii.spans(F.col("text")).alias("found"))
+    found = table(spark, sf_dir, "documents").select("doc_id", pii.spans(F.col("text"), through=True).alias("found"))
     kinds = [kind.name for kind in pii.KINDS if kind.base]
     counts = [pii.count_of(F.col("found"), kind).alias(f"n_{kind}") for kind in kinds]
     base = F.sha2(pii.listed(pii.base_only(F.col("found"))), 256).alias("base_sha256")

@@ -111,3 +111,12 @@ def test_redaction_leaves_nothing_to_find(spark):
                 out += text[end : span["start"]] + f"[{span['kind'].upper()}]"
             end = max(end, span["end"])
         assert after == out + text[end:]
+
+
+def test_context_holds_for_every_secret_within_reach(spark, tmp_path):
+    a, b = "24be64439e3e49cf", "b7db7aa4a5fcc783"
+    rows = [(1, f"tokens: {a}, {b}"), (2, f"password={a} {b}"), (3, f"password={a} {'x ' * 20}{b}"), (4, f"{a} {b}"), (5, f"日本 token {a} {b}, {a}")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    listed = dict(result(queries.op5_pii(spark, str(tmp_path)).select("doc_id", "spans")))
+    assert listed[1] == "secret:8:24,secret:26:42" and listed[2] == "secret:9:25,secret:26:42"
+    assert listed[3] == "secret:9:25" and listed[4] == "" and listed[5] == "secret:9:25,secret:26:42"

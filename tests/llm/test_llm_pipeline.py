@@ -87,3 +87,8 @@ def test_near_duplicates_keep_one_row_of_repeated_ones(spark, folder):
 def test_decontamination_drops_items_with_a_word_put_in(spark, folder):
     rows = [(1, PROSE.replace("it the garden", "it really the garden")), (2, "Nothing of the kind.")]
     assert result(corpus_pipeline.decontaminated(spark, docs(spark, rows), folder).select("doc_id")) == [(2,)]
+
+
+def test_every_secret_after_a_context_word_is_marked(spark, folder):
+    rows = [(1, "tokens: 24be64439e3e49cf, b7db7aa4a5fcc783")]
+    assert result(corpus_pipeline.without_personal_data(spark, docs(spark, rows), folder).select("text")) == [("tokens: [SECRET], [SECRET]",)]
