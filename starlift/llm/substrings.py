@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlift.llm.common import stage
+from starlift.llm.common import row_key, stage
 from starlift.llm.suffixes import common_prefixes, suffix_array
 
 #: Bytes of a gram, of a shard, and of a group that may go into one shard.
@@ -97,7 +97,7 @@ def segments(data: bytes, length: int, hashes: _Hashes) -> Iterator[tuple[np.nda
         yield value[begins].view(np.int64), begins + start, ends - begins + length - 1, place[begins] != place[ends - 1]
 
 
-_SEGMENTS = "mh long, sh long, start int, size int, inner boolean, doc_id long, text_key int"
+_SEGMENTS = "mh long, sh long, start int, size int, inner boolean, doc_id long, text_key long"
 
 
 def _cut(length: int):
@@ -249,7 +249,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_substrings(docs: DataFrame, length: int = 200) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (the bytes
     that stay)."""
-    doc_id, text_key = F.col("doc_id").cast("long").alias("doc_id"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("text_key")
+    doc_id, text_key = F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("text_key")
     texts = docs.select(doc_id, text_key, "text")
     cut = texts.mapInArrow(_cut(length), _SEGMENTS)
     stats = cut.groupBy("mh").agg(F.count("*").alias("n"), F.min("sh").alias("least"), F.max("sh").alias("most"), F.max("inner").alias("inner"))
@@ -266,7 +266,7 @@ def without_substrings(docs: DataFrame, length: int = 200) -> DataFrame:
         F.struct("mh", "sh", F.col("place.start").alias("start"), "size", F.coalesce("crowded", F.lit(False)).alias("crowded")).alias("one"),
     )
     wanted = wanted.groupBy("at_doc", "at_key").agg(F.collect_list("one").alias("wanted"))
-    packed = texts.mapInArrow(_packed, "doc_id long, text_key int, packed binary")
+    packed = texts.mapInArrow(_packed, "doc_id long, text_key long, packed binary")
     asked = packed.join(wanted, packed["doc_id"].eqNullSafe(wanted["at_doc"]) & (packed["text_key"] == wanted["at_key"]))
     # Rows that repeat give the same bytes twice; one is enough.
     octets = asked.select("packed", "wanted").mapInArrow(_sliced, "mh long, sh long, crowded boolean, octets binary")

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from cases import TEXTS, changed, docs, result, sample
 
 from starlift.llm import queries, substrings
@@ -67,3 +68,12 @@ def test_suffix_arrays_and_common_prefixes():
                 for a, b in zip(want, want[1:]):
                     same = next(k for k in range(len(text)) if text[a + k : a + k + 1] != text[b + k : b + k + 1])
                     assert shared[b] == min(10, same)
+
+
+def test_texts_whose_digests_share_a_half_stay_apart(spark):
+    shared, tail = "one passage " * 25, "z" * 150
+    halves = {xxhash.xxh64_intdigest(f"{k} {shared}", 42) >> 32: k for k in range(150_000)}
+    plain = next(k for k in range(150_000) if xxhash.xxh64_intdigest(f"{k} {tail}", 42) >> 32 in halves)
+    copy = halves[xxhash.xxh64_intdigest(f"{plain} {tail}", 42) >> 32]
+    rows = [(None, f"{copy} {shared}"), (None, f"{plain} {tail}"), (1, f"Other {shared}")]
+    assert as_rows(substrings.without_substrings(docs(spark, rows), 200)) == brute(rows, 200)
