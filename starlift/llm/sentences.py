@@ -1,7 +1,9 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences, and a sentence of more than ``longest`` words after every so
-many; so a passage of over 50 words has four units or more whatever its punctuation. Every run of ``run`` consecutive units is hashed (128 bits of its words, white
+many. A passage of over 50 words that begins and ends with a unit has four units or more. One that
+begins or ends inside a sentence can be missed: the cuts are counted from the sentence's start,
+so without punctuation no unit need be equal, however long it is. Every run of ``run`` consecutive units is hashed (128 bits of its words, white
 space evened out) and all runs are joined globally. Of equal runs the first stays, in order
 of doc_id and place; the units that any other one covers are removed from its document.
 
