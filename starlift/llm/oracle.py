@@ -140,10 +140,71 @@ def _sentences() -> str:
     FROM docs d LEFT JOIN texts t USING (row) LEFT JOIN gone USING (row)"""
 
 
+def _manifest() -> str:
+    def field(name: str) -> str:
+        return f"coalesce(strlen({name}::VARCHAR) || ':' || {name}::VARCHAR, '-')"
+
+    def leaf(length: str) -> str:
+        return f"sha256({' || '.join(field(name) for name in ('doc_id', 'source', 'lang', length, 'text'))})"
+
+    one_bit = "lambda c, _: xor(c >> 1, 3988292384 * (c & 1))"  # the polynomial of CRC-32, low bit first
+    one_byte = f"lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], {one_bit})"
+    octets = "list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)"
+    crc32 = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), {one_byte}), 4294967295)"
+
+    def levels(name: str, start: str) -> str:
+        pairs = "list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))"
+        return f"""{name} AS (
+            SELECT tree, 0 AS level, nodes FROM ({start})
+            UNION ALL SELECT tree, level + 1, {pairs} FROM {name} WHERE len(nodes) > 1
+        )"""
+
+    def path(rows: str, name: str) -> str:
+        """The siblings of each leaf of a tree, from the lowest level on."""
+        sibling = "coalesce(nodes[xor(place >> level, 1) + 1], '')"
+        left = "(place >> level) & 1 = 1"
+        step = f"{{'left': CASE WHEN {left} THEN {sibling} ELSE '' END, 'right': CASE WHEN {left} THEN '' ELSE {sibling} END}}"
+        return f"SELECT tree, place, list({step} ORDER BY level) AS path FROM {rows} JOIN {name} USING (tree) WHERE len(nodes) > 1 GROUP BY tree, place"
+
+    return f"""
+    WITH RECURSIVE leaves AS MATERIALIZED (
+        SELECT doc_id, lang, {leaf("n_chars")} AS leaf,
+            CASE WHEN {crc32} % 7 = 0 THEN {leaf("(n_chars::HUGEINT + 1)")} ELSE {leaf("n_chars")} END AS later
+        FROM documents
+    ),
+    placed AS MATERIALIZED (
+        SELECT *, dense_rank() OVER (ORDER BY lang IS NOT NULL, encode(lang)) - 1 AS tree,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf) - 1 AS place
+        FROM leaves
+    ),
+    {levels("trees", "SELECT tree, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY tree")},
+    subroots AS MATERIALIZED (SELECT tree AS place, 0 AS tree, nodes[1] AS subroot FROM trees WHERE len(nodes) = 1),
+    {levels("crown", "SELECT 0 AS tree, list(subroot ORDER BY place) AS nodes FROM subroots HAVING count(*) > 0")},
+    low AS MATERIALIZED ({path("placed", "trees")}),
+    high AS MATERIALIZED ({path("subroots", "crown")}),
+    proofs AS MATERIALIZED (
+        SELECT p.*, subroot, list_concat(coalesce(low.path, []), coalesce(high.path, [])) AS path
+        FROM placed p JOIN subroots s ON s.place = p.tree
+        LEFT JOIN low ON low.tree = p.tree AND low.place = p.place LEFT JOIN high ON high.place = p.tree
+    ),
+    folds AS (
+        SELECT tree, place, 1 AS level, path, later AS digest FROM proofs
+        UNION ALL SELECT tree, place, level + 1, path, sha256(path[level]['left'] || digest || path[level]['right'])
+        FROM folds WHERE level <= len(path)
+    ),
+    ends AS (SELECT tree, place, digest FROM folds WHERE level = len(path) + 1),
+    root AS (SELECT nodes[1] AS root FROM crown WHERE len(nodes) = 1)
+    SELECT doc_id, leaf, subroot, root,
+        sha256(array_to_string(list_transform(path, lambda s: s['left'] || s['right']), '')) AS proof_sha256,
+        digest AS folded_root, digest = root AS verified
+    FROM proofs JOIN ends USING (tree, place), root"""
+
+
 def oracle() -> dict[str, str]:
     return {
         "op2_warc": _warc(),
         "op3_url_filter": _url_filter(),
         "op9_decontaminate": _decontaminate(),
         "op10_sentences": _sentences(),
+        "op13_manifest": _manifest(),
     }

@@ -1,0 +1,107 @@
+import hashlib
+import zlib
+
+import pytest
+from cases import TEXTS, changed, docs, result
+from compare import compare
+
+from starlift.llm import manifest, oracle, queries
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row):
+    return h(*("-" if value is None else f"{len(str(value).encode())}:{value}" for value in row))
+
+
+def tree(digests, fanout):
+    """The root, and for each leaf its (before, after) level by level."""
+    paths, nodes = [[] for _ in digests], [(digest, [at]) for at, digest in enumerate(digests)]
+    while len(nodes) > 1:
+        above = []
+        for start in range(0, len(nodes), fanout):
+            run = nodes[start : start + fanout]
+            for at, (_, leaves) in enumerate(run):
+                step = ("".join(d for d, _ in run[:at]), "".join(d for d, _ in run[at + 1 :]))
+                for place in leaves:
+                    paths[place].append(step)
+            above.append((h(*(d for d, _ in run)), [place for _, leaves in run for place in leaves]))
+        nodes = above
+    return nodes[0][0], paths
+
+
+def brute(rows, fanout=2):
+    """``rows``: (doc_id, source, lang, n_chars, text)."""
+    langs = sorted({row[2] for row in rows}, key=lambda lang: (lang is not None, (lang or "").encode()))
+    groups = []
+    for lang in langs:
+        own = [(row[0] is None, row[0] or 0, leaf(row), row) for row in rows if row[2] == lang]
+        groups.append([(digest, row) for _, _, digest, row in sorted(own, key=lambda x: x[:3])])
+    trees = [tree([digest for digest, _ in group], fanout) for group in groups]
+    if not trees:
+        return []
+    root, above = tree([subroot for subroot, _ in trees], fanout)
+    found = []
+    for group, (subroot, paths), rest in zip(groups, trees, above):
+        for (digest, row), path in zip(group, paths):
+            path = path + rest
+            again = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 7 == 0 and row[3] is not None
+            end = leaf((*row[:3], row[3] + 1, row[4])) if again else digest
+            for before, after in path:
+                end = h(before, end, after)
+            proof = h(*(before + after for before, after in path))
+            found.append((row[0], digest, subroot, root, proof, end, end == root))
+    return sorted(found, key=repr)
+
+
+def tables(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+
+
+def found(frame, fanout=2):
+    rows = manifest.verified(frame, fanout)
+    return result(rows.select("doc_id", "leaf", "subroot", "root", manifest.proof_digest(rows["proof"]), "folded_root", "verified"))
+
+
+AWKWARD = [(k % 40 if k % 11 else None, None if k % 5 == 0 else f"s{k % 3}", (None, "", "de", "é", "日", "en")[min(k % 9, 5)], None if k % 13 == 0 else k, "ü" * (k % 4)) for k in range(150)]
+
+
+@pytest.mark.parametrize("fanout, block", [(2, 1024), (2, 4), (3, 4), (5, 30), (7, 2)])
+def test_equals_brute_force(spark, fanout, block):
+    rows = AWKWARD + AWKWARD[:9] + [(10**18, "s", "only", 2**63 - 1, None), (None, None, "lone", None, "")]
+    with changed(manifest, BLOCK=block):
+        assert found(tables(spark, rows), fanout) == brute(rows, fanout)
+
+
+def test_awkward_rows_and_clashing_columns(spark):
+    frame = docs(spark)
+    rows = [tuple(row) for row in frame.select("doc_id", "source", "lang", "n_chars", "text").collect()]
+    assert len(rows) == len(TEXTS) and found(frame) == brute(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "s", "en", 1, "x")], [(1, "s", None, None, None), (2, "s", "", 0, "")]])
+def test_few_rows(spark, rows):
+    assert found(tables(spark, rows)) == brute(rows)
+
+
+def test_a_long_text(spark):
+    rows = [(k, "s", "en", 2_000_000, "wörd " * 400_000) for k in range(3)]
+    assert found(tables(spark, rows)) == brute(rows)
+
+
+def test_the_leaves_move_once(spark):
+    """One block holds all levels of its leaves: the plan of a climb has one shuffle."""
+    rows = spark.range(5000).selectExpr("id % 2 tree", "id div 2 place", "2500L size", "sha2(string(id), 256) digest")
+    with changed(manifest, stage=lambda frame, name: frame):
+        plan = manifest.climb(rows, 2, 1000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Window [") == 10
+
+
+def test_query_equals_brute_force_and_sql(spark, sf_dir, tables):
+    frame = queries.op13_manifest(spark, sf_dir)
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "lang", "n_chars", "text").collect()
+    names = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+    assert result(frame.select(*names)) == brute([tuple(row) for row in rows])
+    assert compare(frame, tables, oracle.oracle()["op13_manifest"]) is None
