@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from starlift.llm.sentences import SENTENCE, WORD, Spans
 from starlift.llm.url_filter import RULES, STRONGEST, WEAKEST, Filter
+from starlift.llm.vector_codes import Quantizer
 
 _SPACE_CLASS = r"[ \t\n\x0b\f\r]"
 
@@ -140,6 +141,53 @@ def _sentences() -> str:
     FROM docs d LEFT JOIN texts t USING (row) LEFT JOIN gone USING (row)"""
 
 
+def _vector_codes() -> str:
+    bad = "x IS NULL OR NOT isfinite(x)"
+    apart = "list_sum(list_transform(list_zip(p.x, c.x), lambda q: (q[1] - q[2]) * (q[1] - q[2])))::BIGINT"
+    floored = "((s - ((s % n) + n) % n) // n)"  # of whole numbers, down also where s is negative
+    rounds = []
+    for k in range(Quantizer.rounds + 1):
+        rounds.append(f"""a{k} AS MATERIALIZED (
+            SELECT p.row, p.part, min({apart} * {Quantizer.entries} + entry) AS found
+            FROM parts p JOIN c{k} c ON p.part = c.part GROUP BY p.row, p.part
+        )""")
+        if k < Quantizer.rounds:
+            rounds.append(f"""c{k + 1} AS MATERIALIZED (
+                SELECT c.part, c.entry, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN (
+                    SELECT part, entry, list({floored} ORDER BY axis) AS x FROM (
+                        SELECT part, found % {Quantizer.entries} AS entry, axis, sum(x[axis])::BIGINT AS s, count(*) AS n
+                        FROM a{k} JOIN parts USING (row, part), (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS axis)
+                        GROUP BY ALL
+                    ) GROUP BY part, entry
+                ) m ON c.part = m.part AND c.entry = m.entry
+            )""")
+    last = Quantizer.rounds
+    return f"""
+    WITH finite AS MATERIALIZED (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor({Quantizer.scale} * x::DOUBLE)::BIGINT) AS v,
+            row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: {bad})) = 0
+    ),
+    kept AS MATERIALIZED (SELECT * FROM finite WHERE len(v) = (SELECT len(v) FROM finite WHERE row = 1)),
+    parts AS MATERIALIZED (
+        SELECT row, part, v[part * len(v) // {Quantizer.parts} + 1 : (part + 1) * len(v) // {Quantizer.parts}] AS x
+        FROM kept, (SELECT unnest(range({Quantizer.parts})) AS part)
+    ),
+    c0 AS MATERIALIZED (
+        SELECT part, dense_rank() OVER (ORDER BY row) - 1 AS entry, x FROM parts
+        WHERE row IN (SELECT row FROM kept ORDER BY row LIMIT {Quantizer.entries})
+    ),
+    {", ".join(rounds)},
+    coded AS MATERIALIZED (
+        SELECT row, string_agg(printf('%02x', found % {Quantizer.entries}), '' ORDER BY part) AS code,
+            sum(found // {Quantizer.entries})::BIGINT AS error
+        FROM a{last} GROUP BY row
+    )
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+        (SELECT sha256(coalesce(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry), '')) FROM c{last}) AS codebooks_sha256
+    FROM kept JOIN coded USING (row)"""
+
+
 def _manifest() -> str:
     def field(name: str) -> str:
         return f"coalesce(strlen({name}::VARCHAR) || ':' || {name}::VARCHAR, '-')"
@@ -206,5 +254,6 @@ def oracle() -> dict[str, str]:
         "op3_url_filter": _url_filter(),
         "op9_decontaminate": _decontaminate(),
         "op10_sentences": _sentences(),
+        "op11_vector_codes": _vector_codes(),
         "op13_manifest": _manifest(),
     }

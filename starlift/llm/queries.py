@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlift.llm import decontaminate, fingerprints, manifest, mixing, pii, quality, sentences, simhash, substrings, url_filter, warc
+from starlift.llm import decontaminate, fingerprints, manifest, mixing, pii, quality, sentences, simhash, substrings, url_filter, vector_codes, warc
 from starlift.llm.common import stage, table
 
 
@@ -78,6 +78,13 @@ def op10_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_sentences", "n_removed", F.col("kept").alias("text"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector's code and error, the error of its label, and the codebooks' digest."""
+    found, books = vector_codes.compress(table(spark, sf_dir, "embeddings"), keep=("label",))
+    found = vector_codes.with_total(stage(found, "codes"), "label", "label_error")
+    return found.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.codebooks_digest(books)).alias("codebooks_sha256"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the Merkle tree, and whether it still leads to the root."""
     found = manifest.verified(table(spark, sf_dir, "documents"))
@@ -85,5 +92,5 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict:
-    found = (op1_quality, op2_warc, op3_url_filter, op4_fingerprints, op5_pii, op6_substrings, op7_mixing, op8_simhash, op9_decontaminate, op10_sentences, op13_manifest)
+    found = (op1_quality, op2_warc, op3_url_filter, op4_fingerprints, op5_pii, op6_substrings, op7_mixing, op8_simhash, op9_decontaminate, op10_sentences, op11_vector_codes, op13_manifest)
     return {query.__name__: query for query in found}
