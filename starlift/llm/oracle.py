@@ -188,6 +188,24 @@ def _vector_codes() -> str:
     FROM kept JOIN coded USING (row)"""
 
 
+def _neighbours() -> str:
+    bad = "x IS NULL OR NOT isfinite(x)"
+    return f"""
+    WITH usable AS (
+        SELECT vec_id, embedding::DOUBLE[] AS x, row_number() OVER () AS row FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: {bad})) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    kept AS MATERIALIZED (
+        SELECT * FROM usable WHERE len(x) = (SELECT len(x) FROM usable GROUP BY len(x) ORDER BY count(*) DESC, len(x) LIMIT 1)
+    ),
+    ranked AS (
+        SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.x, v.x) AS score,
+            row_number() OVER (PARTITION BY q.row ORDER BY list_dot_product(q.x, v.x) DESC, v.vec_id NULLS LAST)::INTEGER AS rank
+        FROM kept q JOIN kept v ON q.vec_id % 20 = 0 AND q.row <> v.row
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
 def _manifest() -> str:
     def field(name: str) -> str:
         return f"coalesce(strlen({name}::VARCHAR) || ':' || {name}::VARCHAR, '-')"
@@ -255,5 +273,6 @@ def oracle() -> dict[str, str]:
         "op9_decontaminate": _decontaminate(),
         "op10_sentences": _sentences(),
         "op11_vector_codes": _vector_codes(),
+        "op12_neighbours": _neighbours(),
         "op13_manifest": _manifest(),
     }

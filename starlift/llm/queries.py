@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlift.llm import decontaminate, fingerprints, manifest, mixing, pii, quality, sentences, simhash, substrings, url_filter, vector_codes, warc
+from starlift.llm import decontaminate, fingerprints, manifest, mixing, neighbours, pii, quality, sentences, simhash, substrings, url_filter, vector_codes, warc
 from starlift.llm.common import stage, table
 
 
@@ -85,6 +85,12 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.codebooks_digest(books)).alias("codebooks_sha256"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id 20 divides, found exactly (factor one)."""
+    index = neighbours.build(table(spark, sf_dir, "embeddings"))
+    return neighbours.search(index, F.col("id") % 20 == 0, k=20, factor=1.0)
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the Merkle tree, and whether it still leads to the root."""
     found = manifest.verified(table(spark, sf_dir, "documents"))
@@ -92,5 +98,8 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict:
-    found = (op1_quality, op2_warc, op3_url_filter, op4_fingerprints, op5_pii, op6_substrings, op7_mixing, op8_simhash, op9_decontaminate, op10_sentences, op11_vector_codes, op13_manifest)
+    found = (
+        op1_quality, op2_warc, op3_url_filter, op4_fingerprints, op5_pii, op6_substrings, op7_mixing, op8_simhash,
+        op9_decontaminate, op10_sentences, op11_vector_codes, op12_neighbours, op13_manifest,
+    )
     return {query.__name__: query for query in found}
