@@ -8,12 +8,23 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starlift.config import LakeConfig
 from starlift.functions.expressions import moment, month_of
 from starlift.operators.staging import discard, new_folder, stage
+from starlift.sources.loads import (
+    APPENDS,
+    COLUMN,
+    NULL_VALUE,
+    REPLACES_PARTITIONS,
+    REPLACES_TABLE,
+    LoadFolders,
+    base,
+    shown,
+)
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -46,6 +57,8 @@ class Lake:
     def __init__(self, spark: SparkSession, config: LakeConfig):
         self.spark = spark
         self.config = config
+        self._folders: dict[tuple[str, str], LoadFolders] = {}
+        self._seen: dict[tuple[str, str], frozenset[tuple[int, str]]] = {}
 
     def create_databases(self) -> None:
         for layer in LAYERS:
@@ -56,52 +69,111 @@ class Lake:
     def name(self, layer: str, table: str) -> str:
         return f"{self.config.database(layer)}.{table}"
 
-    def place(self, layer: str, table: str) -> str | None:
-        """The table's folder; None where the session's warehouse decides."""
-        return f"{self.config.root.rstrip('/')}/{layer}/{table}" if self.config.root else None
+    def place(self, layer: str, table: str) -> str:
+        """The table's folder, in the session's warehouse where the lake has no root."""
+        if self.config.root:
+            return f"{self.config.root.rstrip('/')}/{layer}/{table}"
+        database = self.spark.catalog.getDatabase(self.config.database(layer))
+        return f"{database.locationUri.rstrip('/')}/{table}"
+
+    @property
+    def _by_load(self) -> bool:
+        """Whether writes are load folders; other formats keep their own account of them."""
+        return self.config.table_format in ("parquet", "orc")
+
+    def _loads(self, layer: str, table: str) -> LoadFolders:
+        if (layer, table) not in self._folders:
+            self._folders[(layer, table)] = LoadFolders(self.spark, self.place(layer, table))
+        return self._folders[(layer, table)]
 
     def exists(self, layer: str, table: str) -> bool:
         """Whether the table is there: in the catalog, or in its folder, where an earlier
         process left it. Any failure is raised, not read as 'no'."""
-        if self.spark.catalog.tableExists(self.name(layer, table)):
+        if self._by_load and self._place_known(layer) and self._shows(layer, table):
             return True
-        place = self.place(layer, table)
-        return place is not None and self._register(layer, table, place)
-
-    def _register(self, layer: str, table: str, place: str) -> bool:
-        """Put the finished table of a folder into the catalog; False if there is none."""
-        path, files = self._folder(place)
-        if not files.exists(path):
-            return False
-        names = [status.getPath().getName() for status in files.listStatus(path)]
-        if not [name for name in names if not name.startswith(("_", "."))]:
-            return False  # a write that broke off, or that had no rows
-        hadoop = self.config.table_format in ("parquet", "orc")
-        partition = DATED.get((layer, table), (None, None))[1] if hadoop else None
-        # Folders of partitions only get their names when the write is finished.
-        if hadoop and "_SUCCESS" not in names and partition is None:
-            raise RuntimeError(f"{place} holds files, but no write of a table was finished there")
-        self.create_databases()
-        stored = self.spark.read.format(self.config.table_format).load(place).schema
-        columns = [f"`{field.name}` {field.dataType.simpleString()}" for field in stored if field.name != partition]
-        layout = f"({', '.join(columns)})" if hadoop else ""
-        options = ""
-        if partition:
-            layout = f"({', '.join([*columns, f'`{partition}` {PARTITION_TYPES[partition]}'])})"
-            options = f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (`{partition}`)"
-        name = self.name(layer, table)
-        self.spark.sql(f"CREATE TABLE {name} {layout} USING {self.config.table_format} {options} LOCATION '{place}'")
-        if partition:
-            self.spark.catalog.recoverPartitions(name)
+        return self.spark.catalog.tableExists(self.name(layer, table))
+
+    def _place_known(self, layer: str) -> bool:
+        return bool(self.config.root) or self.spark.catalog.databaseExists(self.config.database(layer))
+
+    def _shows(self, layer: str, table: str, schema: T.StructType | None = None) -> bool:
+        """Make the catalog show the loads that have ended, no others; False if there are none.
+
+        One listing of the folder tells whether anything has changed since the last look.
+        ``schema`` is that of a load that has just ended; else it is read from the files.
+        """
+        loads = self._loads(layer, table).ended()
+        name, pairs = self.name(layer, table), frozenset(shown(loads))
+        if not loads or (not pairs and schema is None and not self.spark.catalog.tableExists(name)):
+            return False  # a write that had no rows
+        there = self.spark.catalog.tableExists(name)
+        if there and schema is None and self._seen.get((layer, table)) == pairs:
+            return True
+        if not there or (schema is not None and self._columns(layer, table) != self._stored(schema, layer, table)):
+            if schema is None:
+                number, value = max(pairs)
+                files = self._loads(layer, table).folder(number)
+                reader = self.spark.read.format(self.config.table_format).option("basePath", files)
+                schema = reader.load(f"{files}/{value}" if value else files).schema
+            self._create(layer, table, schema)
+        listed = self._listed(name)
+        self._alter(layer, table, "ADD IF NOT EXISTS", pairs - listed)
+        self._alter(layer, table, "DROP IF EXISTS", listed - pairs)
+        self._seen[(layer, table)] = pairs
         return True
 
-    def _folder(self, place: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _stored(self, schema: T.StructType, layer: str, table: str) -> dict[str, str]:
+        """The columns that files hold, and their types."""
+        partition = DATED.get((layer, table), (None, None))[1]
+        return {field.name: field.dataType.simpleString() for field in schema if field.name not in (partition, COLUMN)}
+
+    def _columns(self, layer: str, table: str) -> dict[str, str]:
+        return self._stored(self.spark.table(self.name(layer, table)).schema, layer, table)
+
+    def _create(self, layer: str, table: str, schema: T.StructType) -> None:
+        """The table without partitions, in place of one of other columns."""
+        self.create_databases()
+        name, partition = self.name(layer, table), DATED.get((layer, table), (None, None))[1]
+        columns = [f"`{column}` {kind}" for column, kind in self._stored(schema, layer, table).items()]
+        columns.append(f"`{COLUMN}` int")
+        by = f"`{COLUMN}`"
+        if partition:
+            columns.append(f"`{partition}` {PARTITION_TYPES[partition]}")
+            by += f", `{partition}`"
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files stay: the table is an external one
+        self.spark.sql(
+            f"CREATE TABLE {name} ({', '.join(columns)}) USING {self.config.table_format} "
+            f"PARTITIONED BY ({by}) LOCATION '{self.place(layer, table)}'"
+        )
+
+    def _listed(self, name: str) -> frozenset[tuple[int, str]]:
+        """The partitions in the catalog, as (load, partition folder)."""
+        found = [row["partition"].partition("/") for row in self.spark.sql(f"SHOW PARTITIONS {name}").collect()]
+        return frozenset((int(load.partition("=")[2]), value) for load, _, value in found)
+
+    def _alter(self, layer: str, table: str, change: str, pairs: frozenset[tuple[int, str]]) -> None:
+        ordered, most = sorted(pairs), 500
+        for start in range(0, len(ordered), most):
+            specs = [f"PARTITION ({self._spec(*pair)})" for pair in ordered[start : start + most]]
+            joined = (" " if change.startswith("ADD") else ", ").join(specs)
+            self.spark.sql(f"ALTER TABLE {self.name(layer, table)} {change} {joined}")
+
+    @staticmethod
+    def _spec(number: int, folder: str) -> str:
+        if not folder:
+            return f"{COLUMN}={number}"
+        column, _, value = folder.partition("=")
+        return f"{COLUMN}={number}, `{column}`=" + ("null" if value == NULL_VALUE else f"'{value}'")
 
     def _table(self, layer: str, table: str) -> DataFrame:
         self.exists(layer, table)  # registers it; reading a missing one raises below
-        return self.spark.table(self.name(layer, table))
+        rows = self.spark.table(self.name(layer, table))
+        if COLUMN not in rows.columns:
+            return rows
+        # The condition makes the planner list the files, so that it knows the table's size,
+        # and hides what an overwrite is about to take out of the catalog.
+        start = base(self._loads(layer, table).ended())
+        return rows.filter(F.col(COLUMN) >= start)
 
     def read(self, layer: str, table: str, above: date | None = None) -> DataFrame:
         """The table's own columns; with ``above`` only rows dated after that day.
@@ -117,7 +189,7 @@ class Lake:
                 rows = rows.filter(F.col(partition) >= above.year * 100 + above.month)
         if (layer, table) in COLUMN_ORDER:
             return rows.select(*COLUMN_ORDER[(layer, table)])
-        return rows if partition in (None, column) else rows.drop(partition)
+        return rows.drop(COLUMN) if partition in (None, column) else rows.drop(COLUMN, partition)
 
     def partition_values(self, layer: str, table: str) -> DataFrame:
         """The values of the partition column, NULL left out: from the catalog where it
@@ -127,8 +199,8 @@ class Lake:
         if self.config.table_format not in ("parquet", "orc"):
             return stored.distinct().dropna()
         listed = self.spark.sql(f"SHOW PARTITIONS {self.name(layer, table)}")
-        value = F.split_part(F.col("partition"), F.lit("="), F.lit(2))
-        return listed.select(value.try_cast(stored.schema[0].dataType).alias(partition)).dropna()
+        value = F.regexp_extract("partition", f"(?:^|/){partition}=([^/]*)$", 1)
+        return listed.select(value.try_cast(stored.schema[0].dataType).alias(partition)).distinct().dropna()
 
     def watermark(self, layer: str, table: str) -> date | None:
         """The latest day stored in a dated table; None when it holds no dated row, which
@@ -147,52 +219,70 @@ class Lake:
         return self._table(layer, table).isEmpty()
 
     def append(self, rows: DataFrame, layer: str, table: str) -> None:
-        """Add rows, creating the table when it is missing."""
-        writer = self._laid_out(rows, layer, table).write.format(self.config.table_format).mode("append")
-        partition = DATED.get((layer, table), (None, None))[1]
-        if partition:
-            # Kept with the table: a later insert that overwrites touches only its own partitions.
-            writer = writer.partitionBy(partition).option("partitionOverwriteMode", "dynamic")
-        place = self.place(layer, table)
-        if place:
-            writer = writer.option("path", place)
-        writer.saveAsTable(self.name(layer, table))
-
-    def append_new(self, rows: DataFrame, layer: str, table: str) -> None:
-        """Add an increment: no file if it has no rows, few files if it has few.
-
-        It is staged first, gathered into full partitions, so that neither the look
-        for a first row nor the order of the files runs the comparison a second time.
-        """
+        """Add rows, creating the table when it is missing. They show when all are written."""
+        self._write(rows, layer, table, APPENDS)
+
+    def append_new(self, rows: DataFrame, layer: str, table: str) -> int:
+        """Add an increment and tell its number of rows: no load if it has none, few files if
+        it has few. The rows are counted while they are written."""
+        if (layer, table) not in ORDERED:
+            return self._write(rows.hint("rebalance"), layer, table, APPENDS, unless_empty=True)
+        # Dealing by ranges looks at the rows twice, so they are written aside before.
         folder = new_folder(self.spark, f"new-{table}")
         try:
-            staged = stage(rows.hint("rebalance"), table, folder)
-            if staged.isEmpty():
-                return
-            if (layer, table) in ORDERED:
-                column = ORDERED[(layer, table)]
-                staged = staged.repartitionByRange(column).sortWithinPartitions(column)
-            self.append(staged, layer, table)
+            column = ORDERED[(layer, table)]
+            staged = stage(rows.hint("rebalance"), table, folder).repartitionByRange(column).sortWithinPartitions(column)
+            return self._write(staged, layer, table, APPENDS, unless_empty=True)
         finally:
             discard(self.spark, folder)
 
     def overwrite(self, rows: DataFrame, layer: str, table: str) -> None:
-        """Replace the whole table. ``rows`` must not read the table itself."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
-        place = self.place(layer, table)
-        if place:
-            path, files = self._folder(place)
-            files.delete(path, True)
-        self.append(rows, layer, table)
+        """Replace the whole table. The earlier rows are read until the new ones are complete,
+        and their files stay until the next load, for readers that have begun on them."""
+        self._write(rows, layer, table, REPLACES_TABLE)
 
     def replace_partitions(self, rows: DataFrame, layer: str, table: str) -> None:
         """Replace just the partitions that ``rows`` has, creating the table when missing."""
-        if not self.exists(layer, table):
-            self.append(rows, layer, table)
-            return
-        name = self.name(layer, table)
-        laid_out = self._laid_out(rows, layer, table).select(*self.spark.table(name).columns)
-        laid_out.write.mode("overwrite").insertInto(name)
+        self._write(rows, layer, table, REPLACES_PARTITIONS)
+
+    def _write(self, rows: DataFrame, layer: str, table: str, replaces: str, unless_empty: bool = False) -> int:
+        name, partition = self.name(layer, table), DATED.get((layer, table), (None, None))[1]
+        there = self.exists(layer, table)
+        if there and replaces != REPLACES_TABLE:
+            rows = self._conformed(rows, layer, table)
+        seen = Observation()
+        laid_out = self._laid_out(rows, layer, table).observe(seen, F.count(F.lit(1)).alias("n"))
+        writer = laid_out.write.format(self.config.table_format)
+        writer = writer.partitionBy(partition) if partition else writer
+        if not self._by_load:
+            if unless_empty and rows.isEmpty():
+                return 0
+            if there and replaces == REPLACES_PARTITIONS:
+                laid_out.select(*self.spark.table(name).columns).write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+                return 0
+            place = self.place(layer, table) if self.config.root else None
+            writer = writer.option("path", place) if place else writer
+            writer.mode("overwrite" if replaces == REPLACES_TABLE else "append").saveAsTable(name)
+            return 0
+        self.create_databases()
+        loads = self._loads(layer, table)
+        number = loads.begin(replaces)
+        writer.mode("append").save(loads.folder(number))
+        # No metrics come from a plan that turned out to be empty on the way.
+        n = seen.get.get("n", 0)
+        if unless_empty and not n:
+            loads.give_up(number)
+            return 0
+        loads.end(number)
+        self._shows(layer, table, schema=laid_out.schema)
+        return n
+
+    def _conformed(self, rows: DataFrame, layer: str, table: str) -> DataFrame:
+        """``rows`` with the stored types, in the stored order."""
+        stored = self.read(layer, table).schema
+        if sorted(rows.columns) != sorted(stored.names):
+            raise ValueError(f"{layer}.{table} has the columns {stored.names}, not {rows.columns}")
+        return rows.select(*[F.col(field.name).cast(field.dataType) for field in stored])
 
     def _laid_out(self, rows: DataFrame, layer: str, table: str) -> DataFrame:
         """Rows gathered by partition value before the write, in order of their day.
@@ -216,6 +306,10 @@ class Lake:
         return self.read(layer, table).count()
 
     def drop(self) -> None:
-        """Drop the lake's databases with all their tables."""
+        """Drop the lake's databases with all their tables. Files under a root folder stay."""
         for layer in LAYERS:
+            if not self.config.root and self._place_known(layer):
+                for table in self.spark.catalog.listTables(self.config.database(layer)):
+                    if not table.isTemporary:
+                        LoadFolders(self.spark, self.place(layer, table.name)).remove()
             self.spark.sql(f"DROP DATABASE IF EXISTS `{self.config.database(layer)}` CASCADE")
