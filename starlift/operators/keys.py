@@ -20,6 +20,7 @@ def dense_keys(
     order: Sequence[str],
     after: Column | int = 0,
     folder: str | None = None,
+    within: str | None = None,
 ) -> DataFrame:
     """``rows`` with ``name`` = ``after`` + their position (1, 2, ...) in ``order``.
 
@@ -30,8 +31,12 @@ def dense_keys(
 
     Give an ``order`` that leaves no ties: it makes the keys repeatable and lets one id
     with very many rows spread over several partitions.
+
+    ``within`` names an integer column of a few values, each of which is numbered from 1 on
+    its own, as with PARTITION BY: one sort serves them all, and a value with most of the
+    rows has most of the partitions.
     """
-    ascending = [F.col(column).asc_nulls_last() for column in order]
+    ascending = [F.col(column).asc_nulls_last() for column in ([within] if within else []) + list(order)]
     placed = (
         rows.repartitionByRange(*ascending)
         .sortWithinPartitions(*ascending)
@@ -39,13 +44,21 @@ def dense_keys(
     )
     placed = stage(placed, f"keys-{name}", folder)
 
-    # One row per range partition, so at most spark.sql.shuffle.partitions of them. As a
-    # literal the shifts need no join, and readers see the true size of the staged rows.
+    # One row per range partition, and one more for each value of ``within`` that begins
+    # there. As a literal the shifts need no join, and readers see the true size of the rows.
     part = F.shiftrightunsigned("_place", _ROW_BITS)
-    sizes = dict(placed.groupBy(part.alias("part")).count().collect())
-    before = accumulate((sizes.get(index, 0) for index in range(max(sizes, default=0))), initial=0)
-    shifts = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
     row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    group = F.col(within) if within else F.lit(0)
+    runs = placed.groupBy(group.alias("group"), part.alias("part")).agg(F.count("*").alias("n"), F.min(row).alias("first"))
+    found = sorted(tuple(run) for run in runs.collect())
+    shift = F.lit(None).cast("bigint")
+    for value in {run[0] for run in found}:
+        own = {run[1]: run for run in found if run[0] == value}
+        before = accumulate((own[at][2] if at in own else 0 for at in range(max(own))), initial=0)
+        # What is left over of the rows of another value that stand before in the partition.
+        shifts = [total - (own[at][3] if at in own else 0) for at, total in enumerate(before)]
+        table = F.split(F.lit(",".join(map(str, shifts))), ",").cast("array<bigint>")
+        shift = F.when(group == value, F.get(table, part.cast("int"))).otherwise(shift)
     base = after if isinstance(after, Column) else F.lit(after)
-    key = base + F.get(shifts, part.cast("int")) + row + 1
+    key = base + shift + row + 1
     return placed.select(key.cast("long").alias(name), *rows.columns)

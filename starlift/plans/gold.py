@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
-from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +13,6 @@ from starlift.functions.expressions import date_id
 from starlift.operators.joins import not_in
 from starlift.operators.keys import dense_keys
 from starlift.operators.staging import stage
-from starlift.operators.together import together
 
 CREATED = "data_criacao_registro"
 
@@ -47,6 +45,32 @@ def members(order_sales: DataFrame, dimension: Dimension) -> DataFrame:
     return order_sales.select(*dimension.columns).distinct()
 
 
+def all_members(
+    order_sales: DataFrame, dimensions: Sequence[Dimension] = DIMENSIONS, folder: str | None = None
+) -> DataFrame:
+    """The members of several dimensions from one scan and one shuffle of the sales: the
+    columns of all, of which a row has those of its ``dimension`` (its place in the list).
+
+    Grouping sets make a row for each dimension and combine equal ones before they move.
+    Written, because the members are looked at more than once.
+    """
+    columns = list(dict.fromkeys(column for dimension in dimensions for column in dimension.columns))
+    sets = [[F.col(column) for column in dimension.columns] for dimension in dimensions]
+    found = order_sales.groupingSets(sets, *map(F.col, columns)).agg(F.grouping_id().alias("absent"))
+    # Bits of the columns that a set lacks, the last column in the lowest bit.
+    absent = [
+        sum(1 << bit for bit, column in enumerate(reversed(columns)) if column not in dimension.columns)
+        for dimension in dimensions
+    ]
+    which = F.array_position(F.array(*map(F.lit, absent)), F.col("absent").cast("int")) - 1
+    return stage(found.select(which.cast("int").alias("dimension"), *columns), "members", folder)
+
+
+def members_of(found: DataFrame, at: int, dimension: Dimension) -> DataFrame:
+    """One dimension's rows of ``all_members``."""
+    return found.filter(F.col("dimension") == at).select(*dimension.columns)
+
+
 def dimension_rows(order_sales: DataFrame, dimension: Dimension, as_of: date, folder: str | None = None) -> DataFrame:
     """The whole dimension, keyed 1, 2, ... in order of the natural id.
 
@@ -58,13 +82,24 @@ def dimension_rows(order_sales: DataFrame, dimension: Dimension, as_of: date, fo
     return keyed.withColumn(CREATED, F.lit(as_of))
 
 
-def all_dimensions(order_sales: DataFrame, as_of: date, folder: str | None = None) -> dict[str, DataFrame]:
-    """The four dimensions by table name, built side by side."""
-    built = together(
-        order_sales.sparkSession,
-        *[partial(dimension_rows, order_sales, dimension, as_of, folder) for dimension in DIMENSIONS],
-    )
-    return {dimension.table: rows for dimension, rows in zip(DIMENSIONS, built)}
+def all_dimensions(
+    order_sales: DataFrame,
+    as_of: date,
+    folder: str | None = None,
+    dimensions: Sequence[Dimension] = DIMENSIONS,
+    found: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """Dimensions by table name, all of them from one scan of the sales (or their members
+    that were ``found``), one distinct and one sort, each keyed as ``dimension_rows`` does."""
+    found = all_members(order_sales, dimensions, folder) if found is None else found
+    columns = found.columns[1:]
+    keyed = dense_keys(found, "sk", columns, folder=folder, within="dimension")
+    return {
+        dimension.table: keyed.filter(F.col("dimension") == at).select(
+            F.col("sk").alias(dimension.sk), *dimension.columns, F.lit(as_of).alias(CREATED)
+        )
+        for at, dimension in enumerate(dimensions)
+    }
 
 
 def new_dimension_rows(

@@ -90,22 +90,36 @@ def run_silver(lake: Lake, as_of: date) -> None:
 
 
 def load_dimension(
-    lake: Lake, dimension: gold.Dimension, as_of: date, known_until: date | None, folder: str
+    lake: Lake, dimension: gold.Dimension, as_of: date, found: DataFrame, folder: str
 ) -> None:
-    """``known_until``: sales up to that day are in the facts, so their members are stored."""
+    """Add the members of the sales (``found``) that the stored dimension lacks."""
     config = lake.config
-    if not lake.exists("gold", dimension.table):
-        sales = lake.read("silver", "order_sales")
-        lake.overwrite(gold.dimension_rows(sales, dimension, as_of, folder), "gold", dimension.table)
-        return
-    sales = lake.read("silver", "order_sales", known_until if config.new_sales_only else None)
     existing = lake.read("gold", dimension.table)
-    rows = gold.new_dimension_rows(sales, existing, dimension, as_of, config.sk_mode, config.null_aware, folder)
+    rows = gold.new_dimension_rows(found, existing, dimension, as_of, config.sk_mode, config.null_aware, folder)
     # The rows are staged already, so looking for a first one costs next to nothing.
     if not rows.isEmpty():
         lake.append(rows, "gold", dimension.table)
 
 
+def load_dimensions(lake: Lake, as_of: date, known_until: date | None, folder: str) -> None:
+    """All dimensions from one scan of the sales, or two if some of them are not there yet.
+
+    ``known_until``: sales up to that day are in the facts, so their members are stored.
+    """
+    stored = [dimension for dimension in gold.DIMENSIONS if lake.exists("gold", dimension.table)]
+    missing = [dimension for dimension in gold.DIMENSIONS if dimension not in stored]
+    tasks = []
+    if missing:
+        built = gold.all_dimensions(lake.read("silver", "order_sales"), as_of, folder, missing)
+        tasks += [partial(lake.overwrite, rows, "gold", table) for table, rows in built.items()]
+    if stored:
+        sales = lake.read("silver", "order_sales", known_until if lake.config.new_sales_only else None)
+        found = gold.all_members(sales, stored, folder)
+        for at, dimension in enumerate(stored):
+            tasks.append(partial(load_dimension, lake, dimension, as_of, gold.members_of(found, at, dimension), folder))
+    together(lake.spark, *tasks)
+
+
 def load_calendar(lake: Lake) -> None:
     if not lake.exists("gold", "dim_date"):
         config = lake.config
@@ -166,11 +180,7 @@ def run_gold(lake: Lake, as_of: date) -> None:
             known_until -= timedelta(days=config.late_days)
     folder = new_folder(lake.spark, "gold")
     try:
-        together(
-            lake.spark,
-            partial(load_calendar, lake),
-            *[partial(load_dimension, lake, dimension, as_of, known_until, folder) for dimension in gold.DIMENSIONS],
-        )
+        together(lake.spark, partial(load_calendar, lake), partial(load_dimensions, lake, as_of, known_until, folder))
     finally:
         discard(lake.spark, folder)
     together(lake.spark, partial(load_fact_sales, lake, as_of), partial(load_fact_stocks, lake, as_of))

@@ -224,11 +224,13 @@ def gold_dim_customers_orphans(spark: SparkSession, folder: str) -> DataFrame:
 def gold_dim_new(spark: SparkSession, folder: str, dimension: gold.Dimension, mode: str) -> DataFrame:
     """Members that joined after the earlier load, keyed by rank or above the stored keys."""
     entities = Entities(spark, folder)
-    # Staged once, for the stored members and for those of now: what either looks at.
-    columns = dict.fromkeys([*dimension.columns, "category_name", "store_id"])
-    sales = stage(entities.order_sales().select(*columns).distinct(), "order_sales")
-    existing = gold.dimension_rows(entities.earlier_sales(sales), dimension, DAY_BEFORE)
-    return gold.new_dimension_rows(sales, existing, dimension, AS_OF, mode, null_aware=mode == "rank")
+    # One pass for the stored members and for those of now: of each, whether it was known.
+    later = entities.later_stores.select("store_id", F.lit(True).alias("later_store"))
+    known = (F.col("category_name") != LATER_CATEGORY) & F.col("later_store").isNull()
+    sales = entities.order_sales().join(later, "store_id", "left")
+    found = stage(sales.groupBy(*dimension.columns).agg(F.bool_or(known).alias("known")), "members")
+    existing = gold.dimension_rows(found.filter("known"), dimension, DAY_BEFORE)
+    return gold.new_dimension_rows(found, existing, dimension, AS_OF, mode, null_aware=mode == "rank")
 
 
 def gold_dim_date(spark: SparkSession, folder: str) -> DataFrame:
@@ -302,12 +304,7 @@ def gold_fact_sales_renamed(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stock_dims(sales: DataFrame) -> dict[str, DataFrame]:
     wanted = [dimension for dimension in gold.DIMENSIONS if dimension.table in ("dim_products", "dim_stores")]
-    columns = [column for dimension in wanted for column in dimension.columns]
-    sales = stage(sales.select(*columns).distinct(), "order_sales")
-    built = together(
-        sales.sparkSession, *[partial(gold.dimension_rows, sales, dimension, AS_OF) for dimension in wanted]
-    )
-    return {dimension.table: rows for dimension, rows in zip(wanted, built)}
+    return gold.all_dimensions(sales, AS_OF, dimensions=wanted)
 
 
 def gold_fact_stocks(spark: SparkSession, folder: str) -> DataFrame:

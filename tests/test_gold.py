@@ -145,3 +145,16 @@ def test_a_hot_customer_is_split_when_the_dimension_is_too_large_to_broadcast(sp
     )
     assert rows(found) == rows(expected)
     assert "skew=true" in final_plan(found)
+
+
+def test_four_dimensions_from_one_scan_and_one_shuffle(spark, sf_dir, monkeypatch):
+    from starlift.queries.binding import Entities
+
+    sales = gold.stage(Entities(spark, sf_dir).order_sales(), "sales")
+    plans = []
+    monkeypatch.setattr(gold, "stage", lambda found, *names: plans.append(found._jdf.queryExecution().executedPlan().toString()) or found)
+    found = gold.all_members(sales)
+    assert plans[0].count("FileScan") == 1 and plans[0].count("Exchange hashpartitioning") == 1
+    for at, dimension in enumerate(gold.DIMENSIONS):
+        own = gold.members_of(found, at, dimension)
+        assert rows(own) == rows(gold.members(sales, dimension))

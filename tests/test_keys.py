@@ -69,3 +69,15 @@ def test_any_members(spark, members):
     ordered = sorted(members, key=lambda row: (row[0] is None, row[0] or 0, row[1]))
     expected = [(place, *row) for place, row in enumerate(ordered, 1)]
     assert sorted(tuple(row) for row in dense_keys(frame, "sk", ["id", "name"]).collect()) == expected
+
+
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 50)), st.text("ab", max_size=2)), max_size=40, unique=True))
+@hypothesis_settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_each_group_is_numbered_on_its_own(spark, members):
+    frame = spark.createDataFrame(members, "kind int, id long, name string").repartition(5)
+    ordered = sorted(members, key=lambda row: (row[0], row[1] is None, row[1] or 0, row[2]))
+    expected, place = [], {}
+    for row in ordered:
+        place[row[0]] = place.get(row[0], 0) + 1
+        expected.append((place[row[0]], *row))
+    assert sorted((tuple(row) for row in dense_keys(frame, "sk", ["id", "name"], within="kind").collect()), key=repr) == sorted(expected, key=repr)
