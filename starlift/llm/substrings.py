@@ -7,7 +7,8 @@ at successive places with the same smallest hash make a segment, so a text is ab
 many segments as ``length`` - ``GRAM`` goes into it, and equal strings lie in segments of equal
 hash. Segments whose hash is alone in the corpus can't hold a repeated string and go.
 
-Equal segments are counted, and repeated as a whole. One of each goes on: the bytes of those
+Equal segments are counted, and repeated as a whole, so nothing within them is looked for: they
+only show what repeats in others. One of each goes on: the bytes of those
 that share their hash with a different segment, or that repeat within themselves, are put
 together into shards of whole groups, and the shard's suffix array (induced sorting) and
 permuted common prefixes show the strings that stand twice. A group of more than ``GROUP``
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starlift.llm.common import row_key, stage
@@ -146,10 +147,10 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, rows = _unpacked(packed), wanted.as_py()
             columns = [
                 pa.array([row["mh"] for row in rows], pa.int64()), pa.array([row["sh"] for row in rows], pa.int64()),
-                pa.array([row["crowded"] for row in rows], pa.bool_()),
+                pa.array([row["crowded"] for row in rows], pa.bool_()), pa.array([row["whole"] for row in rows], pa.bool_()),
                 pa.array([data[row["start"] : row["start"] + row["size"]] for row in rows], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["mh", "sh", "crowded", "octets"])
+            yield pa.RecordBatch.from_arrays(columns, ["mh", "sh", "crowded", "whole", "octets"])
 
 
 _RUNS = "array<struct<a:int,b:int>>"
@@ -190,23 +191,23 @@ def _shards(length: int):
     """Whole groups (the rows are sorted by their hash) are put together into shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[tuple[int, int]] = []
+        keys: list[tuple[int, int, bool]] = []
         parts: list[bytes] = []
         size = 0
         for batch in batches:
-            for row in zip(*(batch.column(name) for name in ("mh", "sh", "octets"))):
-                mh, sh, octets = (value.as_py() for value in row)
+            for row in zip(*(batch.column(name) for name in ("mh", "sh", "whole", "octets"))):
+                mh, sh, whole, octets = (value.as_py() for value in row)
                 if size >= SHARD and mh != keys[-1][0]:
                     yield found(keys, parts)
                     keys, parts, size = [], [], 0
-                keys.append((mh, sh))
+                keys.append((mh, sh, whole))
                 parts.append(octets)
                 size += len(octets)
         if keys:
             yield found(keys, parts)
 
     def found(keys, parts) -> pa.RecordBatch:
-        rows = [(*key, runs) for key, runs in zip(keys, repeated(parts, length)) if runs]
+        rows = [(mh, sh, runs) for (mh, sh, whole), runs in zip(keys, repeated(parts, length)) if runs and not whole]
         columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate((pa.int64(), pa.int64(), _RUNS_ARROW))]
         return pa.RecordBatch.from_arrays(columns, ["mh", "sh", "runs"])
 
@@ -218,19 +219,27 @@ def _strings(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for mh, sh, octets in zip(*(batch.column(name) for name in ("mh", "sh", "octets"))):
+            for mh, sh, whole, octets in zip(*(batch.column(name) for name in ("mh", "sh", "whole", "octets"))):
                 view = memoryview(octets.as_py())
                 many = len(view) - length + 1
                 digests = b"".join(xxhash.xxh3_128_digest(view[k : k + length]) for k in range(many))
                 halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
                 columns = [
-                    np.full(many, mh.as_py()), np.full(many, sh.as_py()), np.arange(many, dtype=np.int32), halves[:, 0].copy(), halves[:, 1].copy(),
+                    np.full(many, mh.as_py()), np.full(many, sh.as_py()), np.full(many, whole.as_py()),
+                    np.arange(many, dtype=np.int32), halves[:, 0].copy(), halves[:, 1].copy(),
                 ]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["mh", "sh", "at", "high", "low"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["mh", "sh", "whole", "at", "high", "low"])
 
     return run
 
 
+def _runs_of(at: Column, length: int) -> Column:
+    """The runs that strings of ``length`` at these (ascending) places cover."""
+    begins = F.filter(at, lambda x, i: (i == 0) | (x - F.get(at, i - 1) > length))
+    ends = F.filter(at, lambda x, i: (i == F.size(at) - 1) | (F.get(at, i + 1) - x > length))
+    return F.zip_with(begins, ends, lambda a, b: F.struct(a.alias("a"), (b + length).alias("b")))
+
+
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
     for batch in batches:
@@ -263,21 +272,21 @@ def without_substrings(docs: DataFrame, length: int = 200) -> DataFrame:
     crowded = mixed.groupBy("mh").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > GROUP).select("mh", F.lit(True).alias("crowded"))
     wanted = mixed.join(crowded, "mh", "left").select(
         F.col("place.doc_id").alias("at_doc"), F.col("place.text_key").alias("at_key"),
-        F.struct("mh", "sh", F.col("place.start").alias("start"), "size", F.coalesce("crowded", F.lit(False)).alias("crowded")).alias("one"),
+        F.struct("mh", "sh", F.col("place.start").alias("start"), "size", F.coalesce("crowded", F.lit(False)).alias("crowded"), (F.col("n") > 1).alias("whole")).alias("one"),
     )
     wanted = wanted.groupBy("at_doc", "at_key").agg(F.collect_list("one").alias("wanted"))
     packed = texts.mapInArrow(_packed, "doc_id long, text_key long, packed binary")
     asked = packed.join(wanted, packed["doc_id"].eqNullSafe(wanted["at_doc"]) & (packed["text_key"] == wanted["at_key"]))
     # Rows that repeat give the same bytes twice; one is enough.
-    octets = asked.select("packed", "wanted").mapInArrow(_sliced, "mh long, sh long, crowded boolean, octets binary")
+    octets = asked.select("packed", "wanted").mapInArrow(_sliced, "mh long, sh long, crowded boolean, whole boolean, octets binary")
     octets = stage(octets, "octets")
 
     few = octets.filter("not crowded").dropDuplicates(["mh", "sh"]).repartition("mh").sortWithinPartitions("mh")
     found = few.mapInArrow(_shards(length), f"mh long, sh long, runs {_RUNS}")
-    strings = octets.filter("crowded").dropDuplicates(["mh", "sh"]).mapInArrow(_strings(length), "mh long, sh long, at int, high long, low long")
+    strings = octets.filter("crowded").dropDuplicates(["mh", "sh"]).mapInArrow(_strings(length), "mh long, sh long, whole boolean, at int, high long, low long")
     twice = strings.groupBy("high", "low").count().filter("count > 1").drop("count")
-    one = F.struct(F.col("at").alias("a"), (F.col("at") + length).alias("b"))
-    counted = strings.join(twice, ["high", "low"]).groupBy("mh", "sh").agg(F.collect_list(one).alias("runs"))
+    counted = strings.join(twice, ["high", "low"]).filter("not whole").groupBy("mh", "sh")
+    counted = counted.agg(F.sort_array(F.collect_list("at")).alias("at")).select("mh", "sh", _runs_of(F.col("at"), length).alias("runs"))
     whole = distinct.filter("n > 1").select("mh", "sh", F.array(F.struct(F.lit(0).alias("a"), F.col("size").alias("b"))).alias("runs"))
     covered = stage(found.unionByName(counted).unionByName(whole), "covered")
 
