@@ -29,7 +29,9 @@ class LakeConfig:
     new_sales_only  look for new members only in sales the facts do not hold yet
     item_key        columns that tell a stored order line from a new one
     null_marker     text that stands for NULL in the landing CSV; None = keep it as text
-    multiline       the CSV files have line breaks inside quotes (they cannot be split then)
+    multiline       True: a CSV file is read by one task from end to end; else files are split,
+                    also where there are line breaks inside quotes
+    skip_unchanged  an extract that has not changed is neither copied nor loaded again
     """
 
     root: str | None = None
@@ -49,6 +51,7 @@ class LakeConfig:
     item_key: tuple[str, ...] = ("order_id", "product_id")
     null_marker: str | None = None
     multiline: bool = False
+    skip_unchanged: bool = True
 
     def __post_init__(self):
         allowed = {
@@ -76,6 +79,7 @@ class LakeConfig:
             empty_watermark="none",
             late_days=0,
             new_sales_only=False,
+            skip_unchanged=False,
         )
 
     @property

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 from functools import partial
 
@@ -14,6 +15,7 @@ from starlift.operators.staging import discard, new_folder
 from starlift.operators.together import together
 from starlift.plans import bronze, gold, silver
 from starlift.sources.landing import copy_csv, discover_csv
+from starlift.sources.ledger import files_of, signature
 from starlift.sources.schemas import ENTITIES
 from starlift.sources.tables import Lake
 
@@ -21,20 +23,39 @@ from starlift.sources.tables import Lake
 LINE_KEY = ("order_id", "item_id")
 
 
+def _copy(lake: Lake, entity: str, path: str) -> None:
+    config, ledger = lake.config, lake.ledger
+    mark = signature(lake.spark, path, config.multiline)
+    landed = files_of(lake.spark, f"{config.landing_dir}/{entity}.csv")
+    if config.skip_unchanged and landed and ledger.holds("landing", entity, mark):
+        return
+    ledger.forget("landing", entity)
+    copy_csv(lake.spark, path, config.landing_dir, entity, config.multiline)
+    ledger.record("landing", entity, mark)
+
+
 def run_landing(lake: Lake, source: str) -> None:
-    """Publish every CSV extract of ``source`` as it is, replacing the earlier one."""
-    config = lake.config
+    """Publish every CSV extract of ``source`` as it is, replacing the earlier one. What has
+    not changed since it was published stays."""
     found = discover_csv(lake.spark, source)
-    copies = [
-        partial(copy_csv, lake.spark, path, config.landing_dir, entity, config.multiline)
-        for entity, path in found.items()
-    ]
-    together(lake.spark, *copies)
+    together(lake.spark, *[partial(_copy, lake, entity, path) for entity, path in found.items()])
+
+
+def _load(lake: Lake, entity: str) -> None:
+    config, ledger = lake.config, lake.ledger
+    rules = (config.null_marker, config.item_key, config.late_days, config.empty_watermark, config.multiline)
+    mark = signature(lake.spark, f"{config.landing_dir}/{entity}.csv", *rules)
+    if config.skip_unchanged and lake.exists("bronze", entity) and ledger.holds("bronze", entity, mark):
+        return
+    ledger.forget("bronze", entity)
+    bronze.load_entity(lake, entity)
+    ledger.record("bronze", entity, mark)
 
 
 def run_bronze(lake: Lake) -> None:
+    """Load every landed extract that has changed since it was loaded."""
     lake.create_databases()
-    together(lake.spark, *[partial(bronze.load_entity, lake, entity) for entity in ENTITIES])
+    together(lake.spark, *[partial(_load, lake, entity) for entity in ENTITIES])
 
 
 def _flat_sales(lake: Lake, above: date | None = None) -> DataFrame:
@@ -186,9 +207,22 @@ def run_gold(lake: Lake, as_of: date) -> None:
     together(lake.spark, partial(load_fact_sales, lake, as_of), partial(load_fact_stocks, lake, as_of))
 
 
+# The layers in the order in which they build on each other.
+STEPS = ("landing", "bronze", "silver", "gold")
+
+
+def run_layers(lake: Lake, layers: Sequence[str], source: str | None, as_of: date) -> None:
+    """The chosen layers in their order. Only landing needs a ``source``."""
+    if "landing" in layers:
+        run_landing(lake, source)
+    if "bronze" in layers:
+        run_bronze(lake)
+    if "silver" in layers:
+        run_silver(lake, as_of)
+    if "gold" in layers:
+        run_gold(lake, as_of)
+
+
 def run_all(lake: Lake, source: str, as_of: date) -> None:
     """Landing, bronze, silver, gold. Every step can be run again after a failure."""
-    run_landing(lake, source)
-    run_bronze(lake)
-    run_silver(lake, as_of)
-    run_gold(lake, as_of)
+    run_layers(lake, STEPS, source, as_of)

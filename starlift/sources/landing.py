@@ -3,23 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starlift.sources.records import DIALECT, has_broken_lines, parsed
 from starlift.sources.schemas import schema_for
 
-# The CSV dialect (comma, header, quotes doubled inside quotes,
-# blanks kept, dates as yyyy-mm-dd).
-DIALECT = {
-    "header": True,
-    "quote": '"',
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": False,
-    "ignoreTrailingWhiteSpace": False,
-    "dateFormat": "yyyy-MM-dd",
-}
-
-
 def discover_csv(spark: SparkSession, folder: str) -> dict[str, str]:
     """Entity name -> path of every ``*.csv`` in ``folder``, a file or a folder of parts."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*.csv")
@@ -33,30 +21,27 @@ def publish_csv(rows: DataFrame, folder: str, entity: str) -> None:
     rows.write.mode("overwrite").options(**DIALECT).csv(f"{folder.rstrip('/')}/{entity}.csv")
 
 
-def refuse_broken_lines(spark: SparkSession, path: str) -> None:
-    """Raise if a quoted value goes over the end of a line. Read line by line, such a row
-    would become two, without any error."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    broken = spark.read.text(path).filter(quotes % 2 == 1).select(F.substring("value", 1, 80)).first()
-    if broken is not None:
-        raise ValueError(f"{path}: a quoted line break at {broken[0]!r}; set multiline to read it")
-
-
 def _header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(**DIALECT).csv(path).columns
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType, multiline: bool, **options: str) -> DataFrame:
+    """The rows of a CSV file or a folder of parts. Lines that are no rows of their own,
+    because a quoted value goes over their end, are put together first (``records``)."""
+    if not multiline and has_broken_lines(spark, path):
+        return parsed(spark, path, schema, **options)
+    reader = spark.read.schema(schema).options(**DIALECT).options(**options)
+    return reader.option("multiLine", multiline).option("enforceSchema", False).csv(path)
+
+
 def copy_csv(spark: SparkSession, path: str, folder: str, entity: str, multiline: bool = False) -> None:
     """Publish a CSV file, or a folder of parts, with every value as the text it was.
 
     Rows with more or fewer values than the header has are refused, and so are parts
     whose header is another one: their columns would get into each other's place.
     """
-    if not multiline:
-        refuse_broken_lines(spark, path)
     schema = T.StructType([T.StructField(column, T.StringType()) for column in _header(spark, path)])
-    reader = spark.read.schema(schema).options(**DIALECT).option("multiLine", multiline)
-    publish_csv(reader.option("mode", "FAILFAST").option("enforceSchema", False).csv(path), folder, entity)
+    publish_csv(_read(spark, path, schema, multiline, mode="FAILFAST"), folder, entity)
 
 
 def read_landing(
@@ -71,15 +56,11 @@ def read_landing(
     """All columns of an entity's landing CSV, with declared types.
 
     Only the header line is read to learn the columns; there is no inference pass.
-    ``multiline`` allows line breaks inside quotes but makes a file unsplittable, so
-    it is off unless the extract needs it; a file that needs it is refused without.
+    Files are split over tasks, also where there are line breaks inside quotes, which
+    one look over the lines finds out; ``multiline`` leaves out the look and has every
+    file read by one task.
     """
     path = f"{folder.rstrip('/')}/{entity}.csv"
-    if not multiline:
-        refuse_broken_lines(spark, path)
     schema = schema_for(entity, _header(spark, path), types)
-    reader = spark.read.schema(schema).options(**DIALECT)
-    reader = reader.option("mode", mode).option("multiLine", multiline).option("enforceSchema", False)
-    if null_marker is not None:
-        reader = reader.option("nullValue", null_marker)
-    return reader.csv(path)
+    options = {"mode": mode} | ({} if null_marker is None else {"nullValue": null_marker})
+    return _read(spark, path, schema, multiline, **options)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from starlift.config import LakeConfig
 from starlift.functions.expressions import moment, month_of
 from starlift.operators.staging import discard, new_folder, stage
+from starlift.sources.ledger import Ledger
 from starlift.sources.loads import (
     APPENDS,
     COLUMN,
@@ -57,6 +58,7 @@ class Lake:
     def __init__(self, spark: SparkSession, config: LakeConfig):
         self.spark = spark
         self.config = config
+        self.ledger = Ledger(spark, f"{config.landing_dir}/_ledger")
         self._folders: dict[tuple[str, str], LoadFolders] = {}
         self._seen: dict[tuple[str, str], frozenset[tuple[int, str]]] = {}
 

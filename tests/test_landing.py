@@ -1,3 +1,6 @@
+import csv
+import random
+
 import pytest
 from conftest import rows
 
@@ -90,17 +93,61 @@ def test_a_bad_value_is_not_read_as_null(spark, tmp_path):
         read_landing(spark, str(tmp_path), "brands").collect()
 
 
-def test_line_breaks_in_quotes(spark, tmp_path):
+@pytest.mark.parametrize("multiline", [False, True])
+def test_line_breaks_in_quotes(spark, tmp_path, multiline):
     (tmp_path / "brands.csv").write_text('brand_id,brand_name\n1,"two\nlines"\n')
-    assert rows(read_landing(spark, str(tmp_path), "brands", multiline=True)) == [(1, "two\nlines")]
-    for read in (
-        lambda: read_landing(spark, str(tmp_path), "brands"),
-        lambda: copy_csv(spark, f"{tmp_path}/brands.csv", str(tmp_path / "landing"), "brands"),
-    ):
-        with pytest.raises(ValueError, match="quoted line break"):
-            read()
-    copy_csv(spark, f"{tmp_path}/brands.csv", str(tmp_path / "landing"), "brands", multiline=True)
-    assert rows(read_landing(spark, str(tmp_path / "landing"), "brands", multiline=True)) == [(1, "two\nlines")]
+    assert rows(read_landing(spark, str(tmp_path), "brands", multiline=multiline)) == [(1, "two\nlines")]
+    copy_csv(spark, f"{tmp_path}/brands.csv", str(tmp_path / "landing"), "brands", multiline=multiline)
+    assert rows(read_landing(spark, str(tmp_path / "landing"), "brands", multiline=multiline)) == [(1, "two\nlines")]
+
+
+def broken_brands():
+    """Names with every awkward thing that may stand in quotes, some over many lines."""
+    draw = random.Random(7)
+    pieces = ['"', ",", "\n", "x", "\n\n", '"\n', ',"', "\n1,", "some words", "", "ü", "'", '""']
+    return [(k, "n" + "".join(draw.choices(pieces, k=draw.randint(0, 9))) + ("\nline" * 40 if k % 50 == 0 else "")) for k in range(400)]
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_a_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path, settings, line_end):
+    settings(spark__sql__files__maxPartitionBytes="1024", spark__sql__files__openCostInBytes="0")
+    given = broken_brands()
+    folder = tmp_path / "brands.csv"
+    folder.mkdir()
+    for part, some in enumerate((given[:250], given[250:], [])):
+        with open(folder / f"part-{part}.csv", "w", newline="") as file:
+            writer = csv.writer(file, lineterminator=line_end)
+            writer.writerows([("brand_id", "brand_name"), *some])
+    assert len(spark.read.text(str(folder)).rdd.glom().collect()) > 5
+    assert rows(read_landing(spark, str(tmp_path), "brands")) == sorted(given, key=repr)
+    copy_csv(spark, str(folder), str(tmp_path / "landing"), "brands")
+    assert rows(read_landing(spark, str(tmp_path / "landing"), "brands")) == sorted(given, key=repr)
+
+
+def test_blocks_that_lie_inside_one_value(spark, tmp_path, settings):
+    settings(spark__sql__files__maxPartitionBytes="64", spark__sql__files__openCostInBytes="0")
+    long = "word, word\n" * 60 + "end"
+    (tmp_path / "brands.csv").write_text(f'brand_id,brand_name\n1,"{long}"\n\n2,plain\n3,"{long}"\n')
+    assert rows(read_landing(spark, str(tmp_path), "brands")) == [(1, long), (2, "plain"), (3, long)]
+
+
+def test_an_inch_mark_without_quotes_is_no_line_break(spark, tmp_path):
+    (tmp_path / "brands.csv").write_text('brand_id,brand_name\n1,5" pipe\n2,6" pipe\n')
+    assert rows(read_landing(spark, str(tmp_path), "brands")) == [(1, '5" pipe'), (2, '6" pipe')]
+    (tmp_path / "brands.csv").write_text('brand_id,brand_name\n1,5" pipe\n2,"6"" pipe\nof lead"\n3,7" pipe\n')
+    assert rows(read_landing(spark, str(tmp_path), "brands")) == [(1, '5" pipe'), (2, '6" pipe\nof lead'), (3, '7" pipe')]
+
+
+def test_broken_lines_do_not_hide_faults(spark, tmp_path):
+    (tmp_path / "brands.csv").write_text('brand_id,brand_name\n1,"two\nlines",more\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        read_landing(spark, str(tmp_path), "brands").collect()
+    folder = tmp_path / "customers.csv"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text('customer_id,first_name,last_name\n1,"A\nnn",Lee\n')
+    (folder / "part-1.csv").write_text("customer_id,last_name,first_name\n2,Lee,Ann\n")
+    with pytest.raises(ValueError, match="header"):
+        copy_csv(spark, str(folder), str(tmp_path / "landing"), "customers")
 
 
 @pytest.mark.parametrize("row", ["1,Acme, Inc", "1"])
