@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -126,6 +127,19 @@ def new_dimension_rows(
     return keyed.withColumn(CREATED, F.lit(as_of))
 
 
+def repeated_members(dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Per dimension the ids that have several members (n_ids), as after a change of name, and
+    how many members these have (n_members). Each sale of such an id becomes several facts."""
+
+    def one(dimension: Dimension) -> DataFrame:
+        several = dims[dimension.table].groupBy(dimension.key).agg(F.count("*").alias("n")).filter("n > 1")
+        return several.agg(F.count("*").alias("n_ids"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_members")).select(
+            F.lit(dimension.table).alias("dimension"), "n_ids", "n_members"
+        )
+
+    return reduce(DataFrame.unionByName, [one(dimension) for dimension in DIMENSIONS if dimension.table in dims])
+
+
 def _with_key(rows: DataFrame, dimension: DataFrame, key: str, sk: str) -> DataFrame:
     """Left join of one surrogate key. The planner broadcasts the dimension when its
     stored size allows; otherwise both sides shuffle and AQE splits hot ids."""

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from datetime import date, timedelta
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starlift.functions.calendar import calendar_between
 from starlift.operators.policies import after_watermark, dated_or_unseen, dated_snapshot, late_or_after
 from starlift.operators.staging import discard, new_folder
 from starlift.operators.together import together
-from starlift.plans import bronze, gold, silver
+from starlift.plans import bronze, gold, serving, silver
 from starlift.sources.landing import copy_csv, discover_csv
 from starlift.sources.ledger import files_of, signature
 from starlift.sources.schemas import ENTITIES
-from starlift.sources.tables import Lake
+from starlift.sources.tables import Lake, observed
 
 # The columns that identify an order line when late rows are accepted.
 LINE_KEY = ("order_id", "item_id")
@@ -149,16 +150,21 @@ def load_calendar(lake: Lake) -> None:
         )
 
 
+class FanOut(UserWarning):
+    """Sales that became several facts, because an id has several members in a dimension."""
+
+
 def load_fact_sales(lake: Lake, as_of: date) -> None:
+    """Add the new sales to the fact. They are counted on their way in and out: a difference
+    is reported, with the ids of each dimension that have several members."""
     config = lake.config
     dims = {dimension.table: lake.read("gold", dimension.table) for dimension in gold.DIMENSIONS}
     dim_date = lake.read("gold", "dim_date")
-    if not lake.exists("gold", "fact_sales"):
+    first = not lake.exists("gold", "fact_sales")
+    mark = None if first else lake.watermark("gold", "fact_sales")
+    if first:
         sales = lake.read("silver", "order_sales")
-        lake.overwrite(gold.fact_sales(sales, dims, dim_date, as_of), "gold", "fact_sales")
-        return
-    mark = lake.watermark("gold", "fact_sales")
-    if mark is None:
+    elif mark is None:
         sales = _without_mark(lake, lake.read("silver", "order_sales"), "gold", "fact_sales")
     elif config.late_days:
         floor = mark - timedelta(days=config.late_days)
@@ -167,7 +173,13 @@ def load_fact_sales(lake: Lake, as_of: date) -> None:
         sales = late_or_after(recent, stored, "order_date", mark, config.late_days, LINE_KEY)
     else:
         sales = lake.read("silver", "order_sales", above=mark)
-    lake.append_new(gold.fact_sales(sales, dims, dim_date, as_of), "gold", "fact_sales")
+    seen = Observation()
+    facts = gold.fact_sales(sales.observe(seen, F.count(F.lit(1)).alias("n")), dims, dim_date, as_of)
+    written = (lake.overwrite if first else lake.append_new)(facts, "gold", "fact_sales")
+    taken = observed(seen)
+    if lake.counts_writes and taken is not None and written != taken:
+        repeated = {row["dimension"]: row["n_ids"] for row in gold.repeated_members(dims).filter("n_ids > 0").collect()}
+        warnings.warn(FanOut(f"{taken} sales became {written} facts; ids with several members: {repeated}"), stacklevel=2)
 
 
 def load_fact_stocks(lake: Lake, as_of: date) -> None:
@@ -205,6 +217,7 @@ def run_gold(lake: Lake, as_of: date) -> None:
     finally:
         discard(lake.spark, folder)
     together(lake.spark, partial(load_fact_sales, lake, as_of), partial(load_fact_stocks, lake, as_of))
+    serving.create_view(lake)
 
 
 # The layers in the order in which they build on each other.

@@ -24,7 +24,7 @@ from starlift.operators import (
     unseen_pairs,
     watermark,
 )
-from starlift.plans import gold, run_all, run_bronze
+from starlift.plans import gold, run_all, run_bronze, serving
 from starlift.plans.pipeline import LINE_KEY
 from starlift.queries.binding import AS_OF, CUTOFF, DAY_BEFORE, LATER_CATEGORY, Entities
 from starlift.sources.landing import publish_csv, read_landing
@@ -339,6 +339,13 @@ def serve_gold_table(spark: SparkSession, folder: str) -> DataFrame:
     return lake.read("gold", "dim_products")
 
 
+def gold_repeated_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids with several members when customers had other names before the cutoff."""
+    name = F.when(F.col("order_date") <= F.lit(CUTOFF), F.lower("customer_name")).otherwise(F.col("customer_name"))
+    sales = Entities(spark, folder).order_sales().withColumn("customer_name", name)
+    return gold.repeated_members(gold.all_dimensions(sales, AS_OF))
+
+
 # Edge cases and whole runs
 
 
@@ -439,12 +446,32 @@ def pipeline_two_runs_parity(spark: SparkSession, folder: str) -> DataFrame:
     return _run_counts(_two_runs(spark, folder, parity=True))
 
 
-def pipeline_table(spark: SparkSession, folder: str, layer: str, table: str) -> DataFrame:
-    """A table as a reader gets it after the runs, through a lake opened anew."""
+def _run_lake(spark: SparkSession, folder: str) -> Lake:
+    """The lake after the runs, opened anew."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _run_lakes:
         _run_lakes[key] = _two_runs(spark, folder, parity=False)
-    return Lake(spark, _run_lakes[key].config).read(layer, table)
+    return Lake(spark, _run_lakes[key].config)
+
+
+def pipeline_table(spark: SparkSession, folder: str, layer: str, table: str) -> DataFrame:
+    """A table as a reader gets it after the runs."""
+    return _run_lake(spark, folder).read(layer, table)
+
+
+def serve_sales_by_category(spark: SparkSession, folder: str) -> DataFrame:
+    """Two years of sales by category, from the view over the fact and all dimensions: two
+    of the five are joined, and the months of the two years are read."""
+    name = serving.create_view(_run_lake(spark, folder))
+    return spark.sql(
+        f"""SELECT year, category_name, count(*) AS n_lines, sum(quantity) AS quantity
+            FROM {name} WHERE year BETWEEN 1997 AND 1998 GROUP BY year, category_name"""
+    )
+
+
+def serve_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Every sale with all attributes, from the view."""
+    return spark.table(serving.create_view(_run_lake(spark, folder)))
 
 
 def catalogue() -> dict[str, Query]:
@@ -486,7 +513,10 @@ def catalogue() -> dict[str, Query]:
         gold_fact_stocks,
         gold_fact_stocks_unsold,
         gold_fact_stocks_incremental,
+        gold_repeated_members,
         serve_gold_table,
+        serve_sales_by_category,
+        serve_sales,
         incremental_empty_target,
         not_in_null_member,
         table_exists_and_count,

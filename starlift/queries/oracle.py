@@ -277,16 +277,26 @@ def oracle() -> dict[str, str]:
         "gold_fact_stocks": f"{_with_dims('sales')} {_fact_stocks(snapshot)}",
         "gold_fact_stocks_unsold": f"{_with_dims('earlier_sales')} {_fact_stocks(snapshot)}",
         "gold_fact_stocks_incremental": f"""
-            {_with_dims('sales')},
-            snapshots AS (SELECT *, {DAY_BEFORE} AS dt_stock FROM ({STOCKS})
-                          UNION ALL SELECT *, {AS_OF} AS dt_stock FROM ({STOCKS})),
-            stored AS (SELECT date_sk FROM snapshots
-                       JOIN dim_date ON date_id = CAST(strftime(dt_stock, '%Y%m%d') AS INTEGER)
-                       WHERE dt_stock = {DAY_BEFORE})
-            {_fact_stocks(
-                "SELECT * FROM snapshots WHERE dt_stock > "
-                "(SELECT max(d.date) FROM stored LEFT JOIN dim_date d USING (date_sk))"
-            )}""",
+            {_with_dims('sales').replace(' AS (', ' AS MATERIALIZED (')},
+            snapshots AS MATERIALIZED (SELECT *, unnest([{DAY_BEFORE}, {AS_OF}]) AS dt_stock FROM ({STOCKS})),
+            stored AS MATERIALIZED (SELECT max(dt_stock) AS day FROM snapshots WHERE dt_stock <= {DAY_BEFORE})
+            {_fact_stocks("SELECT snapshots.* FROM snapshots, stored WHERE dt_stock > day")}""",
+        "gold_repeated_members": f"""
+            WITH sales AS MATERIALIZED ({RENAMED_SALES})
+            """
+        + " UNION ALL ".join(
+            f"""SELECT '{table}' AS dimension, count(*) AS n_ids, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_members FROM (
+                SELECT {key}, count(*) AS n FROM (SELECT DISTINCT {key}, {attributes} FROM sales) GROUP BY {key} HAVING count(*) > 1)"""
+            for table, (_, key, attributes) in DIMS.items()
+        ),
+        "serve_sales_by_category": f"""
+            SELECT CAST(year(order_date) AS BIGINT) AS year, category_name, count(*) AS n_lines,
+                   CAST(sum(quantity) AS BIGINT) AS quantity
+            FROM ({SALES}) WHERE year(order_date) BETWEEN 1997 AND 1998 GROUP BY ALL""",
+        "serve_sales": f"""
+            SELECT * REPLACE (CAST(order_date AS DATE) AS order_date), year(order_date) AS year,
+                   month(order_date) AS month, day(order_date) AS day
+            FROM ({SALES})""",
         "serve_gold_table": f"WITH sales AS ({SALES}) {_dim('dim_products', 'sales')}",
         "incremental_empty_target": "SELECT 'none' AS rule, 0 AS n_rows UNION ALL SELECT 'all', count(*) FROM orders",
         "not_in_null_member": f"""

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +53,15 @@ COLUMN_ORDER = {
 }
 
 
+def observed(seen: Observation) -> int | None:
+    """The count ``n`` of a plan that has run; None where the part of the plan that counted
+    was dropped while it ran, because it had turned out to be empty."""
+    try:
+        return seen.get.get("n")
+    except Py4JJavaError:
+        return None
+
+
 class Lake:
     """The tables of one lake in one session."""
 
@@ -83,6 +93,11 @@ class Lake:
         """Whether writes are load folders; other formats keep their own account of them."""
         return self.config.table_format in ("parquet", "orc")
 
+    @property
+    def counts_writes(self) -> bool:
+        """Whether ``append_new`` and ``overwrite`` tell the number of rows."""
+        return self._by_load
+
     def _loads(self, layer: str, table: str) -> LoadFolders:
         if (layer, table) not in self._folders:
             self._folders[(layer, table)] = LoadFolders(self.spark, self.place(layer, table))
@@ -238,10 +253,10 @@ class Lake:
         finally:
             discard(self.spark, folder)
 
-    def overwrite(self, rows: DataFrame, layer: str, table: str) -> None:
-        """Replace the whole table. The earlier rows are read until the new ones are complete,
+    def overwrite(self, rows: DataFrame, layer: str, table: str) -> int:
+        """Replace the whole table and tell its number of rows. The earlier rows are read until the new ones are complete,
         and their files stay until the next load, for readers that have begun on them."""
-        self._write(rows, layer, table, REPLACES_TABLE)
+        return self._write(rows, layer, table, REPLACES_TABLE)
 
     def replace_partitions(self, rows: DataFrame, layer: str, table: str) -> None:
         """Replace just the partitions that ``rows`` has, creating the table when missing."""
@@ -270,8 +285,10 @@ class Lake:
         loads = self._loads(layer, table)
         number = loads.begin(replaces)
         writer.mode("append").save(loads.folder(number))
-        # No metrics come from a plan that turned out to be empty on the way.
-        n = seen.get.get("n", 0)
+        n = observed(seen)
+        if n is None:
+            schema = laid_out.drop(partition).schema if partition else laid_out.schema
+            n = self.spark.read.schema(schema).format(self.config.table_format).load(loads.folder(number)).count()
         if unless_empty and not n:
             loads.give_up(number)
             return 0

@@ -134,7 +134,7 @@ def all_tables(lake):
         (layer, table.name)
         for layer in ("bronze", "silver", "gold")
         for table in lake.spark.catalog.listTables(lake.config.database(layer))
-        if not table.isTemporary
+        if not table.isTemporary and table.tableType != "VIEW"
     ]
 
 
