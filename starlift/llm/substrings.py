@@ -260,17 +260,19 @@ def without_substrings(docs: DataFrame, length: int = 200) -> DataFrame:
     that stay)."""
     doc_id, text_key = F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("text_key")
     texts = docs.select(doc_id, text_key, "text")
-    cut = texts.mapInArrow(_cut(length), _SEGMENTS)
+    # Written, as cutting costs more than reading it twice; so are the small tables by hash,
+    # so that a join's other side, which has the hot hashes, can be split.
+    cut = stage(texts.mapInArrow(_cut(length), _SEGMENTS), "cut")
     stats = cut.groupBy("mh").agg(F.count("*").alias("n"), F.min("sh").alias("least"), F.max("sh").alias("most"), F.max("inner").alias("inner"))
     shared = stats.filter("n > 1 or inner").select("mh", (F.col("inner") | (F.col("least") != F.col("most"))).alias("mixed"))
-    known = stage(cut.drop("inner").join(shared, "mh"), "segments")
+    known = stage(cut.drop("inner").join(stage(shared, "shared"), "mh"), "segments")
 
     place = F.min(F.struct("doc_id", "text_key", "start")).alias("place")
     distinct = known.groupBy("mh", "sh", "size").agg(F.count("*").alias("n"), F.max("mixed").alias("mixed"), place)
     distinct = stage(distinct, "distinct")
     mixed = distinct.filter("mixed")
     crowded = mixed.groupBy("mh").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > GROUP).select("mh", F.lit(True).alias("crowded"))
-    wanted = mixed.join(crowded, "mh", "left").select(
+    wanted = mixed.join(stage(crowded, "crowded"), "mh", "left").select(
         F.col("place.doc_id").alias("at_doc"), F.col("place.text_key").alias("at_key"),
         F.struct("mh", "sh", F.col("place.start").alias("start"), "size", F.coalesce("crowded", F.lit(False)).alias("crowded"), (F.col("n") > 1).alias("whole")).alias("one"),
     )
