@@ -108,30 +108,41 @@ def _decontaminate() -> str:
 
 def _sentences() -> str:
     spans = Spans()
-    k, longest = spans.run, spans.longest
+    k = spans.run
     key = f"trim(regexp_replace(unit, '{_SPACE_CLASS}+', ' ', 'g'))"
     span = " || chr(10) || ".join(f"keys[pos + {n}]" for n in range(k))
+    around = "coalesce(min(h) OVER (PARTITION BY row, n ORDER BY pos ROWS BETWEEN {}), 'g')"
+    before, after = around.format(f"{spans.radius} PRECEDING AND 1 PRECEDING"), around.format(f"1 FOLLOWING AND {spans.radius} FOLLOWING")
     return f"""
     WITH docs AS (
-        SELECT row_number() OVER () AS row, doc_id,
+        SELECT row_number() OVER () AS row, doc_id, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS text_key,
             regexp_extract_all(regexp_replace(coalesce(text, ''), '^{_SPACE_CLASS}+', ''), '{SENTENCE}') AS sentences
         FROM documents
     ),
-    numbered AS (SELECT row, doc_id, unnest(sentences) AS sentence, unnest(range(len(sentences))) AS n FROM docs),
-    worded AS (SELECT *, regexp_extract_all(sentence, '{WORD}') AS words FROM numbered),
-    pieces AS (SELECT row, doc_id, n, words, unnest(range(0, len(words), {longest})) AS part FROM worded),
-    cut AS (SELECT row, doc_id, n, part, array_to_string(list_slice(words, part + 1, part + {longest}), '') AS unit FROM pieces),
-    texts AS (
-        SELECT row, any_value(doc_id) AS doc_id, list(unit ORDER BY n, part) AS units, list({key} ORDER BY n, part) AS keys
-        FROM cut GROUP BY row
+    numbered AS (SELECT row, unnest(sentences) AS sentence, unnest(range(len(sentences))) AS n FROM docs),
+    worded AS MATERIALIZED (SELECT *, regexp_extract_all(sentence, '{WORD}') AS words FROM numbered),
+    words AS (
+        SELECT row, n, word, pos, substr(md5(regexp_replace(word, '{_SPACE_CLASS}+$', '')), 1, 8) AS h
+        FROM (SELECT row, n, unnest(words) AS word, unnest(range(len(words))) AS pos FROM worded WHERE len(words) > {spans.longest})
+    ),
+    marked AS (SELECT *, (h < {before} AND h <= {after})::INTEGER AS cut FROM words),
+    pieces AS (SELECT *, coalesce(sum(cut) OVER (PARTITION BY row, n ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS piece FROM marked),
+    placed AS (SELECT *, (row_number() OVER (PARTITION BY row, n, piece ORDER BY pos) - 1) // {spans.most} AS part FROM pieces),
+    cut AS (
+        SELECT row, n, 0 AS piece, 0 AS part, sentence AS unit FROM worded WHERE len(words) <= {spans.longest}
+        UNION ALL SELECT row, n, piece, part, string_agg(word, '' ORDER BY pos) FROM placed GROUP BY row, n, piece, part
+    ),
+    texts AS MATERIALIZED (
+        SELECT row, list(unit ORDER BY n, piece, part) AS units, list({key} ORDER BY n, piece, part) AS keys FROM cut GROUP BY row
     ),
     runs AS (
-        SELECT row, doc_id, pos, {span} AS span
-        FROM (SELECT row, doc_id, keys, unnest(range(1, len(keys) - {k} + 2)) AS pos FROM texts)
+        SELECT row, pos, {span} AS span
+        FROM (SELECT row, keys, unnest(range(1, len(keys) - {k} + 2)) AS pos FROM texts)
     ),
     later AS (
-        SELECT DISTINCT row, pos FROM (
-            SELECT row, pos, rank() OVER (PARTITION BY span ORDER BY doc_id NULLS LAST, pos) AS place FROM runs
+        SELECT row, pos FROM (
+            SELECT row, pos, row_number() OVER (PARTITION BY span ORDER BY doc_id NULLS LAST, pos, text_key, row) AS place
+            FROM runs JOIN docs USING (row)
         ) WHERE place > 1
     ),
     gone AS (SELECT row, list(DISTINCT place) AS places FROM (SELECT row, unnest(range(pos, pos + {k})) AS place FROM later) GROUP BY row)

@@ -1,24 +1,30 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences, and a sentence of more than ``longest`` words after every so
-many. A passage of over 50 words that begins and ends with a unit has four units or more. One that
-begins or ends inside a sentence can be missed: the cuts are counted from the sentence's start,
-so without punctuation no unit need be equal, however long it is. Every run of ``run`` consecutive units is hashed (128 bits of its words, white
-space evened out) and all runs are joined globally. Of equal runs the first stays, in order
-of doc_id and place; the units that any other one covers are removed from its document.
+A text is cut into sentences, and a sentence of more than ``longest`` words after content-defined
+words: those whose hash is smaller than that of the ``radius`` words before and not larger than
+that of the ``radius`` words after. So the cuts within a passage don't depend on where its
+sentence began, and a passage that begins and ends inside sentences has the same units between
+its outermost cuts wherever it stands. What no such word cuts is cut every ``most`` words.
+
+Every run of ``run`` consecutive units is hashed (128 bits of its words, white space evened out)
+and all runs are joined globally. Of equal runs the first stays, in order of doc_id (null ids
+last), place and digest of the text; the units that any other one covers are removed from its
+row. Three sentences of up to ``longest`` words are a span; of a passage of over 50 words all but
+some words at its edges goes, as units lie within two cuts.
 
 Counts and first places are combined before the shuffle. The join back to the places has one
 row of firsts for a hash, so a hash with very many places can be split over tasks.
 
 Defined cases: a null text counts as empty; a text of fewer than ``run`` units has no run and
-stays whole. Rows of one doc_id are one document unless ``by_row``: then, as in the SQL, every
-row loses its own later runs only, and the same runs at the same place of one doc_id are all
-first. A null doc_id comes after all others. White space before the first word is not kept. Columns
-beyond doc_id and text are not read.
+stays whole. Rows that share a doc_id, or have none, are texts of their own. Of rows that repeat
+doc_id and text one is taken as the others' first. White space before the first word is not kept.
+A task holds the words of one text at a time, however long. A doc_id that isn't a whole number
+raises. Columns beyond doc_id and text are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -26,10 +32,10 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlift.llm.common import row_key, stage
+from starlift.llm.common import stage
 
 # A sentence runs to full stops, or the like, before white space, or to the end of its line.
 SPACE = " \t\n\x0b\f\r"
@@ -39,25 +45,72 @@ _SENTENCE, _WORD = re.compile(SENTENCE), re.compile(WORD)
 
 
 class Spans(NamedTuple):
-    """run: units of a span. longest: words of a unit."""
-
-    run: int = 4
-    longest: int = 16
-
-
-def units(text: str | None, longest: int) -> list[str]:
+    """run: units of a span. longest: words of a sentence that is not cut. radius: words on
+    either side that a cutting word is compared with. most: words of a unit."""
+
+    run: int = 3
+    longest: int = 8
+    radius: int = 3
+    most: int = 16
+
+
+#: Words whose hashes are kept between texts, and a number above all hashes.
+KNOWN, ABOVE = 1 << 18, 1 << 32
+
+
+def _hash(word: str, known: dict[str, int]) -> int:
+    found = known.get(word)
+    if found is None:
+        if len(known) >= KNOWN:
+            known.clear()
+        found = known[word] = int(hashlib.md5(word.rstrip(SPACE).encode("utf-8", "replace")).hexdigest()[:8], 16)
+    return found
+
+
+def _cuts(sentences: list[list[str]], spans: Spans, known: dict[str, int]) -> list[np.ndarray]:
+    """For each sentence the places after which it is cut by content."""
+    apart = [ABOVE] * spans.radius
+    hashes = list(apart)
+    starts = []
+    for words in sentences:
+        starts.append(len(hashes))
+        hashes += [_hash(word, known) for word in words]
+        hashes += apart
+    h = np.array(hashes, np.int64)
+    end = len(h) - spans.radius
+    cut = h[spans.radius : end] < ABOVE
+    for k in range(1, spans.radius + 1):
+        cut &= (h[spans.radius : end] < h[spans.radius - k : end - k]) & (h[spans.radius : end] <= h[spans.radius + k : end + k])
+    found = [np.flatnonzero(cut[at - spans.radius : at - spans.radius + len(words)]) + 1 for at, words in zip(starts, sentences)]
+    return found
+
+
+def units(text: str | None, spans: Spans = Spans(), known: dict[str, int] | None = None) -> list[str]:
     """The pieces whose concatenation is the text without its leading white space."""
-    pieces = []
+    known = {} if known is None else known
+    pieces: list[str | None] = []
+    long: list[list[str]] = []
     for sentence in _SENTENCE.findall((text or "").lstrip(SPACE)):
-        if len(sentence) <= 2 * longest:  # so many characters can't be more words
-            pieces.append(sentence)
-            continue
-        words = _WORD.findall(sentence.lstrip(SPACE))
-        if len(words) <= longest:
+        words = _WORD.findall(sentence.lstrip(SPACE)) if len(sentence) > 2 * spans.longest else []
+        if len(words) <= spans.longest:  # so few characters can't be more words
             pieces.append(sentence)
         else:
-            pieces += ["".join(words[at : at + longest]) for at in range(0, len(words), longest)]
-    return pieces
+            pieces.append(None)
+            long.append(words)
+    if not long:
+        return pieces
+    cut = iter(zip(long, _cuts(long, spans, known)))
+    found: list[str] = []
+    for piece in pieces:
+        if piece is not None:
+            found.append(piece)
+            continue
+        words, places = next(cut)
+        begin = 0
+        for end in [*places.tolist(), len(words)]:
+            found += ["".join(words[at : min(end, at + spans.most)]) for at in range(begin, end, spans.most)]
+            begin = end
+    return found
 
 
 def _normal(unit: str) -> bytes:
@@ -66,12 +119,13 @@ def _normal(unit: str) -> bytes:
 
 def _hashed(spans: Spans):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
         for batch in batches:
             places: list[int] = []
             found = bytearray()
             owners: list[int] = []
             for row, text in enumerate(batch.column("text")):
-                keys = [_normal(unit) for unit in units(text.as_py(), spans.longest)]
+                keys = [_normal(unit) for unit in units(text.as_py(), spans, known)]
                 runs = max(0, len(keys) - spans.run + 1)
                 owners += [row] * runs
                 places += range(runs)
@@ -87,12 +141,13 @@ def _hashed(spans: Spans):
 
 def _cut(spans: Spans):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
         for batch in batches:
             kept, sizes, gones = [], [], []
-            for text, removed in zip(batch.column("text"), batch.column("removed")):
-                pieces = units(text.as_py(), spans.longest)
+            for text, removed, copy in zip(batch.column("text"), batch.column("removed"), batch.column("copy")):
+                pieces = units(text.as_py(), spans, known)
                 gone = set()
-                for place in removed.as_py() or ():
+                for place in range(len(pieces) - spans.run + 1) if copy.as_py() else removed.as_py() or ():
                     gone.update(range(place, place + spans.run))
                 kept.append("".join(piece for k, piece in enumerate(pieces) if k not in gone))
                 sizes.append(len(pieces))
@@ -103,21 +158,34 @@ def _cut(spans: Spans):
     return run
 
 
-def without_repeats(docs: DataFrame, spans: Spans = Spans(), by_row: bool = False) -> DataFrame:
-    """Per row: doc_id, kept (the text that stays), n_sentences and n_removed (units). Removals
-    are grouped by doc_id, or with ``by_row`` by doc_id and digest of the text: rows that
-    repeat both lose the same units."""
-    text_key = row_key() if by_row else F.lit(0).cast("long")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key.alias("text_key"), "text")
+def text_digest(text: str) -> Column:
+    """60 bits of the text's MD5, which order rows that share a doc_id."""
+    return F.conv(F.substring(F.md5(F.coalesce(text, F.lit(""))), 1, 15), 16, 10).cast("long")
+
+
+def without_repeats(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
+    """Per row: doc_id, kept (the text that stays), n_sentences and n_removed (units)."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest("text").alias("text_key"), "text")
     placed = stage(texts.mapInArrow(_hashed(spans), "doc_id long, text_key long, at int, high long, low long"), "spans")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "at")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "at", "text_key")
     firsts = placed.groupBy("high", "low").agg(F.min(order).alias("first"), F.count("*").alias("n"))
-    firsts = firsts.filter("n > 1").select("high", "low", F.col("first.doc_id").alias("first_doc"), F.col("first.at").alias("first_at"))
+    firsts = firsts.filter("n > 1").select("high", "low", "first")
     # Written, so that the join shuffles both sides plainly and a hot hash can be split.
     firsts = stage(firsts, "firsts")
-    later = placed.join(firsts, ["high", "low"]).filter(~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("at") == F.col("first_at"))))
-    # A document's later runs: as many as it has units at most.
-    removed = later.groupBy(F.col("doc_id").alias("removed_doc"), F.col("text_key").alias("removed_text")).agg(F.collect_set("at").alias("removed"))
-    same = texts["doc_id"].eqNullSafe(removed["removed_doc"]) & (texts["text_key"] == removed["removed_text"])
-    joined = texts.join(removed, same, "left").select("doc_id", "text", "removed")
-    return joined.mapInArrow(_cut(spans), "doc_id long, kept string, n_sentences long, n_removed long")
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("at") == F.col("first.at")) & (F.col("text_key") == F.col("first.text_key"))
+    later = placed.join(firsts, ["high", "low"]).filter(~is_first)
+    # A row's later runs: as many as it has units at most.
+    by_row = (F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text"))
+    removed = later.groupBy(*by_row).agg(F.collect_set("at").alias("removed"))
+    rows = texts.groupBy(*by_row).agg(F.count("*").alias("rows")).filter("rows > 1")
+    marks = removed.join(rows.select(F.col("of_doc").alias("_doc"), F.col("of_text").alias("_text"), "rows"), F.col("of_doc").eqNullSafe(F.col("_doc")) & (F.col("of_text") == F.col("_text")), "full")
+    marks = marks.select(F.coalesce("of_doc", "_doc").alias("of_doc"), F.coalesce("of_text", "_text").alias("of_text"), "removed", "rows")
+    marks = stage(marks, "marks")
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_text"))
+    joined = texts.join(marks, same, "left")
+    once = joined.filter("rows is null").select("doc_id", "text", "removed", F.lit(False).alias("copy"))
+    # Rows that repeat whole: one keeps what is first, all runs of the others stand in that one.
+    several = joined.filter("rows > 1").dropDuplicates(["doc_id", "text_key"])
+    several = several.select("doc_id", "text", "removed", F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("number"))
+    several = several.select("doc_id", "text", "removed", (F.col("number") > 1).alias("copy"))
+    return once.unionByName(several).mapInArrow(_cut(spans), "doc_id long, kept string, n_sentences long, n_removed long")
