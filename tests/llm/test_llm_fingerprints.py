@@ -1,4 +1,6 @@
 import hashlib
+import random
+import re
 
 import pytest
 from cases import TEXTS, changed, docs, result, sample
@@ -7,6 +9,18 @@ from pyspark.sql import functions as F
 from starlift.llm import fingerprints, queries
 
 
+def paragraphs(text):
+    """Word by word: what is between two ends of sentences, cut after words of some endings."""
+    found = set()
+    for sentence in re.split(r"(?<=[.!?])\s+|(?<=[。！？])|\n+", text, flags=re.ASCII):
+        words = re.findall(r"\S{1,64}\s*", sentence, re.ASCII)
+        while words:
+            size = next((n for n in range(12, 33) if n <= len(words) and re.search(r"[aeo]\s+$", words[n - 1], re.ASCII)), 32)
+            found.add(re.sub(r"\s+$", "", "".join(words[:size]), flags=re.ASCII))
+            words = words[size:]
+    return found
+
+
 def brute(rows, hashes):
     """n_chars, edited text's digest and likenesses; ``hashes`` orders rows of one id."""
     rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, r[0] or 0, hashes[r[1]]))
@@ -15,7 +29,7 @@ def brute(rows, hashes):
         following = rows[(k + 1) % len(rows)][1]
         half = len(text) // 2
         edited = text[: len(text) - half] + following[:half]
-        sets = [set(filter(None, t.split("\n"))) for t in (text, edited, following)]
+        sets = [paragraphs(t) for t in (text, edited, following)]
         near = [1 - len(sets[0] ^ other) / (len(sets[0]) + len(other)) if sets[0] or other else 1.0 for other in sets[1:]]
         out.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), *(round(x, 9) for x in near)))
     return sorted(out, key=repr)
@@ -40,6 +54,25 @@ def test_awkward_rows(spark, rows, wide):
         assert as_rows(fingerprints.fingerprints(docs(spark, rows))) == brute(rows, hashes(spark, rows))
 
 
+def one_line(words, seed, ends=""):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choices("abcdefgilmnorstu", k=draw.randint(2, 9))) + draw.choice(f"{ends}      ").strip() for _ in range(words))
+
+
+@pytest.mark.parametrize("ends", ["", ".!?"])
+def test_texts_of_one_line_are_alike_as_far_as_they_are_equal(spark, ends):
+    text = one_line(400, 1, ends)
+    rows = [(1, text), (2, text + "x"), (3, "Another beginning of the text, " + text), (4, one_line(400, 2, ends))]
+    near = {row["doc_id"]: row for row in fingerprints.fingerprints(docs(spark, rows)).collect()}
+    assert near[1]["near_next"] > 0.9 and near[2]["near_next"] > 0.8 and near[3]["near_next"] < 0.1
+    assert all(0.35 < near[k]["near_edited"] < 0.65 for k in (3, 4)) and near[1]["near_edited"] > 0.35
+
+
+def test_a_text_without_white_space(spark):
+    rows = [(1, "x" * 300_000), (2, "語" * 5000), (3, "".join(random.Random(1).choices("語文字日本。", k=5000)))]
+    assert as_rows(fingerprints.fingerprints(docs(spark, rows))) == brute(rows, hashes(spark, rows))
+
+
 def test_empty_table(spark):
     assert as_rows(fingerprints.fingerprints(docs(spark, []))) == []
 
