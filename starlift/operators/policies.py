@@ -73,11 +73,25 @@ def dated_or_unseen(source: DataFrame, target: DataFrame, column: str, keys: Seq
     return source.filter(F.col(column).isNotNull()).unionByName(rows_not_in(undated, target, null_safe=keys))
 
 
-def within_range(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The target's rows whose key lies between the lowest and the highest of the source:
-    no others can match. Where files are in the order of the key, the rest is not read."""
-    ends = source.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
-    return target.filter(F.col(key).between(ends["low"], ends["high"]))
+#: Ids up to which a target is asked for them one by one.
+FEW_IDS = 10_000
+
+
+def within_range(target: DataFrame, source: DataFrame, key: str, few: int = FEW_IDS) -> DataFrame:
+    """The target's rows whose key can be one of the source's: those between its lowest and its
+    highest, and if it has few, those equal to one. No others can match.
+
+    Where files are in the order of the key the range skips most of them. Few ids from all over
+    the range, as late rows have, go to the scan as they are: it looks them up in the Bloom
+    filter of each row group, and reads the groups that may hold one.
+    """
+    counted = source.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.approx_count_distinct(key).alias("n"))
+    ends = counted.first()
+    found = target.filter(F.col(key).between(ends["low"], ends["high"]))
+    if not 0 < ends["n"] <= few:
+        return found
+    ids = source.select(key).dropna().distinct()
+    return found.filter(F.col(key).isin([row[0] for row in ids.collect()]))
 
 
 def dated_snapshot(rows: DataFrame, day: date, column: str = "dt_stock") -> DataFrame:

@@ -12,6 +12,7 @@ from starlift.operators.policies import (
     unseen_pairs,
     within_range,
 )
+from starlift.operators.staging import discard, new_folder, stage
 from starlift.sources.landing import read_landing
 from starlift.sources.schemas import KEYS
 from starlift.sources.tables import Lake
@@ -33,8 +34,13 @@ def load_entity(lake: Lake, entity: str) -> None:
     elif entity in KEYS:
         lake.append_new(insert_only(source, lake.read("bronze", entity), KEYS[entity]), "bronze", entity)
     elif entity == "order_items":
-        stored = within_range(lake.read("bronze", entity), source, config.item_key[0])
-        lake.append_new(unseen_pairs(source, stored, config.item_key), "bronze", entity)
+        folder = new_folder(lake.spark, "extract")
+        try:  # parsed once, and looked at for its ids before its rows are compared
+            source = stage(source, entity, folder)
+            stored = within_range(lake.read("bronze", entity), source, config.item_key[0])
+            lake.append_new(unseen_pairs(source, stored, config.item_key), "bronze", entity)
+        finally:
+            discard(lake.spark, folder)
     elif entity == "orders":
         mark = lake.watermark("bronze", entity)
         if mark is not None and config.late_days:

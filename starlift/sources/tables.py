@@ -43,8 +43,9 @@ DATED = {
 # Types of the partition columns, which files do not tell.
 PARTITION_TYPES = {"order_month": "int", "dt_stock": "date", "date_sk": "bigint"}
 
-# Tables that increments are compared with by a range of ids; their files
-# are written in the order of the id, so that most row groups lie outside the range.
+# Tables that increments are compared with by their ids. Their files are written
+# in the order of the id, so that most row groups lie outside the range of an increment, and
+# with Bloom filters of it, so that single ids are found without reading the rest of the range.
 ORDERED = {("bronze", "order_items"): "order_id"}
 
 # Column order of a table whose partition column is not its last one.
@@ -271,6 +272,8 @@ class Lake:
         laid_out = self._laid_out(rows, layer, table).observe(seen, F.count(F.lit(1)).alias("n"))
         writer = laid_out.write.format(self.config.table_format)
         writer = writer.partitionBy(partition) if partition else writer
+        if (layer, table) in ORDERED:
+            writer = writer.options(**self._filters(ORDERED[(layer, table)]))
         if not self._by_load:
             if unless_empty and rows.isEmpty():
                 return 0
@@ -296,6 +299,12 @@ class Lake:
         self._shows(layer, table, schema=laid_out.schema)
         return n
 
+    def _filters(self, column: str) -> dict[str, str]:
+        """Options for a Bloom filter of a column in each row group or stripe."""
+        if self.config.table_format == "orc":
+            return {"orc.bloom.filter.columns": column, "orc.bloom.filter.fpp": "0.01"}
+        return {f"parquet.bloom.filter.enabled#{column}": "true", f"parquet.bloom.filter.adaptive.enabled#{column}": "true"}
+
     def _conformed(self, rows: DataFrame, layer: str, table: str) -> DataFrame:
         """``rows`` with the stored types, in the stored order."""
         stored = self.read(layer, table).schema

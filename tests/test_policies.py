@@ -3,7 +3,8 @@ from datetime import date, datetime
 import pytest
 from conftest import rows
 
-from starlift.operators import after_watermark, dated_snapshot, late_or_after, watermark
+from starlift import Lake, LakeConfig
+from starlift.operators import after_watermark, dated_snapshot, late_or_after, watermark, within_range
 
 ORDERS = "order_id long, order_date date"
 
@@ -49,3 +50,29 @@ def test_a_snapshot_is_stamped_with_the_day(spark):
     snapshot = dated_snapshot(stocks, date(2020, 2, 29))
     assert snapshot.columns == ["store_id", "product_id", "quantity", "dt_stock"]
     assert rows(snapshot) == [(1, 2, 3, date(2020, 2, 29))]
+
+
+def scanned(frame):
+    """Rows that the scan of the plan handed on, once it has run."""
+    frame.write.format("noop").mode("overwrite").save()
+    plan = frame._jdf.queryExecution().executedPlan()
+    frame._jdf.queryExecution().toRdd().count()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+@pytest.mark.parametrize("spread", [True, False])
+def test_late_ids_read_only_row_groups_that_may_hold_them(spark, tmp_path, settings, spread):
+    """Even ids in one file of many row groups; late odd ids from all over the range."""
+    settings(spark__sql__parquet__enableVectorizedReader="false", parquet__block__size="200000")
+    lake = Lake(spark, LakeConfig(root=str(tmp_path), prefix=f"bloom{spread}_".lower()))
+    rows = spark.range(0, 200_000, 1, 1).selectExpr("id * 2 as order_id", "id % 7 as product_id", "md5(string(id)) as filler")
+    lake.append(rows.hint("rebalance").sortWithinPartitions("order_id") if not spread else rows, "bronze", "order_items")
+    stored = lake.read("bronze", "order_items")
+    late = spark.createDataFrame([(20_001,), (200_001,), (399_001,)], "order_id long")
+    assert within_range(stored, late, "order_id").count() == 0
+    assert scanned(within_range(stored, late, "order_id")) == 0
+    assert scanned(within_range(stored, late, "order_id", few=0)) > 100_000  # the range alone
+    known = spark.createDataFrame([(20_000,), (200_001,)], "order_id long")
+    assert [row["order_id"] for row in within_range(stored, known, "order_id").collect()] == [20_000]
+    lake.drop()
