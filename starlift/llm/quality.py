@@ -77,7 +77,7 @@ class _Ids(dict):
         elif len(token) > 1 and token.isupper():
             found = CAPITALS
         else:
-            found = FIRST + zlib.crc32(token[:64].lower().encode("utf-8", "replace")) % (IDS - FIRST)
+            found = FIRST + zlib.crc32(token.lower().encode("utf-8", "replace")) % (IDS - FIRST)
         self[token] = found
         return found
 
