@@ -23,6 +23,7 @@ gets weight 0. Repeated rows are drawn together. Columns beyond those named are
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -127,9 +128,11 @@ def _targets(cells: DataFrame, dimension: str, given: DataFrame | None, mix: Mix
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], mix: Mix = Mix()) -> DataFrame:
     """``cells`` (the dimensions, tokens) with ``weight``: shares of a total of 1 whose margins
-    are the targets."""
+    are the targets, and ``deviation``: by how much, relative to it, the worst margin was off
+    its target in the last round. Targets that contradict each other leave a large one, which
+    is also warned of."""
     total = cells.agg(F.sum("tokens")).first()[0] or 1
-    weighed = cells.withColumn("weight", F.col("tokens") / total)
+    weighed, worst = cells.withColumn("weight", F.col("tokens") / total), 0.0
     for _ in range(mix.rounds):
         off = F.lit(0.0)
         for dimension, target in targets.items():
@@ -143,11 +146,13 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], mix: Mix = Mix()) -> D
             weighed = weighed.select(*kept, (F.col("weight") * F.col("factor")).alias("weight"), off.alias("off"))
             off = F.col("off")
         weighed = stage(weighed, "raked")
-        worst = weighed.agg(F.max("off")).first()[0]
+        worst = weighed.agg(F.max("off")).first()[0] or 0.0
         weighed = weighed.drop("off")
-        if worst is None or worst <= mix.closeness:
+        if worst <= mix.closeness:
             break
-    return weighed
+    else:
+        warnings.warn(f"raking ended after {mix.rounds} rounds with a margin off its target by {worst:.2%}", stacklevel=2)
+    return weighed.withColumn("deviation", F.lit(float(worst)))
 
 
 def calibrate(raked: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -172,7 +177,7 @@ def calibrate(raked: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, topic: str | None = None, mix: Mix = Mix()) -> tuple[DataFrame, str]:
     """``docs`` with one more column, named in the result: a struct of the cell (source, lang,
-    topic as keys), n_tokens, weight, probability and sampled. ``targets`` may hold a table
+    topic as keys), n_tokens, weight, probability, deviation and sampled. ``targets`` may hold a table
     (value, target) for each dimension."""
     described, cell = _described(docs, topic)
     tokens = F.sum(F.col(cell)["n_tokens"]).alias("tokens")
@@ -180,10 +185,10 @@ def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, topic: s
     cells = stage(cells, "cells")
     wanted = {name: _targets(cells, name, (targets or {}).get(name), mix) for name in DIMENSIONS}
     rated = stage(calibrate(rake(cells, wanted, mix), mix), "probabilities")
-    rated = rated.select(*(F.col(name).alias(f"_rated_{name}") for name in DIMENSIONS), F.struct("weight", "probability").alias(rate := fresh(described, "_rate")))
+    rated = rated.select(*(F.col(name).alias(f"_rated_{name}") for name in DIMENSIONS), F.struct("weight", "probability", "deviation").alias(rate := fresh(described, "_rate")))
     same = [F.col(cell)[name] == F.col(f"_rated_{name}") for name in DIMENSIONS]
     joined = described.join(rated, same).drop(*(f"_rated_{name}" for name in DIMENSIONS))
     drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit(mix.seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
     parts = [F.col(cell)[name].alias(name) for name in (*DIMENSIONS, "n_tokens")]
-    parts += [F.col(rate)[name].alias(name) for name in ("weight", "probability")]
+    parts += [F.col(rate)[name].alias(name) for name in ("weight", "probability", "deviation")]
     return joined.withColumn(cell, F.struct(*parts, (drawn < F.col(rate)["probability"]).alias("sampled"))).drop(rate), cell

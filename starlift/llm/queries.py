@@ -51,9 +51,10 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its cell, its weight for each token and whether it is drawn."""
+    """Every document with its cell, its weight for each token and whether it is drawn; and how
+    far raking came."""
     docs, cell = mixing.mixed(table(spark, sf_dir, "documents"))
-    names = ("n_tokens", "weight", "probability", "sampled")
+    names = ("n_tokens", "weight", "probability", "deviation", "sampled")
     keys = [mixing.shown(F.col(cell)[name]).alias(name) for name in mixing.DIMENSIONS]
     return docs.select("doc_id", *keys, *(F.col(cell)[name].alias(name) for name in names))
 

@@ -105,3 +105,40 @@ def test_query_meets_smoothed_shares(spark, sf_dir):
         assert np.allclose(by["drawn"].sum(), target / target.sum(), rtol=2e-3)
     assert (found["n_tokens"] * found["probability"]).sum() == pytest.approx(0.5 * found["n_tokens"].sum(), rel=1e-3)
     assert abs(found["n_tokens"][found["sampled"]].sum() / found["n_tokens"].sum() - 0.5) < 0.2
+
+
+def test_contradicting_targets_are_reported(spark):
+    frame = spark.createDataFrame([("=a", "=x", "=0", 60), ("=b", "=y", "=0", 40)], "source string, lang string, topic string, tokens long")
+    tables = {"source": [("=a", 0.5), ("=b", 0.5)], "lang": [("=x", 0.9), ("=y", 0.1)]}
+    tables = {name: spark.createDataFrame(rows, f"{name} string, target double") for name, rows in tables.items()}
+    with pytest.warns(UserWarning, match="off its target"):
+        found = mixing.rake(frame, tables, mixing.Mix(rounds=3)).collect()
+    assert all(row["deviation"] > 0.5 for row in found)
+    assert mixing.rake(frame, {"source": tables["source"]}).first()["deviation"] <= 1e-4
+
+
+def test_the_whole_result_equals_brute_force(spark, sf_dir):
+    """Cells, weights and probabilities of every document, from the texts up."""
+    found = queries.op7_mixing(spark, sf_dir).toPandas()
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").toPandas()
+    table["topic"] = [str(topic(text)) for text in table["text"]]
+    table["n"] = [len((text or "").encode().split()) for text in table["text"]]
+    names = [sorted(table[d].unique()) for d in mixing.DIMENSIONS]
+    tokens = np.zeros([len(n) for n in names])
+    at = [tuple(n.index(row[d]) for n, d in zip(names, mixing.DIMENSIONS)) for _, row in table.iterrows()]
+    for place, n in zip(at, table["n"]):
+        tokens[place] += n
+    margins = [tokens.sum(axis=tuple(k for k in range(3) if k != axis)) ** 0.5 for axis in range(3)]
+    weight = raked(tokens, [m / m.sum() for m in margins])
+    wanted, full, factor = 0.5 * tokens.sum(), np.zeros(tokens.shape, bool), 1.0
+    ratio = np.divide(weight, tokens, out=np.zeros_like(weight), where=tokens > 0)
+    for _ in range(100):
+        factor = (wanted - tokens[full].sum()) / weight[~full].sum()
+        full = ratio * factor >= 1
+    chance = np.minimum(1, ratio * factor)
+    by_id = found.set_index("doc_id")
+    for doc_id, place, n, *keys in zip(table["doc_id"], at, table["n"], *(table[d] for d in mixing.DIMENSIONS)):
+        row = by_id.loc[doc_id]
+        assert [row[d] for d in mixing.DIMENSIONS] == keys and row["n_tokens"] == n
+        assert row["weight"] == pytest.approx(weight[place], rel=2e-3) and row["probability"] == pytest.approx(chance[place], rel=5e-3)
+    assert (found["deviation"] <= 1e-4).all()
