@@ -30,6 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starlift.llm.common import stage
+
 # Fixed values of the formats.
 SKIPPABLE, FRAME = (0x184D2A5D).to_bytes(4, "little"), (0xFD2FB528).to_bytes(4, "little")
 VERSION = b"WARC/1.1"
@@ -50,10 +52,15 @@ def with_revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
     """page_id, url, payload, and of a revisit the page it refers to."""
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     rows = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("digest"))
-    copied = rows.filter(F.octet_length("payload") >= least).groupBy("digest")
-    copied = copied.agg(F.max("page_id").alias("original"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    long = rows.filter(F.octet_length("payload") >= least)
+    copied = long.groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # Short and empty pages, which share digests, take no part in the join, and the repeated
+    # digests are written, so that a page with very many copies can be split over tasks.
+    found = long.join(stage(copied, "copied"), "digest", "left")
     refers = F.when(F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original")), F.col("original"))
-    return rows.join(copied, "digest", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
+    found = found.select("page_id", "url", "payload", refers.alias("refers_to"))
+    short = rows.filter(F.octet_length("payload") < least)
+    return found.unionByName(short.select("page_id", "url", "payload", F.lit(None).cast(found.schema["refers_to"].dataType).alias("refers_to")))
 
 
 def _urn(page_id: int | None) -> str:

@@ -4,6 +4,7 @@ import pytest
 import zstandard
 from cases import changed, result
 from compare import compare
+from pyspark.sql import functions as F
 
 from starlift.llm import oracle, queries, warc
 
@@ -114,3 +115,17 @@ def test_short_archives_are_refused(spark):
     broken = spark.createDataFrame([("broken.warc.zst", content[:-3])], "path string, content binary")
     with pytest.raises(Exception, match="broken.warc.zst, record 398"):
         warc.read_archives(broken).collect()
+
+
+def test_short_and_empty_pages_take_no_part_in_the_join(spark, settings):
+    """A third of the pages null, a third one long page: no task gets them all."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    page = "x" * 1500
+    html = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(page)).otherwise(F.concat(F.lit(page), F.col("id").cast("string")))
+    pages = spark.range(900).select(F.col("id").alias("page_id"), F.lit("http://a.b/").alias("url"), html.alias("html"))
+    found = warc.with_revisits(pages)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Union" in plan
+    rows = found.collect()
+    assert len(rows) == 900 and sum(row["refers_to"] == 898 for row in rows) == 299
+    assert all(row["refers_to"] is None for row in rows if row["page_id"] % 3 != 1 or row["page_id"] == 898)
