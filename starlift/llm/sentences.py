@@ -54,40 +54,47 @@ class Spans(NamedTuple):
     most: int = 16
 
 
-#: Words whose hashes are kept between texts, and a number above all hashes.
-KNOWN, ABOVE = 1 << 18, 1 << 32
+#: Words whose hashes a task remembers, and a number above all hashes.
+REMEMBERED, ABOVE = 1 << 20, 1 << 32
 
 
-def _hash(word: str, known: dict[str, int]) -> int:
-    found = known.get(word)
-    if found is None:
-        if len(known) >= KNOWN:
-            known.clear()
-        found = known[word] = int(hashlib.md5(word.rstrip(SPACE).encode("utf-8", "replace")).hexdigest()[:8], 16)
-    return found
+class _Hashes(dict):
+    """Hashes of words with the white space after them, remembered as they come."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = int(hashlib.md5(word.rstrip(SPACE).encode("utf-8", "replace")).hexdigest()[:8], 16)
+        return found
 
 
-def _cuts(sentences: list[list[str]], spans: Spans, known: dict[str, int]) -> list[np.ndarray]:
+def _cuts(sentences: list[list[str]], spans: Spans, known: dict[str, int]) -> Iterator[list[int]]:
     """For each sentence the places after which it is cut by content."""
     apart = [ABOVE] * spans.radius
     hashes = list(apart)
-    starts = []
     for words in sentences:
-        starts.append(len(hashes))
-        hashes += [_hash(word, known) for word in words]
+        hashes += map(known.__getitem__, words)
         hashes += apart
     h = np.array(hashes, np.int64)
     end = len(h) - spans.radius
-    cut = h[spans.radius : end] < ABOVE
+    middle = h[spans.radius : end]
+    cut = middle < ABOVE
     for k in range(1, spans.radius + 1):
-        cut &= (h[spans.radius : end] < h[spans.radius - k : end - k]) & (h[spans.radius : end] <= h[spans.radius + k : end + k])
-    found = [np.flatnonzero(cut[at - spans.radius : at - spans.radius + len(words)]) + 1 for at, words in zip(starts, sentences)]
-    return found
+        cut &= (middle < h[spans.radius - k : end - k]) & (middle <= h[spans.radius + k : end + k])
+    places = (np.flatnonzero(cut) + 1).tolist()
+    begin = at = 0
+    for words in sentences:
+        found = []
+        while at < len(places) and places[at] <= begin + len(words):
+            found.append(places[at] - begin)
+            at += 1
+        yield found
+        begin += len(words) + spans.radius
 
 
 def units(text: str | None, spans: Spans = Spans(), known: dict[str, int] | None = None) -> list[str]:
     """The pieces whose concatenation is the text without its leading white space."""
-    known = {} if known is None else known
+    known = _Hashes() if known is None else known
     pieces: list[str | None] = []
     long: list[list[str]] = []
     for sentence in _SENTENCE.findall((text or "").lstrip(SPACE)):
@@ -99,7 +106,7 @@ def units(text: str | None, spans: Spans = Spans(), known: dict[str, int] | None
             long.append(words)
     if not long:
         return pieces
-    cut = iter(zip(long, _cuts(long, spans, known)))
+    cut = zip(long, _cuts(long, spans, known))
     found: list[str] = []
     for piece in pieces:
         if piece is not None:
@@ -107,7 +114,7 @@ def units(text: str | None, spans: Spans = Spans(), known: dict[str, int] | None
             continue
         words, places = next(cut)
         begin = 0
-        for end in [*places.tolist(), len(words)]:
+        for end in [*places, len(words)]:
             found += ["".join(words[at : min(end, at + spans.most)]) for at in range(begin, end, spans.most)]
             begin = end
     return found
@@ -119,7 +126,7 @@ def _normal(unit: str) -> bytes:
 
 def _hashed(spans: Spans):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known = _Hashes()
         for batch in batches:
             places: list[int] = []
             found = bytearray()
@@ -127,8 +134,9 @@ def _hashed(spans: Spans):
             for row, text in enumerate(batch.column("text")):
                 keys = [_normal(unit) for unit in units(text.as_py(), spans, known)]
                 runs = max(0, len(keys) - spans.run + 1)
-                owners += [row] * runs
-                places += range(runs)
+                owners += [row] * (runs + 1)
+                places += [-1 - len(keys), *range(runs)]  # a row of its own tells how many units there are
+                found += bytes(16)
                 for run_of in zip(*(keys[k:] for k in range(spans.run))):
                     found += xxhash.xxh3_128_digest(b"\n".join(run_of))
             halves = np.frombuffer(bytes(found), np.int64).reshape(-1, 2)
@@ -141,18 +149,16 @@ def _hashed(spans: Spans):
 
 def _cut(spans: Spans):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known = _Hashes()
         for batch in batches:
-            kept, sizes, gones = [], [], []
-            for text, removed, copy in zip(batch.column("text"), batch.column("removed"), batch.column("copy")):
-                pieces = units(text.as_py(), spans, known)
-                gone = set()
-                for place in range(len(pieces) - spans.run + 1) if copy.as_py() else removed.as_py() or ():
-                    gone.update(range(place, place + spans.run))
+            kept, gones = [], []
+            for text, size, removed, copy in zip(*(batch.column(name) for name in ("text", "units", "removed", "copy"))):
+                runs = range(size.as_py() - spans.run + 1) if copy.as_py() else removed.as_py() or ()
+                gone = {place + k for place in runs for k in range(spans.run)}
+                pieces = units(text.as_py(), spans, known) if gone else [(text.as_py() or "").lstrip(SPACE)]
                 kept.append("".join(piece for k, piece in enumerate(pieces) if k not in gone))
-                sizes.append(len(pieces))
                 gones.append(len(gone))
-            columns = [batch.column("doc_id"), pa.array(kept, pa.string()), pa.array(sizes, pa.int64()), pa.array(gones, pa.int64())]
+            columns = [batch.column("doc_id"), pa.array(kept, pa.string()), batch.column("units"), pa.array(gones, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "kept", "n_sentences", "n_removed"])
 
     return run
@@ -168,24 +174,25 @@ def without_repeats(docs: DataFrame, spans: Spans = Spans()) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest("text").alias("text_key"), "text")
     placed = stage(texts.mapInArrow(_hashed(spans), "doc_id long, text_key long, at int, high long, low long"), "spans")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "at", "text_key")
-    firsts = placed.groupBy("high", "low").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    runs = placed.filter("at >= 0")
+    firsts = runs.groupBy("high", "low").agg(F.min(order).alias("first"), F.count("*").alias("n"))
     firsts = firsts.filter("n > 1").select("high", "low", "first")
     # Written, so that the join shuffles both sides plainly and a hot hash can be split.
     firsts = stage(firsts, "firsts")
     is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("at") == F.col("first.at")) & (F.col("text_key") == F.col("first.text_key"))
-    later = placed.join(firsts, ["high", "low"]).filter(~is_first)
+    later = runs.join(firsts, ["high", "low"]).filter(~is_first)
     # A row's later runs: as many as it has units at most.
     by_row = (F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text"))
     removed = later.groupBy(*by_row).agg(F.collect_set("at").alias("removed"))
-    rows = texts.groupBy(*by_row).agg(F.count("*").alias("rows")).filter("rows > 1")
-    marks = removed.join(rows.select(F.col("of_doc").alias("_doc"), F.col("of_text").alias("_text"), "rows"), F.col("of_doc").eqNullSafe(F.col("_doc")) & (F.col("of_text") == F.col("_text")), "full")
-    marks = marks.select(F.coalesce("of_doc", "_doc").alias("of_doc"), F.coalesce("of_text", "_text").alias("of_text"), "removed", "rows")
-    marks = stage(marks, "marks")
+    sizes = placed.filter("at < 0").groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"), F.max(-1 - F.col("at")).cast("long").alias("units"))
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_text"))
-    joined = texts.join(marks, same, "left")
-    once = joined.filter("rows is null").select("doc_id", "text", "removed", F.lit(False).alias("copy"))
+    marks = sizes.join(removed, same, "left").select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text"), "removed", "rows", "units")
+    # Written, so that a row that is repeated very often can be split over tasks.
+    marks = stage(marks, "marks")
+    once = texts.join(marks.filter("rows = 1"), same).select("doc_id", "text", "units", "removed", F.lit(False).alias("copy"))
     # Rows that repeat whole: one keeps what is first, all runs of the others stand in that one.
-    several = joined.filter("rows > 1").dropDuplicates(["doc_id", "text_key"])
-    several = several.select("doc_id", "text", "removed", F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("number"))
-    several = several.select("doc_id", "text", "removed", (F.col("number") > 1).alias("copy"))
+    # They are few, or one text often, so their marks are a small table of their own.
+    several = texts.join(stage(marks.filter("rows > 1"), "copies"), same).dropDuplicates(["doc_id", "text_key"])
+    several = several.select("doc_id", "text", "units", "removed", F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("number"))
+    several = several.select("doc_id", "text", "units", "removed", (F.col("number") > 1).alias("copy"))
     return once.unionByName(several).mapInArrow(_cut(spans), "doc_id long, kept string, n_sentences long, n_removed long")
