@@ -1,11 +1,11 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A paragraph is a sentence, or a line without an end of one. Where it has more than about twelve
-words it is several: one ends at the first word after the eleventh that ends in one of three
-letters, so that after a change within a sentence the paragraphs soon are the old ones again, and
-after 32 words at the latest; a word of more than 64 letters counts as several. So a paragraph has
-at most about 2,000 characters, and a text of one line shares with its edited form what it has in
-common with it. A paragraph's digest is a 64-bit hash of it, without white space around it. A sketch has three tables
+A paragraph is a line, or a part of one: within a line it ends at the first word after the 31st
+that ends in one of three letters, so that after a change within a line the paragraphs soon are
+the old ones again, and after 96 words at the latest; a word of more than 64 letters counts as
+several. So a paragraph has about 6,000 characters at most, and a text of one line shares with
+its edited form what it has in common with it, if it has more than a paragraph or two. A
+paragraph's digest is a 64-bit hash of it, without white space at its end. A sketch has three tables
 of ``SLOTS`` cells. Every distinct digest is added to one cell of each table: a cell holds the
 number of its digests, their exclusive or, and that of their check hashes. Subtracting the
 sketches of two versions leaves the digests that differ. A cell with a single one (count 1 or
@@ -42,14 +42,13 @@ EACH, RANGE = 8, 2048
 _CELL = "struct<n:int,key:bigint,check:bigint>"
 
 
-# What ends a sentence, and the words of a paragraph within one.
-SENTENCE_END = r"(?<=[.!?])\s+|(?<=[。！？])|\n+"
-PARAGRAPH = r"(?:\S{1,64}+\s*+){11,31}?\S{0,63}[aeo](?=\s)|(?:\S{1,64}+\s*+){1,32}"
+# The words of a paragraph within a line.
+PARAGRAPH = r"(?:\S{1,64}+\s*+){31,95}?\S{0,63}[aeo](?=\s)|(?:\S{1,64}+\s*+){1,96}"
 
 
 def digests(text: Column) -> Column:
     """The distinct digests of a text's paragraphs."""
-    pieces = F.transform(F.split(text, SENTENCE_END), lambda line: F.regexp_extract_all(line, F.lit(PARAGRAPH), F.lit(0)))
+    pieces = F.transform(F.split(text, "\n"), lambda line: F.regexp_extract_all(line, F.lit(PARAGRAPH), F.lit(0)))
     return F.array_distinct(F.transform(F.flatten(pieces), lambda piece: F.xxhash64(F.regexp_replace(piece, r"\s+$", ""))))
 
 
