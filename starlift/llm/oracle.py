@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from starlift.llm.sentences import SENTENCE, WORD, Spans
-from starlift.llm.url_filter import RULES, STRONGEST, WEAKEST, Filter
+from starlift.llm.url_filter import ADDRESS, DEVIATIONS, FALL, RULES, STEPS, STRONGEST, SUFFIX, WEAKEST, Filter
 from starlift.llm.vector_codes import Quantizer
 
 _SPACE_CLASS = r"[ \t\n\x0b\f\r]"
@@ -33,24 +33,37 @@ def _url_filter() -> str:
         return f"""SELECT CASE WHEN coalesce({room}, 0) = 0 THEN {WEAKEST} WHEN {excess} <= 0 THEN {STRONGEST}
             ELSE least({STRONGEST}, greatest({WEAKEST}, {room} / {excess} - 1)) END AS s FROM {level} WHERE n > 0"""
 
+    def area(low: str, high: str) -> str:
+        # Simpson's rule over the log odds u of the beta density.
+        u, step = f"({low} + ({high} - {low}) / {STEPS} * k)", f"(({high} - {low}) / {STEPS})"
+        height = "((a + b) * (least({0}, 0) - ln(1 + exp(-abs({0})))) - b * {0})"
+        times = f"CASE WHEN k IN (0, {STEPS}) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END"
+        return f"{step} * list_sum([{times} * exp({height.format(u)} - {height.format('mode')}) for k in range({STEPS + 1})])"
+
     return f"""
-    WITH parts AS (
+    WITH urls AS (
         SELECT page_id, url,
             coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
             coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
         FROM pages
     ),
+    parts AS (SELECT *, regexp_replace(regexp_replace(host, '(?s)^.*@', ''), '\\.?(?::[0-9]*)?\\z', '') AS name FROM urls),
     worth AS (SELECT doc_id, avg(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
     outcomes AS (
-        SELECT host, CASE WHEN quality < 0.5 THEN 1.0 ELSE 0.0 END AS bad
+        SELECT name, CASE WHEN quality < 0.5 THEN 1.0 ELSE 0.0 END AS bad
         FROM parts JOIN worth ON try_cast(nullif(regexp_extract(path, '/([0-9]{{1,18}})', 1), '') AS BIGINT) = doc_id
     ),
+    counted AS (
+        SELECT name, count(o.bad)::DOUBLE AS n, coalesce(sum(o.bad), 0.0)::DOUBLE AS bad,
+            regexp_matches(name, '{ADDRESS}') AS address, regexp_extract(name, '{SUFFIX}', 1) AS ending
+        FROM (SELECT DISTINCT name FROM parts) h LEFT JOIN outcomes o USING (name) GROUP BY name
+    ),
     hosts AS (
-        SELECT host, count(o.bad)::DOUBLE AS n, coalesce(sum(o.bad), 0.0)::DOUBLE AS bad,
-            string_split(host, '.')[-1] AS suffix,
-            array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain
-        FROM (SELECT DISTINCT host FROM parts) h LEFT JOIN outcomes o USING (host) GROUP BY host
+        SELECT name, n, bad, CASE WHEN address THEN '.' ELSE ending END AS suffix,
+            CASE WHEN address OR name = ending THEN name
+                ELSE string_split(substr(name, 1, length(name) - length(ending) - 1), '.')[-1] || '.' || ending END AS domain
+        FROM counted
     ),
     corpus AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mean FROM hosts),
     suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(mean) AS mean FROM hosts, corpus GROUP BY suffix),
@@ -61,12 +74,15 @@ def _url_filter() -> str:
     ),
     s2 AS ({strength("domains", "mean")}),
     rated AS (
-        SELECT h.host, h.n, h.bad, (d.bad + s * d.mean) / (d.n + s) AS mean
+        SELECT h.name, h.n, h.bad, (d.bad + s * d.mean) / (d.n + s) AS mean
         FROM hosts h JOIN domains d USING (suffix, domain), s2
     ),
     s3 AS ({strength("rated", "mean")}),
-    posterior AS (SELECT host, (bad + s * mean) / (n + s) AS rate, n + s AS total FROM rated, s3),
-    bounds AS (SELECT host, rate - {setting.z} * sqrt(rate * (1 - rate) / (total + 1)) AS bound FROM posterior),
+    posterior AS (SELECT name, bad + s * mean AS a, n - bad + s * (1 - mean) AS b FROM rated, s3),
+    peaks AS (SELECT *, ln(a / b) AS mode, sqrt((a + b) / (a * b)) AS deviation FROM posterior),
+    ends AS (SELECT *, mode - {DEVIATIONS} * deviation - {FALL} / a AS low, mode + {DEVIATIONS} * deviation + {FALL} / b AS high FROM peaks),
+    middles AS (SELECT *, least(high, greatest(low, ln({setting.max_bad} / (1 - {setting.max_bad})))) AS middle FROM ends),
+    areas AS (SELECT name, {area("low", "middle")} AS below, {area("middle", "high")} AS above FROM middles),
     rules(rule, rule_host, rule_path, decision) AS (VALUES {rules}),
     fits AS (
         SELECT host, path, max_by(rule, length(rule)) AS rule, max_by(decision, length(rule)) AS decision
@@ -75,8 +91,8 @@ def _url_filter() -> str:
         GROUP BY host, path
     )
     SELECT page_id, p.host, p.path, rule,
-        coalesce(decision, CASE WHEN bound > {setting.max_bad} THEN 'block' ELSE 'allow' END) AS verdict
-    FROM parts p JOIN bounds b ON p.host = b.host LEFT JOIN fits f ON p.host = f.host AND p.path = f.path"""
+        coalesce(decision, CASE WHEN below / (below + above) < {setting.doubt} THEN 'block' ELSE 'allow' END) AS verdict
+    FROM parts p JOIN areas b ON p.name = b.name LEFT JOIN fits f ON p.host = f.host AND p.path = f.path"""
 
 
 def _decontaminate() -> str:

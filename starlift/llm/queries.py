@@ -25,9 +25,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged by the rules, else by its host's reputation."""
-    pages = table(spark, sf_dir, "pages")
-    outcomes = url_filter.labelled_pages(pages, table(spark, sf_dir, "labels"))
-    return url_filter.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+    parts = url_filter.taken_apart(table(spark, sf_dir, "pages"))
+    outcomes = url_filter.labelled_pages(parts, table(spark, sf_dir, "labels"))
+    return url_filter.judge(parts, outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

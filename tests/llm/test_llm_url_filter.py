@@ -1,4 +1,5 @@
 import math
+from fractions import Fraction
 
 import pytest
 from cases import result
@@ -29,7 +30,11 @@ URLS = [
 
 
 def pages(spark, rows=URLS):
-    return spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "1 as host", "2 as path", "3 as n", "4 as bad")
+    return spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "1 as host", "2 as path", "3 as n", "4 as bad", "5 as name")
+
+
+def judge(spark, rows, outcomes):
+    return url_filter.judge(url_filter.taken_apart(pages(spark, rows)), outcomes)
 
 
 def split(url):
@@ -52,17 +57,17 @@ def rule(host, path):
 
 
 def test_hosts_paths_and_rules(spark):
-    found = url_filter.judge(pages(spark), spark.createDataFrame([], "page_id long, bad int"))
+    found = judge(spark, URLS, spark.createDataFrame([], "page_id long, bad int"))
     want = []
     for page_id, url in URLS:
         host, path = split(url)
         text, verdict = rule(host, path)
-        want.append((page_id, host, path, text, verdict or ("block" if 0.5 - 1.645 * math.sqrt(0.25 / 3) > 0.15 else "allow")))
-    assert [tuple(r[:5]) for r in result(found)] and sorted((tuple(r[:5]) for r in result(found)), key=repr) == sorted(want, key=repr)
+        want.append((page_id, host, path, text, verdict or "allow"))
+    assert sorted((tuple(r[:5]) for r in result(found)), key=repr) == sorted(want, key=repr)
 
 
 def test_empty_table(spark):
-    assert result(url_filter.judge(pages(spark, []), spark.createDataFrame([], "page_id long, bad int"))) == []
+    assert result(judge(spark, [], spark.createDataFrame([], "page_id long, bad int"))) == []
 
 
 def brute(counts):
@@ -103,18 +108,64 @@ def brute(counts):
     ],
 )
 def test_reputations(spark, counts):
-    found = url_filter.reputations(spark.createDataFrame(counts, "host string, n long, bad long"))
+    found = url_filter.reputations(spark.createDataFrame(counts, "name string, n long, bad long"))
     want, s = brute(counts)
     for row in found.collect():
-        mean = want[row["host"]]
-        assert row["bad_rate"] == pytest.approx(mean)
-        assert row["bound"] == pytest.approx(max(0, mean - 1.645 * math.sqrt(mean * (1 - mean) / (row["n"] + s + 1))))
+        assert row["bad_rate"] == pytest.approx(want[row["name"]])
+        assert row["a"] + row["b"] == pytest.approx(row["n"] + s)
+
+
+def test_share_of_a_beta_distribution(spark):
+    # For whole a and b: at least a of a + b - 1 draws succeed at the given rate.
+    cases = [(a, b) for a in (1, 2, 3, 10, 60, 900) for b in (1, 2, 5, 40, 700)]
+    found = spark.createDataFrame([(float(a), float(b)) for a, b in cases], "a double, b double")
+    for a, b, got in found.select("a", "b", url_filter.share_up_to(0.15, F.col("a"), F.col("b"))).collect():
+        n, k = int(a + b) - 1, int(a)
+        want = math.fsum(math.comb(n, j) * Fraction(3, 20) ** j * Fraction(17, 20) ** (n - j) for j in range(k, n + 1))
+        assert got == pytest.approx(float(want), abs=1e-6)
+
+
+def test_share_at_the_ends(spark):
+    cases = [(1e-3, 2.0, 1.0), (2.0, 1e-6, 0.0), (1e9, 1e9, 0.0), (1.0, 1e9, 1.0), (1e9, 1.0, 0.0), (0.02, 1.98, 0.97)]
+    found = spark.createDataFrame(cases, "a double, b double, want double")
+    for row in found.withColumn("got", url_filter.share_up_to(0.15, F.col("a"), F.col("b"))).collect():
+        assert row["got"] == pytest.approx(row["want"], abs=0.05)
+
+
+@pytest.mark.parametrize(
+    "host, suffix, domain",
+    [
+        ("a.b.co.uk", "co.uk", "b.co.uk"),
+        ("b.co.uk:8080", "co.uk", "b.co.uk"),
+        ("co.uk", "co.uk", "co.uk"),
+        ("www.example.org.", "org", "example.org"),
+        ("user:word@www.example.com:80", "com", "example.com"),
+        ("xco.uk", "uk", "xco.uk"),
+        ("www.xco.uk", "uk", "xco.uk"),
+        ("localhost", "localhost", "localhost"),
+        ("10.1.2.3:99", "10.1.2.3", "10.1.2.3"),
+        ("[::1]:80", "[::1]", "[::1]"),
+        ("", "", ""),
+        ("a.com\n", "com\n", "a.com\n"),
+    ],
+)
+def test_registered_domains(spark, host, suffix, domain):
+    name = url_filter.name_of(F.lit(host))
+    found = spark.range(1).select(name.alias("n")).select(url_filter.suffix_of(F.col("n")).alias("s"), "n").select("s", url_filter.domain_of(F.col("n"), F.col("s")))
+    assert tuple(found.first()) == (suffix, domain)
+
+
+def test_ports_share_a_reputation(spark):
+    rows = [(k, f"http://bad.co.uk:{k % 3}/p") for k in range(60)] + [(k, f"http://good{k % 30}.co.uk/p") for k in range(100, 700)] + [(999, "http://u@bad.co.uk/p")]
+    outcomes = spark.range(0, 700).select(F.col("id").alias("page_id"), F.when(F.col("id") < 55, 1).otherwise(0).alias("bad"))
+    found = {r["host"]: r["verdict"] for r in judge(spark, rows, outcomes).collect()}
+    assert {host for host, verdict in found.items() if verdict == "block"} == {"bad.co.uk:0", "bad.co.uk:1", "bad.co.uk:2", "u@bad.co.uk"}
 
 
 def test_a_bad_host_is_blocked_and_a_little_seen_one_is_not(spark):
     rows = [(k, "http://bad.x.net/p") for k in range(60)] + [(k, f"http://h{k % 30}.net/p") for k in range(100, 700)] + [(999, "http://new.net/p")]
     outcomes = spark.range(0, 1000).select(F.col("id").alias("page_id"), F.when(F.col("id") < 55, 1).otherwise(0).alias("bad")).filter("page_id <> 999")
-    found = {(r["host"], r["verdict"]) for r in url_filter.judge(pages(spark, rows), outcomes).collect()}
+    found = {(r["host"], r["verdict"]) for r in judge(spark, rows, outcomes).collect()}
     assert ("bad.x.net", "block") in found and ("new.net", "allow") in found and len(found) == 32
 
 
