@@ -8,16 +8,21 @@ written as a table: one row for each block, words and postings as arrays.
 
 A search takes the test items' windows to every block. A window whose words all occur there
 starts from the postings of its rarest word, less that word's offset, and is intersected with
-the other words' lists, rarest first. With ``slop`` a word may also stand that many places
-off; windows found only so are counted as near. Nothing is shuffled but the findings.
+the other words' lists, rarest first; what the two rarest words of a window leave is shared by
+the windows that hold both. With ``slop`` a window also matches nearly: from some place on,
+every word stands within that many places of where it ought to. Nothing is shuffled but the
+findings.
 
-The items are sent to the blocks in parts of at most ``part_words`` words (a longer single
-item makes a part by itself), so what is broadcast is bounded however many items there are.
+The items are cut into parts of at most ``part_words`` words by Spark and written as a table.
+A part is fetched, broadcast, searched for and dropped before the next one, so what the driver
+and the executors hold is bounded however many items there are and however long one is. Each
+part reads the index once.
 
 Defined cases: a null or empty text has no words and no findings. Items without words are
 passed over; items with the same id count once, and a null id is listed as an empty string.
-Repeated documents are searched each. An empty benchmark leaves every document clean. Columns
-beyond doc_id and text, and item_id and text, are not read.
+Repeated documents are searched each. An empty benchmark leaves every document clean. A very
+long text makes a block of its own, which one task holds. Columns beyond doc_id and text, and
+item_id and text, are not read.
 """
 
 from __future__ import annotations
@@ -45,7 +50,8 @@ _INDEX = (
     "block long, terms array<string>, counts array<int>, places array<int>, "
     "doc_ids array<long>, text_keys array<long>, starts array<int>, lengths array<int>"
 )
-_FOUND = "block long, at int, runs array<struct<a:int,b:int>>, items array<string>, n_near long, near_items array<string>"
+_FOUND = "block long, at int, runs array<struct<a:int,b:int>>, items array<string>, near_items array<string>"
+_PART = "part long, names array<string>, words array<binary>, ids array<int>, lengths array<int>"
 
 
 class Search(NamedTuple):
@@ -131,22 +137,21 @@ def build_index(docs: DataFrame, slop: int = 0) -> DataFrame:
 
 
 class _Part:
-    """Windows of some items, over a vocabulary of their own."""
-
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
-        vocabulary: dict[bytes, int] = {}
-        rows, lengths, owners = [], [], []
-        self.items = [name for name, _ in items]
-        for owner, (_, words) in enumerate(items):
-            ids = [vocabulary.setdefault(word, len(vocabulary)) for word in words]
-            size = min(window, len(ids))
-            for at in range(len(ids) - size + 1):
-                rows.append(ids[at : at + size] + [-1] * (window - size))
-                lengths.append(size)
-                owners.append(owner)
-        self.words = list(vocabulary)
-        self.windows = np.array(rows, np.int64).reshape(-1, window)
-        self.lengths, self.owners = np.array(lengths, np.int64), np.array(owners, np.int64)
+    """Windows of some items, over a vocabulary of their own. ``ids`` are the items' words as
+    places in the vocabulary, one item after the other."""
+
+    def __init__(self, names: list[str], words: list[bytes], ids: list[int], lengths: list[int], window: int):
+        self.items, self.words = names, words
+        sizes = np.array(lengths, np.int64)
+        begins = np.cumsum(sizes) - sizes
+        short = np.minimum(sizes, window)
+        each = sizes - short + 1
+        self.owners = np.repeat(np.arange(len(sizes)), each)
+        self.lengths = short[self.owners]
+        starts = begins[self.owners] + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        offsets = np.arange(window)
+        filled = np.append(np.array(ids, np.int64), np.full(window, -1))
+        self.windows = np.where(offsets < self.lengths[:, None], filled[starts[:, None] + offsets], -1)
 
 
 def _nearest(sorted_places: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -180,31 +185,49 @@ def _search(part_of, slop: int):
                 lists[word] = np.cumsum(steps[ends[at] - counts[at] : ends[at]])
             return lists[word]
 
+        pairs: dict[tuple, np.ndarray] = {}
+
+        def together(first: int, second: int, apart: int) -> np.ndarray:
+            """Places of the first word with the second so far on, give or take a slop for each."""
+            if (first, second, apart) not in pairs:
+                at = postings(first)
+                pairs[first, second, apart] = at[_nearest(postings(second), at + apart) <= 2 * slop]
+            return pairs[first, second, apart]
+
         alive = np.flatnonzero((often[part.windows] > 0).all(axis=1))
         ranked = np.argsort(often[part.windows[alive]], axis=1, kind="stable")
         starts = row["starts"].values.to_numpy(zero_copy_only=False).astype(np.int64)
         places, sizes, owners, near_at, near_owners = [], [], [], [], []
-        for window, offsets in zip(alive, ranked):
+        for window, offsets, words in zip(alive.tolist(), ranked.tolist(), part.windows[alive].tolist()):
             size = int(part.lengths[window])
-            offsets = offsets[:size]
-            words = part.windows[window]
-            begin = postings(words[offsets[0]]) - offsets[0]
-            off = np.zeros(len(begin), np.int64)
-            for offset in offsets[1:]:
-                if not len(begin):
+            rarest = offsets[0]
+            if size == 1:
+                begin = postings(words[0])
+            else:
+                begin = together(words[rarest], words[offsets[1]], offsets[1] - rarest) - rarest
+            if not len(begin):
+                continue
+            exact = begin
+            for offset in offsets[1:size]:
+                exact = exact[_nearest(postings(words[offset]), exact + offset) == 0]
+                if not len(exact):
                     break
-                apart = _nearest(postings(words[offset]), begin + offset)
-                kept = apart <= slop
-                begin, off = begin[kept], np.maximum(off[kept], apart[kept])
-            exact = begin[off == 0]
             if len(exact):
                 places.append(exact)
                 sizes.append(np.full(len(exact), size))
                 owners.append(np.full(len(exact), part.owners[window]))
-            if len(exact) < len(begin):
+            if slop:
                 # By the rarest word's own place: the first one's could lie before the document.
-                near_at.append(begin[off > 0] + offsets[0])
-                near_owners.append(np.full(len(near_at[-1]), part.owners[window]))
+                own = np.repeat(begin + rarest, 2 * slop + 1)
+                begin = (begin[:, None] + np.arange(-slop, slop + 1)).ravel()
+                for offset in offsets[1:size]:
+                    kept = _nearest(postings(words[offset]), begin + offset) <= slop
+                    begin, own = begin[kept], own[kept]
+                    if not len(begin):
+                        break
+                if len(begin):
+                    near_at.append(own)
+                    near_owners.append(np.full(len(own), part.owners[window]))
         if not places and not near_at:
             return
         none = np.zeros(0, np.int64)
@@ -212,19 +235,18 @@ def _search(part_of, slop: int):
         doc = np.searchsorted(starts, place, side="right") - 1
         near_place, near_owner = (np.concatenate(x) if x else none for x in (near_at, near_owners))
         near_doc = np.searchsorted(starts, near_place, side="right") - 1
-        near = np.bincount(near_doc, minlength=len(starts))
         order = np.argsort(near_doc, kind="stable")
         near_doc, near_owner = near_doc[order], near_owner[order]
         order = np.argsort(doc, kind="stable")
         doc, place, size, owner = doc[order], place[order], size[order], owner[order]
         out = []
-        for d in np.union1d(doc, np.flatnonzero(near)):
+        for d in np.union1d(doc, near_doc):
             a, b = np.searchsorted(doc, [d, d + 1])
             names = [part.items[o] for o in np.unique(owner[a:b])]
             runs = _merged(place[a:b] - starts[d], size[a:b])
             a, b = np.searchsorted(near_doc, [d, d + 1])
             near_names = [part.items[o] for o in np.unique(near_owner[a:b])]
-            out.append((row["block"].as_py(), int(d), runs, names, int(near[d]), near_names))
+            out.append((row["block"].as_py(), int(d), runs, names, near_names))
         yield from _batches(out)
 
     return run
@@ -247,7 +269,6 @@ _FOUND_ARROW = pa.schema(
         ("at", pa.int32()),
         ("runs", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
         ("items", pa.list_(pa.string())),
-        ("n_near", pa.int64()),
         ("near_items", pa.list_(pa.string())),
     ]
 )
@@ -259,32 +280,57 @@ def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, schema=_FOUND_ARROW)
 
 
-def _parts(benchmark: DataFrame, search: Search) -> Iterator[_Part]:
-    """The items in parts of bounded size, read one at a time."""
-    items: list[tuple[str, list[bytes]]] = []
-    total = 0
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
-    for row in rows.toLocalIterator():
-        words = words_of(row["text"])
-        if not words:
-            continue
-        if items and total + len(words) > search.part_words:
-            yield _Part(items, search.window)
-            items, total = [], 0
-        items.append((row["item"], words))
-        total += len(words)
-    if items:
-        yield _Part(items, search.window)
+def _cut(search: Search):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        names, lengths, ids, vocabulary = [], [], [], {}
+
+        def row() -> pa.RecordBatch:
+            values = [pa.array(names, pa.string()), pa.array(list(vocabulary), pa.binary()), pa.array(ids, pa.int32()), pa.array(lengths, pa.int32())]
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *map(_one, values)], ["part", "names", "words", "ids", "lengths"])
+
+        for batch in batches:
+            for name, text in zip(batch.column("item"), batch.column("text")):
+                words = words_of(text.as_py())
+                # Pieces of a long item share all words of a window but one.
+                for start in range(0, max(1, len(words) - search.window + 1) if words else 0, search.part_words - search.window + 1):
+                    piece = words[start : start + search.part_words]
+                    if ids and len(ids) + len(piece) > search.part_words:
+                        yield row()
+                        number, names, lengths, ids, vocabulary = number + 1, [], [], [], {}
+                    names.append(name.as_py())
+                    lengths.append(len(piece))
+                    ids += [vocabulary.setdefault(word, len(vocabulary)) for word in piece]
+        if ids:
+            yield row()
+
+    return run
+
+
+def cut_items(benchmark: DataFrame, search: Search = Search()) -> DataFrame:
+    """The items' words in parts of bounded size, as a written table with a row for each."""
+    if search.part_words < search.window:
+        raise ValueError(f"a part of {search.part_words} words cannot hold a window of {search.window}")
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    # A word takes two characters at least, with what parts it from the next.
+    total = benchmark.agg(F.sum(F.char_length("text")).alias("total")).first()["total"] or 0
+    items = items.repartition(1 + total // (2 * search.part_words))
+    return stage(items.mapInArrow(_cut(search), _PART), "items")
 
 
 def find_phrases(index: DataFrame, benchmark: DataFrame, search: Search = Search()) -> DataFrame:
     """Per document with a finding: block, at (its place in the block), runs (words a to b
-    that windows cover), items (their ids), n_near (windows found only with slop), near_items."""
+    that windows cover), items (their ids), near_items (ids of items of which a window matches
+    within the slop; those that match exactly too are among them if there is a slop)."""
     spark = index.sparkSession
+    parts = cut_items(benchmark, search)
     found = []
-    for part in _parts(benchmark, search):
-        run = _search(spark.sparkContext.broadcast(part), search.slop)
-        found.append(index.select("block", "terms", "counts", "places", "starts").mapInArrow(run, _FOUND))
+    for number in parts.select("part").toLocalIterator():
+        row = parts.filter(F.col("part") == number["part"]).first()
+        sent = spark.sparkContext.broadcast(_Part(*(row[name] for name in ("names", "words", "ids", "lengths")), search.window))
+        met = index.select("block", "terms", "counts", "places", "starts").mapInArrow(_search(sent, search.slop), _FOUND)
+        found.append(stage(met, "findings"))
+        sent.unpersist()
     if not found:
         return spark.createDataFrame([], _FOUND)
     if len(found) == 1:
@@ -292,17 +338,12 @@ def find_phrases(index: DataFrame, benchmark: DataFrame, search: Search = Search
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)
-    return whole.groupBy("block", "at").agg(
-        F.flatten(F.collect_list("runs")).alias("runs"),
-        F.flatten(F.collect_list("items")).alias("items"),
-        F.sum("n_near").alias("n_near"),
-        F.flatten(F.collect_list("near_items")).alias("near_items"),
-    )
+    return whole.groupBy("block", "at").agg(*(F.flatten(F.collect_list(name)).alias(name) for name in ("runs", "items", "near_items")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, search: Search = Search()) -> DataFrame:
     """Per document: doc_id, text_key, n_words, n_hit, n_items, items (sorted), n_near,
-    near_items (sorted)."""
+    near_items (sorted): the items that only match nearly."""
     index = build_index(docs, search.slop)
     one = F.explode(F.arrays_zip("doc_ids", "text_keys", "lengths", F.sequence(F.lit(0), F.size("doc_ids") - 1).alias("at")))
     rows = index.select("block", one.alias("d")).select(
@@ -321,10 +362,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, search: Search = Search
         ),
         lambda state: state["hit"].cast("long"),
     )
-    items, near_items = (F.array_sort(F.array_distinct(F.coalesce(name, F.array().cast("array<string>")))) for name in ("items", "near_items"))
+    named = {name: F.coalesce(name, F.array().cast("array<string>")) for name in ("items", "near_items")}
+    items = F.array_sort(F.array_distinct(named["items"]))
+    near_items = F.array_sort(F.array_except(named["near_items"], named["items"]))
     return joined.select(
         "doc_id", F.col("text_keys").alias("text_key"), "n_words", hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
-        items.alias("items"), F.coalesce("n_near", F.lit(0)).alias("n_near"), near_items.alias("near_items"),
+        items.alias("items"), F.size(near_items).cast("long").alias("n_near"), near_items.alias("near_items"),
     )
 
 

@@ -100,15 +100,15 @@ def _decontaminate() -> str:
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
     phrase = "array_to_string(list_slice(words, pos, pos + size - 1), ' ')"
     return f"""
-    WITH items AS (
-        SELECT coalesce(item_id::VARCHAR, '') AS item, words, least(10, len(words)) AS size
+    WITH items AS MATERIALIZED (
+        SELECT row_number() OVER () AS entry, coalesce(item_id::VARCHAR, '') AS item, words, least(10, len(words)) AS size
         FROM (SELECT item_id, {words} AS words FROM benchmark) WHERE len(words) > 0
     ),
     windows AS (
         SELECT DISTINCT item, size, {phrase} AS phrase
         FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS pos FROM items)
     ),
-    docs AS (SELECT row_number() OVER () AS row, doc_id, {words} AS words FROM documents),
+    docs AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, {words} AS words FROM documents),
     sizes AS (SELECT DISTINCT size FROM windows),
     starts AS (
         SELECT row, size, pos, {phrase} AS phrase
@@ -116,10 +116,23 @@ def _decontaminate() -> str:
     ),
     met AS (SELECT row, item, pos, s.size FROM starts s JOIN windows w ON s.size = w.size AND s.phrase = w.phrase),
     hit AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(pos, pos + size)) AS place FROM met) GROUP BY row),
-    named AS (SELECT row, list_sort(list(DISTINCT item)) AS items FROM met GROUP BY row)
+    named AS (SELECT row, list_sort(list(DISTINCT item)) AS items FROM met GROUP BY row),
+    places AS (SELECT row, unnest(words) AS word, unnest(range(len(words))) AS pos FROM docs),
+    terms AS (SELECT entry, size, unnest(words) AS word, unnest(range(len(words))) AS n FROM items),
+    cells AS (
+        SELECT DISTINCT row, entry, size, n, pos - n + off AS line
+        FROM places JOIN terms USING (word), (VALUES (-1), (0), (1)) o(off)
+    ),
+    dense AS (SELECT *, count(*) OVER (PARTITION BY row, entry, line ORDER BY n RANGE BETWEEN CURRENT ROW AND 9 FOLLOWING) AS met FROM cells),
+    near AS (
+        SELECT row, list_sort(list(DISTINCT item)) AS near_items
+        FROM (SELECT DISTINCT row, entry FROM dense WHERE met >= size) JOIN items USING (entry)
+        WHERE (row, item) NOT IN (SELECT row, item FROM met) GROUP BY row
+    )
     SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
-        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-    FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)"""
+        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+        coalesce(len(near_items), 0)::BIGINT AS n_near, sha256(coalesce(array_to_string(near_items, ','), '')) AS near_sha256
+    FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row) LEFT JOIN near USING (row)"""
 
 
 def _sentences() -> str:

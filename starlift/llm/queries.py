@@ -66,10 +66,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the words and items of the benchmark found in it."""
-    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Every document with the words and items of the benchmark found in it, and the items found
+    only with words one place off."""
+    search = decontaminate.Search(slop=1)
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), search)
     return found.select(
-        "doc_id", "n_words", "n_hit", "n_items", decontaminate.items_digest("items").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+        "doc_id", "n_words", "n_hit", "n_items", decontaminate.items_digest("items").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near", decontaminate.items_digest("near_items").alias("near_sha256"),
     )
 
 

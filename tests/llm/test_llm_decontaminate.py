@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import duckdb
 import pytest
 from cases import PROSE, TEXTS, changed, docs, result
 from compare import compare
@@ -40,6 +41,26 @@ def brute(rows, items):
     return sorted(out, key=repr)
 
 
+def brute_near(rows, items, slop):
+    """Per row the items of which some window has every word within ``slop`` of its place, and
+    no window stands exactly."""
+    out = []
+    for doc_id, text in rows:
+        found, near, exact = words(text), set(), set()
+        for item, phrase in items:
+            wanted, name = words(phrase), "" if item is None else str(item)
+            size = min(10, len(wanted))
+            for k in range(len(wanted) - size + 1 if size else 0):
+                window = wanted[k : k + size]
+                for at in range(-slop, len(found) + slop):
+                    if found[max(0, at) : at + size] == window and at >= 0:
+                        exact.add(name)
+                    if all(word in found[max(0, at + j - slop) : max(0, at + j + slop + 1)] for j, word in enumerate(window)):
+                        near.add(name)
+        out.append((doc_id, len(near - exact), sorted(near - exact)))
+    return sorted(out, key=repr)
+
+
 def as_rows(frame):
     return result(frame.select("doc_id", "n_words", "n_hit", "n_items", decontaminate.items_digest("items")))
 
@@ -48,13 +69,65 @@ def benchmark(spark, items=ITEMS):
     return spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as runs", "2 as at", "3 as doc_id")
 
 
-@pytest.mark.parametrize("block, part", [(2 << 20, 2_000_000), (100, 2_000_000), (1000, 12)])
-def test_awkward_rows(spark, block, part):
-    search = decontaminate.Search(part_words=part)
+@pytest.mark.parametrize("block, part, slop", [(2 << 20, 2_000_000, 0), (100, 2_000_000, 1), (1000, 12, 2)])
+def test_awkward_rows(spark, block, part, slop):
+    search = decontaminate.Search(part_words=part, slop=slop)
     with changed(decontaminate, BLOCK=block):
         assert as_rows(decontaminate.contamination(docs(spark), benchmark(spark), search)) == brute(TEXTS, ITEMS)
 
 
+# Words put in, left out, swapped, one and two places off, at the ends and across a text's end.
+NEARLY = [
+    (1, "a b c d e f g h i j k l"),
+    (2, "x a b c d e new f g h i j k l"),
+    (3, "a b c d f g h i j k l"),
+    (4, "a b d c e f g h i j k l"),
+    (5, "a b c one two d e f g h i j k l"),
+    (6, "b a c d e"),
+    (7, "f g h i j k l m"),
+    (8, None),
+    (9, "j i h g f e d c b a"),
+    (10, "a a a b c d e f g h h i j"),
+    (None, "q a r b s c t d"),
+    (2, "x a b c d e new f g h i j k l"),
+]
+PHRASES = [(1, "a b c d e f g h i j"), (2, "c d e f g h i j k l m"), (3, "a b c d"), (None, "f g"), (4, "a"), (3, "j i x"), (5, ""), (6, None)]
+
+
+@pytest.mark.parametrize("slop", [0, 1, 2])
+@pytest.mark.parametrize("block, part", [(2 << 20, 2_000_000), (30, 10)])
+def test_near_items_equal_brute_force(spark, slop, block, part):
+    search = decontaminate.Search(slop=slop, part_words=part)
+    with changed(decontaminate, BLOCK=block):
+        found = decontaminate.contamination(docs(spark, NEARLY).coalesce(2), benchmark(spark, PHRASES), search).cache()
+        assert as_rows(found) == brute(NEARLY, PHRASES)
+        assert result(found.select("doc_id", "n_near", "near_items")) == brute_near(NEARLY, PHRASES, slop)
+    assert slop == 0 or found.filter("n_near > 0").count() > 3
+
+
+def test_near_items_equal_sql(spark, tmp_path):
+    docs(spark, NEARLY).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark(spark, PHRASES).select("item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(oracle.oracle()["op9_decontaminate"])
+    names = [column[0] for column in want.description]
+    assert result(queries.op9_decontaminate(spark, str(tmp_path)).select(*names)) == sorted(want.fetchall(), key=repr)
+
+
+def test_parts_hold_whole_windows(spark):
+    # An item longer than a part is cut into pieces that share all words of a window but one.
+    long = " ".join(f"w{k}" for k in range(500))
+    search = decontaminate.Search(part_words=40)
+    parts = decontaminate.cut_items(benchmark(spark, [(1, long), (2, "a b c")]), search).collect()
+    assert max(len(part["ids"]) for part in parts) <= 40 and len({part["part"] for part in parts}) == len(parts)
+    windows = {tuple(part["words"][k] for k in part["ids"][at : at + 10]) for part in parts for at in range(31) if len(set(part["names"])) == 1}
+    assert {tuple(f"w{k}".encode() for k in range(at, at + 10)) for at in range(0, 491)} - windows == set()
+    with pytest.raises(ValueError, match="cannot hold"):
+        decontaminate.cut_items(benchmark(spark), decontaminate.Search(part_words=9))
+
+
 def test_empty_tables(spark):
     assert as_rows(decontaminate.contamination(docs(spark, []), benchmark(spark))) == []
     assert as_rows(decontaminate.contamination(docs(spark), benchmark(spark, []))) == brute(TEXTS, [])
