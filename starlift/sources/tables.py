@@ -7,6 +7,7 @@ registered in the catalog of this one when it is first asked for.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -72,6 +73,7 @@ class Lake:
         self.ledger = Ledger(spark, f"{config.landing_dir}/_ledger")
         self._folders: dict[tuple[str, str], LoadFolders] = {}
         self._seen: dict[tuple[str, str], frozenset[tuple[int, str]]] = {}
+        self._footers: SparkSession | None = None
 
     def create_databases(self) -> None:
         for layer in LAYERS:
@@ -224,14 +226,44 @@ class Lake:
         """The latest day stored in a dated table; None when it holds no dated row, which
         is not the same as no row: see ``is_empty``.
 
-        Only the newest partition is scanned.
+        Of the newest partition only the files' footers are read, where the type of the
+        column has its greatest value there.
         """
         column, partition = DATED[(layer, table)]
         newest = self.partition_values(layer, table).agg(F.max(partition).alias("value")).first()["value"]
         if newest is None or partition == column:
             return newest
-        stored = self._table(layer, table).filter(F.col(partition) == newest)
-        return stored.agg(F.max(column).alias("mark")).first()["mark"]
+        if not self._by_load:
+            stored = self._table(layer, table).filter(F.col(partition) == newest)
+            return stored.agg(F.max(column).alias("mark")).first()["mark"]
+        return self._greatest(layer, table, newest).agg(F.max("mark").alias("mark")).first()["mark"]
+
+    def _greatest(self, layer: str, table: str, value: int) -> DataFrame:
+        """The latest day of one partition in each load that shows, from the files' footers.
+        Every row of a dated partition has a day, and the writer keeps its statistics.
+
+        A load is read with the columns of its own files: Spark takes a footer's columns by
+        their places, and these may differ from those of the table."""
+        column, partition = DATED[(layer, table)]
+        loads, folder = self._loads(layer, table), f"{partition}={value}"
+        reader = self._footer_session().read.format(self.config.table_format)
+        found = [reader.load(f"{loads.folder(number)}/{name}") for number, name in shown(loads.ended()) if name == folder]
+        return reduce(DataFrame.union, [load.agg(F.max(column).alias("mark")) for load in found])
+
+    def _footer_session(self) -> SparkSession:
+        """A session of its own: the settings that push aggregates down to footers also change
+        how tables are read, which other threads must not see."""
+        if self._footers is None:
+            session = self.spark.newSession()
+            for key, value in self.spark.conf.getAll.items():  # such as keys of a store
+                if session.conf.get(key, None) != value:
+                    session.conf.set(key, value)
+            listed = session.conf.get("spark.sql.sources.useV1SourceList").split(",")
+            session.conf.set("spark.sql.sources.useV1SourceList", ",".join(name for name in listed if name not in ("parquet", "orc")))
+            for name in ("parquet", "orc"):
+                session.conf.set(f"spark.sql.{name}.aggregatePushdown", "true")
+            self._footers = session
+        return self._footers
 
     def is_empty(self, layer: str, table: str) -> bool:
         return self._table(layer, table).isEmpty()

@@ -1,5 +1,6 @@
 import os
 import shutil
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -22,7 +23,7 @@ def lake(spark, tmp_path):
 
 def elsewhere(lake):
     """The lake as another process opens it, with a catalog that has none of its tables."""
-    return Lake(lake.spark, LakeConfig(root=lake.config.root, prefix=f"other_{lake.config.prefix}"))
+    return Lake(lake.spark, replace(lake.config, prefix=f"other_{lake.config.prefix}"))
 
 
 def numbers(lake, *table):
@@ -187,3 +188,38 @@ def test_markers_are_hidden_from_readers(spark, lake):
     lake.overwrite(brands(spark, 1), "bronze", "brands")
     names = os.listdir(lake.place("bronze", "brands") + "/load_id=1")
     assert {loads.REPLACES_TABLE, loads.ENDED} <= set(names)
+
+
+def days(spark, *given):
+    return spark.createDataFrame([(k, date.fromisoformat(day)) for k, day in enumerate(given)], "order_id long, order_date date")
+
+
+@pytest.mark.parametrize("kind", ["parquet", "orc"])
+def test_watermark_reads_footers_only(spark, lake, kind, request):
+    lake = Lake(spark, replace(lake.config, table_format=kind))
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    spark.conf.set("fs.store.key", "of this session")
+    request.addfinalizer(lambda: spark.conf.unset("fs.store.key"))
+    lake.append(days(spark, "2024-01-31", "2024-02-03", "2024-02-09").repartition(3), "silver", "order_sales")
+    lake.append(days(spark, "2024-02-27", "2024-01-02"), "silver", "order_sales")
+    assert lake.watermark("silver", "order_sales") == elsewhere(lake).watermark("silver", "order_sales") == date(2024, 2, 27)
+    found = lake._greatest("silver", "order_sales", 202402)
+    assert found._jdf.queryExecution().toString().count("PushedAggregation: [MAX(order_date)]") >= 2
+    assert lake._footer_session().conf.get("fs.store.key") == "of this session"
+    # Only files of the month, of both loads.
+    assert {path.split("order_month=")[1][:6] for path in found.inputFiles()} == {"202402"}
+    assert sorted(row["mark"].day for row in found.collect()) == [9, 27]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    # What an overwrite has replaced no longer counts, nor what a broken append left.
+    # Its files have another order of columns than the load after it.
+    lake.overwrite(days(spark, "2024-02-05").select("order_date", "order_id"), "silver", "order_sales")
+    lake.append(days(spark, "2024-02-04"), "silver", "order_sales")
+    assert lake.watermark("silver", "order_sales") == date(2024, 2, 5)
+
+
+def test_watermark_of_undated_and_empty_tables(spark, lake):
+    undated = spark.createDataFrame([(1, None)], "order_id long, order_date date")
+    lake.append(undated, "silver", "order_sales")
+    assert lake.watermark("silver", "order_sales") is None
+    lake.append(days(spark, "2023-12-31"), "silver", "order_sales")
+    assert lake.watermark("silver", "order_sales") == date(2023, 12, 31)
