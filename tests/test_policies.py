@@ -76,3 +76,13 @@ def test_late_ids_read_only_row_groups_that_may_hold_them(spark, tmp_path, setti
     known = spark.createDataFrame([(20_000,), (200_001,)], "order_id long")
     assert [row["order_id"] for row in within_range(stored, known, "order_id").collect()] == [20_000]
     lake.drop()
+
+
+def test_thousands_of_ids_reach_the_scan(spark, tmp_path):
+    """As one list and not as a chain of comparisons, which is too deep for a task's stack."""
+    lake = Lake(spark, LakeConfig(root=str(tmp_path), prefix="many_ids_"))
+    lake.append(spark.range(0, 100_000, 1, 1).selectExpr("id * 2 as order_id", "id % 7 as product_id"), "bronze", "order_items")
+    wanted = spark.range(9_000).selectExpr("id * 20 as order_id")
+    found = within_range(lake.read("bronze", "order_items"), wanted, "order_id")
+    assert {row["order_id"] for row in found.collect()} == set(range(0, 180_000, 20))
+    lake.drop()
