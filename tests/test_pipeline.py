@@ -14,6 +14,7 @@ from starlift.operators.staging import discard, new_folder, stage, staging_root
 from starlift.plans import gold, pipeline, run_all, run_gold
 from starlift.queries.binding import Entities
 from starlift.queries.catalogue import publish_all
+from starlift.sources.landing import publish_csv, read_landing
 
 DAY_1, DAY_2 = date(2020, 2, 1), date(2020, 2, 2)
 
@@ -316,6 +317,38 @@ def test_increments_write_few_files_and_empty_ones_none(spark, make_lake):
         assert lake.count(layer, table) == 1143
 
 
+def shuffles(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange")
+
+
+def test_rows_move_once_or_not_at_all_on_their_way_into_a_table(spark, make_lake, monkeypatch):
+    lake = make_lake("moves")
+    lake.create_databases()
+    plans, lay_out = {}, Lake._laid_out
+
+    def noted(self, rows, layer, table, *how):
+        plans[table] = lay_out(self, rows, layer, table, *how)
+        return plans[table]
+
+    monkeypatch.setattr(Lake, "_laid_out", noted)
+    lines = spark.range(0, 1000, numPartitions=8).selectExpr("id as order_id", "timestamp'2020-01-01' as order_date")
+    lake.append(lines, "gold", "fact_sales")
+    lake.append_new(lines, "gold", "fact_sales")
+    assert shuffles(plans["fact_sales"]) == 1  # by month, not twice
+    lake.append(spark.range(100).selectExpr("id as product_id", "id as store_id", "id as quantity"), "bronze", "stocks")
+    for day in (DAY_1, DAY_2, DAY_2):
+        pipeline.load_stocks_snapshot(lake, day)
+        assert shuffles(plans["stocks_snapshot"]) == 0  # all of one day
+    assert lake.count("silver", "stocks_snapshot") == 200
+
+
+def test_landing_parts_are_compressed(spark, tmp_path):
+    publish_csv(spark.range(100).selectExpr("id as brand_id", "'Acme' as brand_name"), str(tmp_path), "brands")
+    parts = [name for name in os.listdir(tmp_path / "brands.csv") if name.startswith("part-")]
+    assert parts and all(name.endswith(".csv.gz") for name in parts)
+    assert read_landing(spark, str(tmp_path), "brands").count() == 100
+
+
 def test_late_lines_are_compared_with_their_range_only(spark, make_lake):
     lake = make_lake("range")
     lake.create_databases()

@@ -138,3 +138,11 @@ def test_a_hot_month_is_written_by_several_tasks(spark, settings):
     assert lake.count("bronze", "orders") == 60_000
     assert lake.read("bronze", "orders").columns == ["order_id", "customer_id", "order_date"]
     lake.drop()
+
+
+def test_products_first_gives_the_same_rows(spark):
+    tables = frames(spark)
+    for name in ("orders", "products", "customers"):
+        tables[name] = tables[name].unionByName(tables[name])
+    tables["order_items"] = tables["order_items"].unionByName(tables["order_items"].withColumn("order_id", F.lit(None).cast("long")))
+    assert rows(order_sales(**tables, products_first=True)) == rows(order_sales(**tables))
