@@ -1,7 +1,7 @@
 """Which extracts a step has taken in: what did not change is not read again.
 
-An extract is known by its files' names, sizes and modification times, and by the rules it was
-read with. The entry goes before a step begins and comes back when it has ended, so a step that
+An extract is known by its place, its files' names, sizes and modification times, and by the rules
+it was read with. The entry goes before a step begins and comes back when it has ended, so a step that
 dies is done again whatever the extract looks like by then.
 """
 
@@ -34,9 +34,9 @@ def files_of(spark: SparkSession, place: str) -> list[tuple[str, int, int]]:
 
 
 def signature(spark: SparkSession, place: str, *rules: object) -> str:
-    """A digest of an extract's files and of the rules it is read with; '' if there are none."""
+    """A digest of an extract's place and files and of the rules it is read with; '' if there are none."""
     found = files_of(spark, place)
-    return hashlib.sha256(repr((found, rules)).encode()).hexdigest() if found else ""
+    return hashlib.sha256(repr((place.rstrip("/"), found, rules)).encode()).hexdigest() if found else ""
 
 
 class Ledger:

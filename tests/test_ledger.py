@@ -92,3 +92,11 @@ def test_layers_of_the_command_line():
         parse(["--root", "/r", "--layers", "copper"])
     with pytest.raises(SystemExit):
         parse(["--root", "/r"])  # landing needs a source
+
+
+def test_extracts_of_one_size_and_time_in_two_folders_are_two(spark, tmp_path):
+    for day in ("first", "second"):
+        (tmp_path / day).mkdir()
+        (tmp_path / day / "stocks.csv").write_text(f"store_id,product_id,quantity\n1,1,{len(day)}\n")
+        os.utime(tmp_path / day / "stocks.csv", (1_000_000_000, 1_000_000_000))
+    assert signature(spark, f"{tmp_path}/first/stocks.csv") != signature(spark, f"{tmp_path}/second/stocks.csv")
