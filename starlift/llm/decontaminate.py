@@ -4,7 +4,8 @@ The documents are cut into blocks of bounded text. A block's index holds, for ev
 it, the ascending list of places where it stands (its postings); places run on through the
 block, with a gap after each document (2 * ``slop`` + 1 places: the middle one is too far from
 both), so no phrase, exact or near, crosses into the next one. The index is
-written as a table: one row for each block, words and postings as arrays.
+written as a table: one row for each block, words and postings as arrays, few rows to a row
+group, so that a task holds a few blocks at a time however many its file has.
 
 A search takes the test items' windows to every block. A window whose words all occur there
 starts from the postings of its rarest word, less that word's offset, and is intersected with
@@ -41,6 +42,9 @@ from starlift.llm.common import row_key, stage
 
 #: Bytes of text after which a block is closed.
 BLOCK = 2 << 20
+#: Blocks in a row group of the index. Readers decode up to 4096 rows of a group at once, and
+#: writers hold at least 100 of one before they look at its bytes: too many of this size.
+TOGETHER = 4
 _TO_SPACE = bytes(
     byte if byte >= 0x80 or 0x30 <= byte <= 0x39 or 0x61 <= byte <= 0x7A else byte + 32 if 0x41 <= byte <= 0x5A else 32
     for byte in range(256)
@@ -133,7 +137,8 @@ def build_index(docs: DataFrame, slop: int = 0) -> DataFrame:
     """The positional index of (doc_id, text), as a written table with a row for each block;
     for searches with at most this ``slop``."""
     wanted = docs.select("doc_id", row_key().alias("text_key"), "text")
-    return stage(wanted.mapInArrow(_build(2 * slop + 1), _INDEX), "postings")
+    few = {"parquet.block.row.count.limit": str(TOGETHER)}
+    return stage(wanted.mapInArrow(_build(2 * slop + 1), _INDEX), "postings", **few)
 
 
 class _Part:

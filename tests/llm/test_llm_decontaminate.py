@@ -2,9 +2,11 @@ import hashlib
 import re
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 from cases import PROSE, TEXTS, changed, docs, result
 from compare import compare
+from pyspark.sql import functions as F
 
 from starlift.llm import decontaminate, oracle, queries
 
@@ -167,3 +169,14 @@ def test_near_match_at_the_start_is_of_its_own_document(spark):
     assert {row["doc_id"]: row["n_near"] for row in found.collect()} == {1: 0, 2: 0, 3: 0}
     found = decontaminate.contamination(docs(spark, rows).coalesce(1), benchmark(spark, [(1, "d rare")]), decontaminate.Search(slop=2))
     assert {row["doc_id"]: row["n_near"] > 0 for row in found.collect()} == {1: False, 2: True, 3: False}
+
+
+def test_a_task_reads_few_blocks_of_the_index_at_once(spark):
+    # Readers decode a row group's rows together, so a group has few of these large rows.
+    long = F.repeat(F.lit("x"), decontaminate.BLOCK)
+    texts = spark.range(0, 3 * decontaminate.TOGETHER + 1, 1, 1).select(F.col("id").alias("doc_id"), long.alias("text"))
+    index = decontaminate.build_index(texts)
+    (file,) = index.inputFiles()
+    meta = pq.ParquetFile(file.removeprefix("file:")).metadata
+    sizes = [meta.row_group(at).num_rows for at in range(meta.num_row_groups)]
+    assert sizes == [decontaminate.TOGETHER] * 3 + [1]
