@@ -1,10 +1,12 @@
 import csv
+import gzip
 import random
 
 import pytest
 from conftest import rows
 
 from starlift.sources.landing import copy_csv, discover_csv, publish_csv, read_landing
+from starlift.sources.records import has_broken_lines
 from starlift.sources.schemas import schema_for
 
 PRODUCTS = (
@@ -164,3 +166,24 @@ def test_parts_with_another_header_are_refused(spark, tmp_path):
     (folder / "part-1.csv").write_text("customer_id,last_name,first_name\n2,Lee,Ann\n")
     with pytest.raises(Exception, match="header"):
         copy_csv(spark, str(folder), str(tmp_path / "landing"), "customers")
+
+
+def test_landing_parts_are_written_at_the_fastest_level(spark, tmp_path):
+    rows = spark.range(0, 20_000, numPartitions=1).selectExpr("id as brand_id", "md5(cast(id % 500 as string)) as brand_name")
+    publish_csv(rows, str(tmp_path), "brands")
+    (part,) = (tmp_path / "brands.csv").glob("part-*.csv.gz")
+    text = gzip.decompress(part.read_bytes())
+    fast, usual = (len(gzip.compress(text, level)) for level in (1, 6))
+    assert abs(part.stat().st_size - fast) < abs(part.stat().st_size - usual)
+
+
+def test_line_breaks_are_found_in_quotes_only(spark, tmp_path):
+    cases = {
+        "plain": ('a,b\n1,x\n2,"y"\n', False),
+        "doubled": ('a,b\n1,"x ""y"" z"\n2,""\n', False),
+        "within": ('a,b\n1,6" wide\n', False),
+        "broken": ('a,b\n1,x\n2,"y\nz"\n', True),
+    }
+    for name, (text, broken) in cases.items():
+        (tmp_path / name).write_text(text)
+        assert has_broken_lines(spark, str(tmp_path / name)) is broken
